@@ -97,7 +97,7 @@ def clean_item(col: Column, stops: Sequence[str] = (), commas: bool = False) ->
     if commas:
         text = F.regexp_replace(text, rf"{SAME_CASE}\s*,\s*", ", ")
     text = strip_chars(text, " :;|\\/")
-    return F.when(text.rlike(r"[\p{L}\p{N}]"), text)
+    return nonempty(F.regexp_replace(text, r"\A[^\p{L}\p{N}]*\z", ""))
 
 
 def norm_capacity(col: Column) -> Column:

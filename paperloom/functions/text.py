@@ -17,8 +17,12 @@ SPACE = r"[\s\x1c-\x1f]"
 
 
 def nonempty(col: Column) -> Column:
-    """Null instead of the empty string."""
-    return F.nullif(col, F.lit(""))
+    """Null instead of the empty string.
+
+    Names ``col`` once: ``nullif`` copies its argument inside ``coalesce`` and ``when`` branches,
+    which doubles the expression at every level of a fallback chain.
+    """
+    return F.get(F.array_remove(F.array(col), ""), F.lit(0))
 
 
 def strip(col: Column) -> Column:

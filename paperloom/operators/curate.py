@@ -12,6 +12,7 @@ from paperloom.operators.templates import pixel_box, region_rules, template_of
 from paperloom.session import broadcast_if_small, with_index
 
 HARD, BASE = "hard_case", "base"
+READABLE_TEMPLATES = tuple(dict.fromkeys(r[0] for r in K.TEMPLATE_REGIONS if r[1] == "ocr"))
 
 
 # --- eligibility and crop manifest -------------------------------------------
@@ -36,7 +37,7 @@ def eligibility(labels: DataFrame, files: DataFrame) -> DataFrame:
         .when(F.col("exists").isNull(), "source_missing")
         .when(~F.coalesce(F.col("document_type").isin(*K.DOCUMENT_TYPES), F.lit(False)), "document_type_invalid")
         .when(no_fields, "missing_expected_fields")
-        .when(F.size(region_rules(template, ("ocr",))) == 0, "template_without_regions")
+        .when(~F.coalesce(template.isin(*READABLE_TEMPLATES), F.lit(False)), "template_without_regions")
         .when(F.col("width").isNull(), "source_unreadable")
     )
     return joined.withColumn("skip_reason", reason).drop("exists")

@@ -99,16 +99,17 @@ def extract_residency(docs: DataFrame) -> DataFrame:
     )
     staged = _staged(docs).select(
         "doc",
-        norm_name(name).alias("taxpayer_name"),
+        name.alias("taxpayer_name"),
         first_match(squash(join_present(" ", _region("tin"), line)), RESIDENCY_TIN).alias("tin"),
         F.coalesce(find(_region("tax_year"), r"(\d{4})"), find(line, r"Tax\s*Year\s*[:;]?\s*(\d{4})")).alias("tax_year"),
-        norm_english_date(
-            F.coalesce(_region("issue_date"), find(line, r"Date\s*[:;]?\s*([A-Za-z]+\s+\d{1,2}[,.]?\s*\d{4})"))
+        F.coalesce(
+            _region("issue_date"), find(line, r"Date\s*[:;]?\s*([A-Za-z]+\s+\d{1,2}[,.]?\s*\d{4})")
         ).alias("issue_date"),
         contains_any(line, RESIDENT_PHRASES).alias("resident"),
         contains_any(line, CERTIFICATION_PHRASES).alias("has_certification_text"),
         contains_any(line, IRS_PHRASES).alias("has_irs_heading"),
     ).withColumns({
+        "taxpayer_name": norm_name(F.col("taxpayer_name")), "issue_date": norm_english_date(F.col("issue_date")),
         "residency_country": F.when(F.col("resident"), F.lit(UNITED_STATES)),
         "residency_country_code": F.when(F.col("resident"), F.lit("US")),
     })
@@ -130,82 +131,74 @@ def _compact_person(words: Column) -> Column:
 
 def extract_withholding(docs: DataFrame) -> DataFrame:
     line = F.col("single_line")
-    first = _staged(docs).select(
-        "doc", "single_line", "regions",
-        norm_name(F.coalesce(
+    located = _staged(docs).select(
+        "doc",
+        F.coalesce(
             _clean_person(_region("applicant_name")),
             find(line, r"신청인\s+([A-Za-z][A-Za-z .'-]+?)\s+\(?서명"),
             find(line, r"신청인\s+([A-Za-z][A-Za-z .'-]+)"),
-        )).alias("applicant_name"),
+        ).alias("applicant_name"),
         *[tokens(_clean_person(_region(n))).alias(f"{n}_words") for n in ("last_name", "first_name", "middle_name")],
+        first_match(line, [r"Last Name\)?\s*([A-Z]{2,})\b", r"Last Name\)?\s*([A-Za-z][A-Za-z .'-]+?)\s+\(?First Name\)?"]).alias(
+            "last_found"
+        ),
+        first_match(line, [r"First Name\)?\s*([A-Z]{2,})\b", r"First Name\)?\s*([A-Za-z][A-Za-z .'-]+?)\s+\(?Middle Name\)?"]).alias(
+            "first_found"
+        ),
+        find(line, r"Middle Name\)?\s*([A-Z])\b").alias("middle_found"),
         first_match(squash(join_present(" ", _region("tin"), line)), WITHHOLDING_TIN).alias("tin"),
-        norm_address(F.coalesce(
+        F.coalesce(
             find(line, rf"(1\d{{3,4}}\s+[A-Za-z0-9 ,.'#-]+?{US_WORDS})"),
             _region("address"),
             find(line, rf"주소(?:\s*\([^)]+\))?\s*([0-9A-Za-z ,.'#-]+?{US_WORDS})"),
-        )).alias("address"),
-        norm_percent(
-            first_match(squash(join_present(" ", _region("dividend_tax_rate"), line)), DIVIDEND_RATE)
-        ).alias("dividend_tax_rate"),
-        norm_iso_date(F.coalesce(
+        ).alias("address"),
+        F.coalesce(
+            _region("residency_country"),
+            first_match(line, [rf"거주지국\s*({US_WORDS})", rf"Country\s*[:;]?\s*({US_WORDS})"]),
+        ).alias("residency_country"),
+        _region("residency_country_code").alias("code_region"),
+        first_match(line, [r"거주지국코드\s*([A-Z]{2})", r"Country Code\s*[:;]?\s*([A-Z]{2})"]).alias("code_found"),
+        first_match(squash(join_present(" ", _region("dividend_tax_rate"), line)), DIVIDEND_RATE).alias("dividend_tax_rate"),
+        F.coalesce(
             _region("signature_date"),
-            find(line, r"(\d{4}\s*년\s*\d{1,2}\s*월\s*\d{1,2}\s*일)"),
-            find(line, r"(\d{4}[./-]\d{1,2}[./-]\d{1,2})"),
-        )).alias("signature_date"),
+            first_match(line, [r"(\d{4}\s*년\s*\d{1,2}\s*월\s*\d{1,2}\s*일)", r"(\d{4}[./-]\d{1,2}[./-]\d{1,2})"]),
+        ).alias("signature_date"),
         contains_any(line, NON_RESIDENT_PHRASES).alias("contains_non_resident_heading"),
     )
-    named = first.withColumn(
-        "all_words", F.transform(tokens(F.col("applicant_name")), lambda w: strip_chars(w, "."))
-    ).withColumn("words", F.filter("all_words", lambda w: w != ""))
+    named = located.withColumns({
+        "applicant_name": norm_name(F.col("applicant_name")), "address": norm_address(F.col("address")),
+        "dividend_tax_rate": norm_percent(F.col("dividend_tax_rate")), "signature_date": norm_iso_date(F.col("signature_date")),
+    }).withColumns({
+        "all_words": F.transform(tokens(F.col("applicant_name")), lambda w: strip_chars(w, ".")),
+        "residency_country": F.coalesce("residency_country", "address"),
+    }).withColumns({
+        "words": F.filter("all_words", lambda w: w != ""), "residency_country": norm_country(F.col("residency_country")),
+    }).withColumn("code_found", F.coalesce("code_found", "residency_country", "address"))
     words, count = F.col("words"), F.size("words")
-    initial = F.upper(F.substring(F.get(words, F.lit(1)), 1, 1))
-    second = named.select(
-        "*",
-        norm_name(F.coalesce(
-            _compact_person(F.col("last_name_words")),
-            F.when(count >= 2, F.element_at(words, -1)),
-            find(line, r"Last Name\)?\s*([A-Z]{2,})\b"),
-            find(line, r"Last Name\)?\s*([A-Za-z][A-Za-z .'-]+?)\s+\(?First Name\)?"),
-        )).alias("last_name"),
-        norm_name(F.coalesce(
-            _compact_person(F.col("first_name_words")),
-            F.when(count >= 2, F.get(words, F.lit(0))),
-            find(line, r"First Name\)?\s*([A-Z]{2,})\b"),
-            find(line, r"First Name\)?\s*([A-Za-z][A-Za-z .'-]+?)\s+\(?Middle Name\)?"),
-        )).alias("first_name"),
-        norm_name(F.coalesce(
-            _compact_person(F.col("middle_name_words")),
-            F.when(count >= 3, nonempty(initial)),
-            find(line, r"Middle Name\)?\s*([A-Z])\b"),
-        )).alias("middle_found"),
-        norm_country(F.coalesce(
-            _region("residency_country"),
-            find(line, rf"거주지국\s*({US_WORDS})"),
-            find(line, rf"Country\s*[:;]?\s*({US_WORDS})"),
-            F.col("address"),
-        )).alias("residency_country"),
-    )
+    initial = nonempty(F.upper(F.substring(F.get(words, F.lit(1)), 1, 1)))
+    settled = named.withColumns({
+        "last_name": norm_name(F.coalesce(
+            _compact_person(F.col("last_name_words")), F.when(count >= 2, F.try_element_at(words, F.lit(-1))), F.col("last_found")
+        )),
+        "first_name": norm_name(F.coalesce(
+            _compact_person(F.col("first_name_words")), F.when(count >= 2, F.get(words, F.lit(0))), F.col("first_found")
+        )),
+        "middle_name": norm_name(F.coalesce(
+            _compact_person(F.col("middle_name_words")), F.when(count >= 3, initial), F.col("middle_found")
+        )),
+        "residency_country_code": F.coalesce(norm_country_code(F.col("code_region")), norm_country_code(F.col("code_found"))),
+    })
     everyone = F.col("all_words")
-    settled = (F.size(tokens(F.col("middle_found"))) == 1) & (F.length("middle_found") <= 4)
+    short = (F.size(tokens(F.col("middle_name"))) == 1) & (F.length("middle_name") <= 4)
     same_person = (
         F.col("first_name").isNotNull() & F.col("last_name").isNotNull() & (F.size(everyone) >= 3)
         & (F.lower(F.get(everyone, F.lit(0))) == F.lower("first_name"))
         & (F.lower(F.try_element_at(everyone, F.lit(-1))) == F.lower("last_name"))
     )
-    third = second.withColumns({
-        "middle_name": F.when(settled, F.col("middle_found"))
-        .when(same_person, F.upper(F.substring(F.get(everyone, F.lit(1)), 1, 1)))
-        .otherwise(F.col("middle_found")),
-        "residency_country_code": F.coalesce(
-            norm_country_code(_region("residency_country_code")),
-            norm_country_code(F.coalesce(
-                find(line, r"거주지국코드\s*([A-Z]{2})"),
-                find(line, r"Country Code\s*[:;]?\s*([A-Z]{2})"),
-                F.col("residency_country"), F.col("address"),
-            )),
-        ),
-    })
-    return _finish(third, docs, K.WITHHOLDING_FIELDS, ["contains_non_resident_heading"])
+    middle = F.when(~short & same_person, F.upper(F.substring(F.get(everyone, F.lit(1)), 1, 1))).when(
+        F.col("middle_name").isNull() & same_person, F.upper(F.substring(F.get(everyone, F.lit(1)), 1, 1))
+    ).otherwise(F.col("middle_name"))
+    return _finish(settled.withColumn("middle_name", middle), docs, K.WITHHOLDING_FIELDS, ["contains_non_resident_heading"])
 
 
 def _state_find(position: int) -> Column:
@@ -235,7 +228,7 @@ def extract_apostille(docs: DataFrame) -> DataFrame:
     )
     cleaned = located.select(
         "doc", "has_apostille_heading",
-        norm_issuing_country(clean_item(F.col("issuing_country"), ["This public document"])).alias("issuing_country"),
+        clean_item(F.col("issuing_country"), ["This public document"]).alias("issuing_country"),
         clean_item(F.col("signed_by"), ["acting in the capacity"]).alias("signed_by"),
         norm_capacity(clean_item(F.col("signer_capacity"), ["bears the seal"])).alias("signer_capacity"),
         clean_item(F.col("seal_owner"), ["CERTIFIED"]).alias("seal_owner"),
@@ -246,6 +239,7 @@ def extract_apostille(docs: DataFrame) -> DataFrame:
             "certificate_number"
         ),
     )
+    cleaned = cleaned.withColumn("issuing_country", norm_issuing_country(F.col("issuing_country")))
     filled = F.size(F.array_compact(F.array(*K.APOSTILLE_FIELDS))).alias("filled_item_count")
     return _finish(cleaned.select("*", filled), docs, K.APOSTILLE_FIELDS, ["has_apostille_heading", "filled_item_count"])
 

@@ -74,7 +74,7 @@ SELECT case_id, k, 'apostille', replace(source_path, '.png', '_apostille.jpg'),
        concat('APOSTILLE (Convention de La Haye du 5 octobre 1961) 1. Country: ',
               CASE WHEN k % 6 = 0 THEN 'United  States of_America' ELSE 'UNITED STATES OF AMERICA' END,
               ' 2. This Public Document has been signed by JANE ', code,
-              ' 3. acting in the capacity of NOTARY PUBLIC 12 4. bears the seal/stamp of COUNTY OF ', code, ' CERTIFIED 5. at ',
+              ' 3. acting in the capacity of NOTARY PUBLIC 12 4. bears the seal', CASE WHEN k % 6 = 1 THEN '' ELSE '/stamp' END, ' of COUNTY OF ', code, ' CERTIFIED 5. at ',
               CASE k % 3 WHEN 0 THEN 'Raleigh, North Carolina' WHEN 1 THEN 'Lansing, Michigan' ELSE 'Los Angeles, California' END,
               ' 6. the ', {_t('1 + k % 28')}, 'TH DAY OF APRIL', CASE WHEN k % 4 = 0 THEN '' ELSE ', ' END, '2014 7. by ',
               CASE k % 3 WHEN 0 THEN 'Secretary of State, State of North Carolina' WHEN 1 THEN 'Secretary of StateState of Michigan'
