@@ -74,17 +74,23 @@ def _fields(names: tuple[str, ...]) -> Column:
     return F.map_from_arrays(literal_array(names), F.array(*[F.col(n) for n in names]))
 
 
-def _finish(staged: DataFrame, docs: DataFrame, names: tuple[str, ...], flags: list[str]) -> DataFrame:
-    kept = [c for c in docs.columns if c not in ("text", "single_line", "regions")]
-    return staged.select(*[F.col(f"doc.{c}").alias(c) for c in kept], _fields(names).alias("fields"), *flags)
+TEXTS = ("text", "single_line", "regions")
 
 
-def _staged(docs: DataFrame) -> DataFrame:
-    kept = [c for c in docs.columns if c not in ("text", "single_line", "regions")]
-    return docs.select(F.struct(*kept).alias("doc"), "text", "single_line", "regions")
+def _staged(docs: DataFrame, kind: str) -> DataFrame:
+    """The row as ``doc`` and its texts, null for papers of another type: their patterns cost nothing."""
+    mine = F.col("document_type") == kind
+    return docs.select(F.struct(*docs.columns).alias("doc"), *[F.when(mine, F.col(c)).alias(c) for c in TEXTS])
 
 
-def extract_residency(docs: DataFrame) -> DataFrame:
+def _finish(staged: DataFrame, kind: str, names: tuple[str, ...], flags: list[str]) -> DataFrame:
+    mine = F.col("doc.document_type") == kind
+    return staged.select(
+        "doc.*", F.when(mine, _fields(names)).alias(f"fields_{kind}"), *[F.when(mine, F.col(f)).alias(f) for f in flags]
+    )
+
+
+def _residency(docs: DataFrame) -> DataFrame:
     text, line = F.col("text"), F.col("single_line")
 
     def cleaned(value: Column) -> Column:
@@ -97,7 +103,7 @@ def extract_residency(docs: DataFrame) -> DataFrame:
         cleaned(find(text, r"Taxpayer\s*[:;]?\s*([^\n]+)")),
         cleaned(find(line, r"Taxpayer\s*[:;]?\s*(.+?)\s+(?:TIN|Tax Year|Date)\b")),
     )
-    staged = _staged(docs).select(
+    staged = _staged(docs, K.RESIDENCY).select(
         "doc",
         name.alias("taxpayer_name"),
         first_match(squash(join_present(" ", _region("tin"), line)), RESIDENCY_TIN).alias("tin"),
@@ -113,7 +119,7 @@ def extract_residency(docs: DataFrame) -> DataFrame:
         "residency_country": F.when(F.col("resident"), F.lit(UNITED_STATES)),
         "residency_country_code": F.when(F.col("resident"), F.lit("US")),
     })
-    return _finish(staged, docs, K.RESIDENCY_FIELDS, ["has_certification_text", "has_irs_heading"])
+    return _finish(staged, K.RESIDENCY, K.RESIDENCY_FIELDS, ["has_certification_text", "has_irs_heading"])
 
 
 def _clean_person(value: Column) -> Column:
@@ -129,9 +135,9 @@ def _compact_person(words: Column) -> Column:
     return F.when(usable & ~label, F.get(words, F.lit(0)))
 
 
-def extract_withholding(docs: DataFrame) -> DataFrame:
+def _withholding(docs: DataFrame) -> DataFrame:
     line = F.col("single_line")
-    located = _staged(docs).select(
+    located = _staged(docs, K.WITHHOLDING).select(
         "doc",
         F.coalesce(
             _clean_person(_region("applicant_name")),
@@ -198,7 +204,7 @@ def extract_withholding(docs: DataFrame) -> DataFrame:
     middle = F.when(~short & same_person, F.upper(F.substring(F.get(everyone, F.lit(1)), 1, 1))).when(
         F.col("middle_name").isNull() & same_person, F.upper(F.substring(F.get(everyone, F.lit(1)), 1, 1))
     ).otherwise(F.col("middle_name"))
-    return _finish(settled.withColumn("middle_name", middle), docs, K.WITHHOLDING_FIELDS, ["contains_non_resident_heading"])
+    return _finish(settled.withColumn("middle_name", middle), K.WITHHOLDING, K.WITHHOLDING_FIELDS, ["contains_non_resident_heading"])
 
 
 def _state_find(position: int) -> Column:
@@ -209,10 +215,10 @@ def _state_find(position: int) -> Column:
     return found
 
 
-def extract_apostille(docs: DataFrame) -> DataFrame:
+def _apostille(docs: DataFrame) -> DataFrame:
     line = F.col("single_line")
-    located = _staged(docs).select(
-        "doc", "single_line",
+    located = _staged(docs, K.APOSTILLE).select(
+        "doc",
         F.coalesce(find(line, r"Country[:\s]+(.+?)(?=\s+2\.|$)"), _region("issuing_country")).alias("issuing_country"),
         F.coalesce(find(line, r"has been signed by[:\s]*(.+?)(?=\s+3\.|$)"), _region("signed_by")).alias("signed_by"),
         F.coalesce(
@@ -241,18 +247,32 @@ def extract_apostille(docs: DataFrame) -> DataFrame:
     )
     cleaned = cleaned.withColumn("issuing_country", norm_issuing_country(F.col("issuing_country")))
     filled = F.size(F.array_compact(F.array(*K.APOSTILLE_FIELDS))).alias("filled_item_count")
-    return _finish(cleaned.select("*", filled), docs, K.APOSTILLE_FIELDS, ["has_apostille_heading", "filled_item_count"])
+    return _finish(cleaned.select("*", filled), K.APOSTILLE, K.APOSTILLE_FIELDS, ["has_apostille_heading", "filled_item_count"])
 
 
-EXTRACTORS = {
-    K.RESIDENCY: extract_residency, K.APOSTILLE: extract_apostille, K.WITHHOLDING: extract_withholding,
-}
+EXTRACTORS = {K.RESIDENCY: _residency, K.APOSTILLE: _apostille, K.WITHHOLDING: _withholding}
+
+
+def _only(docs: DataFrame, kind: str) -> DataFrame:
+    rows = EXTRACTORS[kind](docs.filter(F.col("document_type") == kind))
+    return rows.withColumnRenamed(f"fields_{kind}", "fields").drop(*TEXTS)
+
+
+def extract_residency(docs: DataFrame) -> DataFrame:
+    return _only(docs, K.RESIDENCY)
+
+
+def extract_withholding(docs: DataFrame) -> DataFrame:
+    return _only(docs, K.WITHHOLDING)
+
+
+def extract_apostille(docs: DataFrame) -> DataFrame:
+    return _only(docs, K.APOSTILLE)
 
 
 def extract_all(docs: DataFrame) -> DataFrame:
-    """All three types: each type is a filtered branch, and flags of other types are null."""
-    parts = [extract(docs.filter(F.col("document_type") == kind)) for kind, extract in EXTRACTORS.items()]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part, allowMissingColumns=True)
-    return result
+    """All three types in one pass over the papers; flags of other types are null."""
+    for extract in EXTRACTORS.values():
+        docs = extract(docs)
+    per_type = [f"fields_{kind}" for kind in EXTRACTORS]
+    return docs.withColumn("fields", F.coalesce(*per_type)).drop(*per_type, *TEXTS)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paperloom.functions.text import nonempty, squash, strip
@@ -30,15 +30,17 @@ def flatten_lines(raw: DataFrame) -> DataFrame:
     )
 
 
-def document_text(pages: DataFrame, keys: list[str]) -> DataFrame:
+def document_text(pages: DataFrame, keys: list[str], *more: Column) -> DataFrame:
     """Join the page texts of each document in page order; also on a single line.
 
     Only key, page number and text are shuffled.  The gathered value is the text of one paper.
+    ``more`` are further aggregates to take in the same shuffle.
     """
     ordered = F.array_sort(F.collect_list(F.struct("page_number", "raw_text")))
-    joined = pages.groupBy(*keys).agg(ordered.alias("ordered"))
+    joined = pages.groupBy(*keys).agg(ordered.alias("ordered"), *more)
     texts = F.filter(F.transform("ordered", lambda p: p["raw_text"]), lambda t: t.isNotNull() & (t != ""))
-    return joined.select(*keys, strip(F.array_join(texts, "\n")).alias("text")).withColumn(
+    extra = [c for c in joined.columns if c not in (*keys, "ordered")]
+    return joined.select(*keys, strip(F.array_join(texts, "\n")).alias("text"), *extra).withColumn(
         "single_line", squash(F.col("text"))
     )
 

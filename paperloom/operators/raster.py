@@ -1,8 +1,9 @@
 """Quality measures over grey rasters.
 
 ``rasters(image_id, width, height, pixels)`` holds one image or crop per row, pixels row by row.
-All measures are array expressions inside the row: exploding pixels would shuffle every pixel of
-every image, while a row already holds all that its measures need.
+A row holds all that its measures need, so nothing here explodes pixels or shuffles them.  Full
+passes over the pixels are vectorised kernels on Arrow batches (see ``functions.pixels``); boxes,
+flags and verdicts are column expressions.
 """
 
 from __future__ import annotations
@@ -11,40 +12,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paperloom import constants as K
-from paperloom.functions.text import present
+from paperloom.functions.pixels import laplacian_variance, measure, trim_passes, trimmer
+from paperloom.functions.text import literal_array, present
 from paperloom.operators.templates import clamped_box, region_rules
 
 EDGES = ("left", "right", "top", "bottom")
 
 
 def blur(rasters: DataFrame, threshold: float = K.BLUR_THRESHOLD) -> DataFrame:
-    """Variance of the four-neighbour Laplacian with wrap-around.
-
-    With wrap-around every pixel is added as often as it is subtracted, so the mean is exactly
-    zero and the variance is the mean square.
-    """
-    width, height, pixels = F.col("width"), F.col("height"), F.col("pixels")
-    count = width * height
-
-    def laplacian(value: Column, i: Column) -> Column:
-        row, column = F.floor(i / width).cast("int"), i % width
-        start = row * width
-        up, down = F.pmod(i - width, count), (i + width) % count
-        left, right = start + F.pmod(column - 1, width), start + (column + 1) % width
-        around = F.get(pixels, up.cast("int")) + F.get(pixels, down.cast("int"))
-        around = around + F.get(pixels, left.cast("int")) + F.get(pixels, right.cast("int"))
-        return (around - 4 * value).cast("double")
-
-    squares = F.aggregate(F.transform(pixels, laplacian), F.lit(0.0), lambda s, v: s + v * v)
-    return rasters.select("image_id", (squares / count).alias("blur_score")).withColumn(
+    """Variance of the four-neighbour Laplacian with wrap-around."""
+    return rasters.select("image_id", laplacian_variance("pixels", "width", "height").alias("blur_score")).withColumn(
         "blurry", F.col("blur_score") < threshold
     )
 
 
-def _dark_positions(pixels: Column) -> Column:
-    return F.array_compact(F.transform(pixels, lambda v, i: F.when(v < K.DARK_BELOW, i)))
-
-
 def marks(rasters: DataFrame, kinds: tuple[str, ...] = ("quality", "checkbox")) -> DataFrame:
     """One row per image and mark region: share of dark pixels and whether it reaches the minimum.
 
@@ -53,7 +34,9 @@ def marks(rasters: DataFrame, kinds: tuple[str, ...] = ("quality", "checkbox"))
     keys = [c for c in rasters.columns if c not in ("width", "height", "pixels")]
 
     found = _mark_array(rasters, kinds)
-    return found.select(*keys, F.posexplode("found").alias("ordinal", "mark")).select(*keys, "ordinal", "mark.*")
+    # the outer form: an inner explode makes Spark test the array first, that is measure twice
+    rows = found.select(*keys, F.posexplode_outer("found").alias("ordinal", "mark")).filter("mark IS NOT NULL")
+    return rows.select(*keys, "ordinal", "mark.*")
 
 
 def checkboxes(mark_rows: DataFrame, keys: tuple[str, ...] = ("image_id",)) -> DataFrame:
@@ -64,16 +47,17 @@ def checkboxes(mark_rows: DataFrame, keys: tuple[str, ...] = ("image_id",)) -> D
 
 
 def document_checks(rasters: DataFrame) -> DataFrame:
-    """Mark flags of a whole page in one row, without a shuffle.
+    """Add the mark flags of a page to its row, without a shuffle.
 
     A template has at most one mark of each name; its checkbox field is true when every box is.
+    Rows without a raster or a template keep null flags.
     """
-    keys = [c for c in rasters.columns if c not in ("width", "height", "pixels", "template_id")]
-    rows = _mark_array(rasters)
+    keys = [c for c in rasters.columns if c not in ("width", "height", "pixels")]
+    rows = _mark_array(rasters, keep=("width", "height"))
     marked = lambda name: F.filter("found", lambda m: m["name"] == name)
     boxes = F.filter("found", lambda m: m["kind"] == "checkbox")
     return rows.select(
-        *keys,
+        *keys, "width", "height",
         F.get(marked("seal_present"), F.lit(0))["marked"].alias("seal_present"),
         F.get(marked("signature_present"), F.lit(0))["marked"].alias("signature_present"),
         F.when(F.size(boxes) > 0, F.forall(boxes, lambda m: m["marked"])).alias("all_no_boxes_checked"),
@@ -81,7 +65,9 @@ def document_checks(rasters: DataFrame) -> DataFrame:
     )
 
 
-def _mark_array(rasters: DataFrame, kinds: tuple[str, ...] = ("quality", "checkbox")) -> DataFrame:
+def _mark_array(
+    rasters: DataFrame, kinds: tuple[str, ...] = ("quality", "checkbox"), keep: tuple[str, ...] = ()
+) -> DataFrame:
     keys = [c for c in rasters.columns if c not in ("width", "height", "pixels")]
 
     def measure(rule: Column) -> Column:
@@ -100,34 +86,8 @@ def _mark_array(rasters: DataFrame, kinds: tuple[str, ...] = ("quality", "checkb
             (ratio >= rule["min_dark_ratio"]).alias("marked"),
         )
 
-    return rasters.select(*keys, F.transform(region_rules(F.col("template_id"), kinds), measure).alias("found"))
-
-
-def _metrics(pixels: Column, width: Column, height: Column) -> Column:
-    """Raw measures of one crop; ratios are not rounded here because the flags use exact values."""
-    total = F.greatest(F.lit(1), width * height)
-    band = F.greatest(F.lit(1), F.floor(F.least(width, height) / 12).cast("int"))
-    dark = _dark_positions(pixels)
-    columns = F.transform(dark, lambda i: i % width)
-    rows = F.transform(dark, lambda i: F.floor(i / width).cast("int"))
-    sums = F.aggregate(
-        pixels,
-        F.struct(F.lit(0.0).alias("sum"), F.lit(0.0).alias("squares")),
-        lambda s, v: F.struct((s["sum"] + v).alias("sum"), (s["squares"] + v.cast("double") * v).alias("squares")),
-    )
-    variance = (sums["squares"] - sums["sum"] * sums["sum"] / total) / total
-    side = lambda values, test, length: F.size(F.filter(values, test)) / F.greatest(F.lit(1), band * length)
-    return F.struct(
-        width.alias("width"), height.alias("height"),
-        (F.size(dark) / total).alias("dark_ratio"),
-        F.sqrt(F.greatest(F.lit(0.0), variance)).alias("contrast"),
-        F.array_min(columns).alias("left"), F.array_min(rows).alias("top"),
-        F.array_max(columns).alias("right"), F.array_max(rows).alias("bottom"),
-        side(columns, lambda x: x < band, height).alias("edge_left"),
-        side(columns, lambda x: x >= width - band, height).alias("edge_right"),
-        side(rows, lambda y: y < band, width).alias("edge_top"),
-        side(rows, lambda y: y >= height - band, width).alias("edge_bottom"),
-    )
+    rules = F.when(F.col("pixels").isNotNull(), region_rules(F.col("template_id"), kinds))
+    return rasters.select(*keys, *keep, F.transform(rules, measure).alias("found"))
 
 
 def _foreground_ratio(m: Column) -> Column:
@@ -176,7 +136,7 @@ def _quality(m: Column, flags: Column) -> Column:
 def crop_quality(rasters: DataFrame, **thresholds: float) -> DataFrame:
     """Add the ``quality`` record of each crop: measures, flags and verdict."""
     keys = [c for c in rasters.columns if c != "pixels"]
-    measured = rasters.select(*keys, _metrics(F.col("pixels"), F.col("width"), F.col("height")).alias("m"))
+    measured = rasters.select(*keys, measure("pixels", "width", "height").alias("m"))
     flagged = measured.withColumn("flags", _flags(F.col("m"), **thresholds))
     return flagged.select(*keys, _quality(F.col("m"), F.col("flags")).alias("quality"))
 
@@ -189,118 +149,63 @@ def flags(metrics: DataFrame, **thresholds: float) -> DataFrame:
     )
 
 
-def _trim(
-    pixels: Column, width: Column, height: Column, dense: float = K.DENSE_EDGE_RATIO, share: float = K.MAX_TRIM_RATIO
-) -> Column:
-    """Rows and columns to cut from each side: the run of dense lines from the edge, up to a share."""
-
-    def column_ratio(x: Column) -> Column:
-        line = F.transform(F.sequence(F.lit(0), height - 1), lambda y: F.get(pixels, (y * width + x).cast("int")))
-        return F.size(F.filter(line, lambda v: v < K.DARK_BELOW)) / height
-
-    def row_ratio(y: Column) -> Column:
-        line = F.slice(pixels, (y * width + 1).cast("int"), width)
-        return F.size(F.filter(line, lambda v: v < K.DARK_BELOW)) / width
-
-    def run(length: Column, ratio) -> Column:
-        limit = F.floor(length * share).cast("int")
-        offsets = F.slice(F.sequence(F.lit(0), F.greatest(limit, F.lit(1))), F.lit(1), limit)
-        sparse = F.transform(offsets, lambda i: ratio(i) < dense)
-        stop = F.array_position(sparse, True).cast("int")
-        return F.when(stop > 0, stop - 1).otherwise(limit)
-
-    return F.struct(
-        run(width, column_ratio).alias("left"), run(height, row_ratio).alias("top"),
-        run(width, lambda i: column_ratio(width - 1 - i)).alias("right"),
-        run(height, lambda i: row_ratio(height - 1 - i)).alias("bottom"),
-    )
-
-
 def edge_trim(rasters: DataFrame, dense: float = K.DENSE_EDGE_RATIO, share: float = K.MAX_TRIM_RATIO) -> DataFrame:
+    """Rows and columns to cut from each side."""
     keys = [c for c in rasters.columns if c != "pixels"]
-    trimmed = _trim(F.col("pixels"), F.col("width"), F.col("height"), dense, share)
-    return rasters.select(*keys, trimmed.alias("trim")).select(*keys, *[F.col(f"trim.{e}").alias(f"trim_{e}") for e in EDGES])
-
-
-def _cut(pixels: Column, width: Column, trim: Column, bottom: Column, right: Column) -> Column:
-    return F.flatten(F.transform(
-        F.sequence(trim["top"], bottom - 1),
-        lambda y: F.slice(pixels, (y * width + trim["left"] + 1).cast("int"), (right - trim["left"]).cast("int")),
-    ))
+    trimmed = rasters.select(*keys, trimmer(dense, share)("pixels", "width", "height").alias("trim"))
+    return trimmed.select(*keys, *[F.col(f"trim.{e}").alias(f"trim_{e}") for e in EDGES])
 
 
-def salvage(rasters: DataFrame, passes: int = K.TRIM_PASSES, **thresholds: float) -> DataFrame:
+def salvage(
+    rasters: DataFrame, passes: int = K.TRIM_PASSES, share: float = K.MAX_TRIM_RATIO, **thresholds: float
+) -> DataFrame:
     """Measure each crop and try to save the dense or filled ones by trimming dense edges.
 
-    Three unrolled passes in the row; rows that are done carry their state along unchanged, and
-    the untouched majority never enters the trim branch.  Output adds ``quality`` (of the saved
-    crop when it was saved), ``salvaged`` and the cut ``trim_pixels``.
+    Only crops with such a flag send their pixels to the trimming kernel; the first pass whose
+    measures pass every threshold wins.  Output adds ``quality`` (of the saved crop when it was
+    saved) and ``salvaged``.
     """
-    min_width, min_height = thresholds.get("min_width", K.MIN_WIDTH), thresholds.get("min_height", K.MIN_HEIGHT)
-    dense = thresholds.get("dense", K.DENSE_EDGE_RATIO)
+    least = thresholds.get("min_width", K.MIN_WIDTH), thresholds.get("min_height", K.MIN_HEIGHT)
+    follow = trim_passes(thresholds.get("dense", K.DENSE_EDGE_RATIO), share, *least, passes)
     keys = [c for c in rasters.columns if c not in ("pixels", "width", "height")]
-    nothing = F.struct(*[F.lit(0).alias(e) for e in ("left", "top", "right", "bottom")])
-    state = rasters.select(
-        *keys, F.col("width").cast("int").alias("w"), F.col("height").cast("int").alias("h"), F.col("pixels").alias("p"),
-        _metrics(F.col("pixels"), F.col("width").cast("int"), F.col("height").cast("int")).alias("m"),
-    ).withColumn("flags", _flags(F.col("m"), **thresholds)).withColumns({
-        "m0": F.col("m"), "flags0": F.col("flags"), "cut": nothing,
-        "active": F.arrays_overlap("flags", F.array(F.lit("foreground_fills_crop"), F.lit("dense_edge_content"))),
-    })
-    for _ in range(passes):
-        trim = F.when(F.col("active"), _trim(F.col("p"), F.col("w"), F.col("h"), dense))
-        state = state.withColumn("trim", trim).withColumns({
-            "new_w": F.col("w") - F.col("trim.left") - F.col("trim.right"),
-            "new_h": F.col("h") - F.col("trim.top") - F.col("trim.bottom"),
-        })
-        any_cut = F.col("trim.left") + F.col("trim.right") + F.col("trim.top") + F.col("trim.bottom") > 0
-        usable = F.coalesce(
-            F.col("active") & any_cut & (F.col("new_w") >= min_width) & (F.col("new_h") >= min_height), F.lit(False)
-        )
-        state = state.withColumn("go", usable)
-        cropped = _cut(
-            F.col("p"), F.col("w"), F.col("trim"), F.col("h") - F.col("trim.bottom"), F.col("w") - F.col("trim.right")
-        )
-        state = state.withColumns({
-            "p": F.when(F.col("go"), cropped).otherwise(F.col("p")),
-            "w": F.when(F.col("go"), F.col("new_w")).otherwise(F.col("w")),
-            "h": F.when(F.col("go"), F.col("new_h")).otherwise(F.col("h")),
-            "cut": F.when(F.col("go"), F.struct(*[
-                (F.col(f"cut.{e}") + F.col(f"trim.{e}")).alias(e) for e in ("left", "top", "right", "bottom")
-            ])).otherwise(F.col("cut")),
-        })
-        state = state.withColumn(
-            "m", F.when(F.col("go"), _metrics(F.col("p"), F.col("w"), F.col("h"))).otherwise(F.col("m"))
-        ).withColumn("flags", F.when(F.col("go"), _flags(F.col("m"), **thresholds)).otherwise(F.col("flags")))
-        state = state.withColumn("active", F.col("go") & (F.size("flags") > 0))
-    saved = (F.size("flags0") > 0) & (F.size("flags") == 0)
-    state = state.withColumn("salvaged", saved)
-    final_m = F.when(F.col("salvaged"), F.col("m")).otherwise(F.col("m0"))
-    final_flags = F.when(F.col("salvaged"), F.col("flags")).otherwise(F.col("flags0"))
-    final = state.select(*keys, "salvaged", "cut", "flags0", final_m.alias("m"), final_flags.alias("flags"))
+    first = rasters.select("*", measure("pixels", "width", "height").alias("m")).withColumn("flags", _flags(F.col("m"), **thresholds))
+    doubtful = F.arrays_overlap("flags", literal_array(["foreground_fills_crop", "dense_edge_content"]))
+    tried = first.withColumn("steps", follow(F.when(doubtful, F.col("pixels")), "width", "height")).select(
+        *keys, "m", "flags", F.transform("steps", lambda s: s.withField("flags", _flags(s["m"], **thresholds))).alias("steps")
+    )
+    saved = tried.withColumn("saved", F.get(F.filter("steps", lambda s: F.size(s["flags"]) == 0), F.lit(0)))
+    done = F.col("saved").isNotNull()
+    final = saved.select(
+        *keys, done.alias("salvaged"), F.col("flags").alias("flags_before"), F.col("saved.cut").alias("cut"),
+        F.coalesce("saved.m", "m").alias("m"), F.coalesce("saved.flags", "flags").alias("flags"),
+    )
     quality = _quality(F.col("m"), F.col("flags"))
     extra = {
-        "salvage_applied": F.when(F.col("salvaged"), F.lit(True)),
-        "original_quality_flags": F.when(F.col("salvaged"), F.col("flags0")),
-        "salvage_strategy": F.when(F.col("salvaged"), F.lit("trim_dense_edges")),
-        "trim_pixels": F.when(F.col("salvaged"), F.col("cut")),
+        "salvage_applied": F.lit(True), "original_quality_flags": F.col("flags_before"),
+        "salvage_strategy": F.lit("trim_dense_edges"), "trim_pixels": F.col("cut"),
     }
     for name, value in extra.items():
-        quality = quality.withField(name, value)
+        quality = quality.withField(name, F.when(F.col("salvaged"), value))
     return final.select(*keys, "salvaged", quality.alias("quality"))
 
 
-def avg_confidence(pages: DataFrame, keys: list[str], threshold: float = K.CONFIDENCE_THRESHOLD) -> DataFrame:
-    """Mean word confidence of a document over all its pages; null when no word has one.
+def confidence_sums() -> tuple[Column, Column]:
+    """Aggregates over pages: sum and number of the known word confidences.
 
-    Pages are summed in the row first, so two numbers per page are shuffled, not the words.
+    Words are summed inside their page first, so two numbers per page are shuffled, not the words.
     """
     known = F.filter(F.transform("words", lambda w: w["confidence"]), lambda c: c.isNotNull())
-    per_page = pages.select(
-        *keys, F.aggregate(known, F.lit(0.0), lambda s, c: s + c).alias("total"), F.size(known).alias("known")
-    )
-    summed = per_page.groupBy(*keys).agg(F.sum("total").alias("total"), F.sum("known").alias("known"))
-    average = F.when(F.col("known") > 0, F.col("total") / F.col("known"))
-    return summed.select(*keys, average.alias("average_ocr_confidence")).withColumn(
+    total = F.aggregate(known, F.lit(0.0), lambda s, c: s + c)
+    return F.sum(total).alias("confidence_total"), F.sum(F.size(known)).alias("confidence_words")
+
+
+def with_confidence(summed: DataFrame, threshold: float = K.CONFIDENCE_THRESHOLD) -> DataFrame:
+    average = F.when(F.col("confidence_words") > 0, F.col("confidence_total") / F.col("confidence_words"))
+    return summed.withColumn("average_ocr_confidence", average).withColumn(
         "low_ocr_confidence", F.col("average_ocr_confidence") < threshold
-    )
+    ).drop("confidence_total", "confidence_words")
+
+
+def avg_confidence(pages: DataFrame, keys: list[str], threshold: float = K.CONFIDENCE_THRESHOLD) -> DataFrame:
+    """Mean word confidence of a document over all its pages; null when no word has one."""
+    return with_confidence(pages.groupBy(*keys).agg(*confidence_sums()), threshold)

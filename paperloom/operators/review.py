@@ -112,9 +112,9 @@ def document_findings(docs: DataFrame) -> DataFrame:
 
 def _review_one(docs: DataFrame, kind: str) -> DataFrame:
     rows = docs.filter(F.col("document_type") == kind).withColumn("findings", RULES[kind]())
-    return rows.select("case_id", F.posexplode("findings").alias("pos", "finding")).select(
-        "case_id", "pos", "finding.*"
-    )
+    # the outer form: an inner explode makes Spark test the array first, that is run the rules twice
+    exploded = rows.select("case_id", F.posexplode_outer("findings").alias("pos", "finding")).filter("finding IS NOT NULL")
+    return exploded.select("case_id", "pos", "finding.*")
 
 
 def review_residency(docs: DataFrame) -> DataFrame:

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paperloom import constants as K
+from paperloom.functions.pixels import laplacian_variance
 from paperloom.operators.extract import extract_all
 from paperloom.operators.pages import document_text, region_map
-from paperloom.operators.raster import avg_confidence, blur, document_checks
+from paperloom.operators.raster import confidence_sums, document_checks, with_confidence
 from paperloom.operators.review import review_cases
 from paperloom.operators.templates import classify
 
@@ -25,28 +26,29 @@ def extract_documents(
     ``name``, ``raw_text``.  ``rasters``: ``image_id`` (the source path), ``width``, ``height``,
     ``pixels``.  Papers without a raster keep unknown marks, as a PDF does.
     """
-    texts = document_text(pages, KEYS).join(avg_confidence(pages, KEYS, confidence_threshold), KEYS, "left")
+    texts = with_confidence(document_text(pages, KEYS, *confidence_sums()), confidence_threshold)
     if regions is not None:
         texts = texts.join(region_map(regions, ["source_path"]), "source_path", "left")
     else:
         texts = texts.withColumn("regions", F.lit(None).cast("map<string,string>"))
-    fields = extract_all(classify(texts))
+    papers = classify(texts)
     if rasters is not None:
-        sizes = blur(rasters, blur_threshold).join(rasters.select("image_id", "width", "height"), "image_id")
-        templated = rasters.join(
-            fields.select(F.col("source_path").alias("image_id"), "template_id").distinct(), "image_id"
-        )
-        # a source filed under two types is read under two templates, hence the template in the key
-        checks = document_checks(templated.select("image_id", F.col("template_id"), F.col("template_id").alias("read_as"), "width", "height", "pixels"))
-        fields = fields.join(sizes.withColumnRenamed("image_id", "source_path"), "source_path", "left").join(
-            checks.withColumnsRenamed({"image_id": "source_path", "read_as": "template_id"}), ["source_path", "template_id"], "left"
+        # the raster joins once and every measure is taken in the joined row
+        seen = rasters.select(F.col("image_id").alias("source_path"), "width", "height", "pixels")
+        joined = papers.join(seen, "source_path", "left").withColumn(
+            "blur_score", laplacian_variance("pixels", "width", "height")
         )
+        papers = document_checks(joined).withColumn("blurry", F.col("blur_score") < blur_threshold)
     else:
-        for name, kind in (
-            ("width", "int"), ("height", "int"), ("blur_score", "double"), ("blurry", "boolean"), ("seal_present", "boolean"),
-            ("signature_present", "boolean"), ("all_no_boxes_checked", "boolean"), ("checked_no_box_count", "int"),
-        ):
-            fields = fields.withColumn(name, F.lit(None).cast(kind))
+        papers = papers.withColumns({
+            name: F.lit(None).cast(kind)
+            for name, kind in (
+                ("width", "int"), ("height", "int"), ("blur_score", "double"), ("blurry", "boolean"),
+                ("seal_present", "boolean"), ("signature_present", "boolean"), ("all_no_boxes_checked", "boolean"),
+                ("checked_no_box_count", "int"),
+            )
+        })
+    fields = extract_all(papers)
     suffix = F.lower(F.regexp_extract("source_path", r"[^/.](\.[^./]+)$", 1))
     checks = F.struct(
         "has_certification_text", "has_irs_heading", "has_apostille_heading", "filled_item_count",

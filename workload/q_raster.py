@@ -13,13 +13,13 @@ BIG = "WITH " + V.BIG_RASTERS_CHECK
 
 
 def blur(spark, folder):
-    return R.blur(V.rasters(spark, folder)).select("image_id", F.round("blur_score", 4).alias("blur_score"), "blurry")
+    return R.blur(V.rasters(spark, folder)).select("image_id", F.round("blur_score", 6).alias("blur_score"), "blurry")
 
 
 BLUR_SQL = SMALL + """, px AS (SELECT image_id, i, pixels, i // 8 AS y, i % 8 AS x FROM rasters_v, generate_series(0, 63) g(i)),
 lap AS (SELECT image_id, -4 * pixels[i + 1] + pixels[((y + 7) % 8) * 8 + x + 1] + pixels[((y + 1) % 8) * 8 + x + 1]
   + pixels[y * 8 + (x + 7) % 8 + 1] + pixels[y * 8 + (x + 1) % 8 + 1] AS v FROM px)
-SELECT image_id, round(var_pop(v), 4) AS blur_score, var_pop(v) < 100.0 AS blurry FROM lap GROUP BY image_id"""
+SELECT image_id, round(var_pop(v), 6) AS blur_score, var_pop(v) < 100.0 AS blurry FROM lap GROUP BY image_id"""
 
 
 def _with_template(df):
