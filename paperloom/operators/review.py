@@ -31,9 +31,13 @@ def _not_true(name: str) -> Column:
     return ~F.coalesce(F.col(f"quality_checks.{name}"), F.lit(False))
 
 
+def _sql_text(value: str | None) -> str:
+    return "CAST(NULL AS STRING)" if value is None else "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def finding(code: str, message: str, field: str | None = None) -> Column:
-    return F.struct(
-        F.lit(code).alias("code"), F.lit(message).alias("message"), F.lit(field).cast("string").alias("field_name")
+    return F.expr(
+        f"named_struct('code', {_sql_text(code)}, 'message', {_sql_text(message)}, 'field_name', {_sql_text(field)})"
     )
 
 

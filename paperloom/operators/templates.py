@@ -21,21 +21,17 @@ def template_regions(spark: SparkSession, kind: str | None = None) -> DataFrame:
 
 def region_rules(template_id: Column, kinds: tuple[str, ...]) -> Column:
     """The rules of a template as a literal array of structs, so that no join is needed."""
-    chosen = F.array().cast(
-        "array<struct<kind:string,name:string,left:double,top:double,right:double,bottom:double,min_dark_ratio:double>>"
-    )
+    names = ("left", "top", "right", "bottom", "min_dark_ratio")
+    number = lambda v: "CAST(NULL AS DOUBLE)" if v is None else f"{v}D"
+    chosen = F.array().cast(f"array<struct<kind:string,name:string,{','.join(f'{n}:double' for n in names)}>>")
     for template in dict.fromkeys(r[0] for r in K.TEMPLATE_REGIONS):
         rules = [
-            F.struct(
-                F.lit(kind).alias("kind"), F.lit(name).alias("name"),
-                *[F.lit(v).alias(n) for n, v in zip(("left", "top", "right", "bottom"), box)],
-                F.lit(dark).cast("double").alias("min_dark_ratio"),
-            )
-            for t, kind, name, *box, dark in K.TEMPLATE_REGIONS
+            f"named_struct('kind', '{kind}', 'name', '{name}', " + ", ".join(f"'{n}', {number(v)}" for n, v in zip(names, values)) + ")"
+            for t, kind, name, *values in K.TEMPLATE_REGIONS
             if t == template and kind in kinds
         ]
         if rules:
-            chosen = F.when(template_id == template, F.array(*rules)).otherwise(chosen)
+            chosen = F.when(template_id == template, F.expr(f"array({', '.join(rules)})")).otherwise(chosen)
     return chosen
 
 
