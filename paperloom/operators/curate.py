@@ -9,9 +9,11 @@ from paperloom import constants as K
 from paperloom.functions.predicates import field_group, is_accepted
 from paperloom.functions.text import literal_array, nonempty, present, stable_number
 from paperloom.operators.templates import pixel_box, region_rules, template_of
-from paperloom.session import broadcast_if_small, with_index
+from paperloom.session import broadcast_if_small, cut_lineage, with_index
 
 HARD, BASE = "hard_case", "base"
+MANY_GROUPS = 1_000  # field groups that may be named in a filter
+SMALL_CROP = 10_000  # hard cases of one crop that a single window task may sort
 READABLE_TEMPLATES = tuple(dict.fromkeys(r[0] for r in K.TEMPLATE_REGIONS if r[1] == "ocr"))
 
 
@@ -233,9 +235,14 @@ def hard_case_cap(train: DataFrame, ratio: float | None = 0.5) -> DataFrame:
     """Allowed number of hard cases per field group of a train set (with ``source_type``)."""
     if ratio is not None and ratio < 0:
         raise ValueError("the hard case ratio must not be negative")
+    return _caps_from(profile_counts(train), ratio)
+
+
+def _caps_from(counts: DataFrame, ratio: float | None) -> DataFrame:
     is_hard = F.col("source_type") == HARD
-    counted = train.groupBy("field_group").agg(
-        F.count_if(~is_hard).alias("base_count"), F.count_if(is_hard).alias("hard_count"),
+    rows = lambda test: F.coalesce(F.sum(F.when(test, F.col("rows"))), F.lit(0)).cast("bigint")
+    counted = counts.groupBy("field_group").agg(
+        rows(~is_hard).alias("base_count"), rows(is_hard).alias("hard_count"),
         F.count_distinct(F.when(is_hard, F.col("augmentation_type"))).alias("variant_count"),
     )
     if ratio is None or ratio >= 1.0:
@@ -263,10 +270,14 @@ def quotas(train: DataFrame, caps: DataFrame) -> DataFrame:
     and the last partial round have closed forms: no row per seat.  All windows run over one row per
     (field group, document type).
     """
-    kind = F.coalesce(nonempty(F.col("document_type")), F.lit(K.UNKNOWN)).alias("document_type")
+    return _quotas_from(profile_counts(train), caps)
+
+
+def _quotas_from(counts: DataFrame, caps: DataFrame) -> DataFrame:
     is_hard = F.col("source_type") == HARD
-    sides = train.groupBy("field_group", kind).agg(
-        F.count_if(~is_hard).alias("base"), F.count_if(is_hard).alias("available")
+    rows = lambda test: F.coalesce(F.sum(F.when(test, F.col("rows"))), F.lit(0)).cast("bigint")
+    sides = counts.groupBy("field_group", "document_type").agg(
+        rows(~is_hard).alias("base"), rows(is_hard).alias("available")
     ).join(caps.filter("capped AND allowed > 0").select("field_group", "allowed", "base_count"), "field_group")
     group = Window.partitionBy("field_group")
     ideal = F.col("allowed").cast("double") * F.col("base") / F.col("base_count")
@@ -301,25 +312,30 @@ def select_hard_cases(hard: DataFrame, quota: DataFrame) -> DataFrame:
     Base crops are numbered in name order; a crop gives one hard case per round, and in round r crop
     i gives the variant r steps after its i-th, so neighbours give different variants.  Rounds
     before the last take every crop once, which is what picking the least used crop and the next
-    variant again and again arrives at.  All numbering is distributed: a type holding most rows, or
-    a crop with very many hard cases, is spread over tasks by its sort order.
+    variant again and again arrives at.  Numbering within a type is distributed, as a type may hold
+    most rows; within a crop a window does while crops are small, and the distributed way else.
     """
     kind = F.coalesce(nonempty(F.col("document_type")), F.lit(K.UNKNOWN))
     base = F.coalesce(
         nonempty(F.col("base_crop_path")), nonempty(F.col("crop_path")), nonempty(F.col("case_id")), F.lit(K.UNKNOWN)
     )
-    keyed = hard.join(
-        broadcast_if_small(quota.filter("quota > 0").select(F.col("field_group"), F.col("document_type").alias("__kind"), "quota")),
-        (hard["field_group"] == quota["field_group"]) & (kind == F.col("__kind")),
-    ).select(hard["*"], "quota", F.col("__kind"), base.alias("__base"))
-    entries = with_index(
-        keyed, ["field_group", "__kind", "__base"], ["augmentation_type", "field_name", "crop_path"], "__entry"
+    wanted = quota.filter("quota > 0").select(
+        F.col("field_group").alias("__group"), F.col("document_type").alias("__kind"), "quota"
+    )
+    keyed = hard.withColumns({"__type": kind, "__base": base}).join(
+        broadcast_if_small(wanted), (F.col("field_group") == F.col("__group")) & (F.col("__type") == F.col("__kind"))
     )
+    crop = ["field_group", "__kind", "__base"]
+    order = ["augmentation_type", "field_name", "crop_path"]
     bases = with_index(
-        entries.groupBy("field_group", "__kind", "__base").agg(F.count(F.lit(1)).alias("__entries")),
-        ["field_group", "__kind"], ["__base"], "__crop",
+        keyed.groupBy(*crop).agg(F.count(F.lit(1)).alias("__entries")), ["field_group", "__kind"], ["__base"], "__crop"
     )
-    rounds = entries.join(bases, ["field_group", "__kind", "__base"]).withColumn(
+    if (bases.agg(F.max("__entries")).first()[0] or 0) <= SMALL_CROP:
+        within = Window.partitionBy(*crop).orderBy(*order)
+        entries = keyed.withColumn("__entry", F.row_number().over(within) - 1)
+    else:
+        entries = with_index(keyed, crop, order, "__entry", few_groups=False)
+    rounds = entries.join(bases, crop).withColumn(
         "__round", F.pmod(F.col("__entry") - F.col("__crop"), F.col("__entries"))
     )
     placed = with_index(rounds, ["field_group", "__kind"], ["__round", "__crop"], "__place")
@@ -330,6 +346,17 @@ def training_set(
     manifest: DataFrame, hard: DataFrame | None = None, include_rejected: bool = False, ratio: float | None = 0.5
 ) -> DataFrame:
     """Crops and current hard cases, without rejected rows, hard cases capped within train."""
+    return training_set_and_caps(manifest, hard, include_rejected, ratio)[0]
+
+
+def training_set_and_caps(
+    manifest: DataFrame, hard: DataFrame | None = None, include_rejected: bool = False, ratio: float | None = 0.5
+) -> tuple[DataFrame, DataFrame]:
+    """The training set and the caps applied to it.
+
+    The counts behind caps and quotas are one small table, written once; the selection runs only
+    for groups over their cap.
+    """
     rows = manifest
     if hard is not None:
         rows = rows.unionByName(current_hard_cases(manifest, hard, include_rejected), allowMissingColumns=True)
@@ -338,18 +365,21 @@ def training_set(
     if "augmentation_type" not in rows.columns:
         rows = rows.withColumns({"augmentation_type": F.lit(None).cast("string"), "base_crop_path": F.lit(None).cast("string")})
     rows = with_source_type(rows)
-    in_train = F.col("split") == K.TRAIN
-    train = rows.filter(in_train)
-    caps = hard_case_cap(train, ratio)
-    limited = caps.filter("capped").select("field_group")
-    capped_hard = train.filter(F.col("source_type") == HARD).join(broadcast_if_small(limited), "field_group", "left_semi")
-    free_hard = train.filter(F.col("source_type") == HARD).join(broadcast_if_small(limited), "field_group", "left_anti")
-    chosen = select_hard_cases(capped_hard.select(*rows.columns), quotas(train, caps))
-    return (
-        rows.filter(~(in_train & (F.col("source_type") == HARD)))
-        .unionByName(free_hard.select(*rows.columns))
-        .unionByName(chosen)
-    )
+    counts = cut_lineage(profile_counts(rows.filter(F.col("split") == K.TRAIN)))
+    caps = _caps_from(counts, ratio)
+    over = [r.field_group for r in caps.filter("capped").select("field_group").limit(MANY_GROUPS + 1).collect()]
+    if not over:
+        return rows, caps
+    train_hard = (F.col("split") == K.TRAIN) & (F.col("source_type") == HARD)
+    if len(over) <= MANY_GROUPS:
+        in_cap = F.col("field_group").isin(*over)
+        free, limited = rows.filter(~(train_hard & in_cap)), rows.filter(train_hard & in_cap)
+    else:
+        capped = caps.filter("capped").select("field_group")
+        limited = rows.filter(train_hard).join(capped, "field_group", "left_semi")
+        free = rows.filter(~train_hard).unionByName(rows.filter(train_hard).join(capped, "field_group", "left_anti"))
+    chosen = select_hard_cases(limited, cut_lineage(_quotas_from(counts, caps)))
+    return free.unionByName(chosen.select(*rows.columns)), caps
 
 
 # --- profiles, warnings, readiness --------------------------------------------------

@@ -6,15 +6,18 @@ from pyspark.sql import DataFrame
 
 from paperloom.operators import curate as C
 from paperloom.operators import reports as R
+from paperloom.session import cut_lineage
 
 
 def training_summary(
     manifest: DataFrame, hard: DataFrame | None = None, include_rejected: bool = False, ratio: float | None = 0.5
 ) -> DataFrame:
     """Profile, warnings and readiness per field group."""
-    rows = C.training_set(manifest, hard, include_rejected, ratio)
-    offered = C.training_set(manifest, hard, include_rejected, None)
-    caps = C.hard_case_cap(offered.filter("split = 'train'"), ratio)
+    rows, caps = C.training_set_and_caps(manifest, hard, include_rejected, ratio)
+    columns = ["field_group", "split", "document_type", "source_type", "augmentation_type", "source_path", "base_crop_path",
+               "crop_path", "text"]
+    # three reports read the set: write it once
+    rows = cut_lineage(rows.select(*columns))
     stale = None if hard is None else C.stale_hard_cases(manifest, hard, include_rejected)
     return C.readiness(C.warnings(C.data_profile(rows, caps, stale)))
 

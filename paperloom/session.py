@@ -43,14 +43,17 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
-def with_index(df: DataFrame, groups: list[str], order: list[str], name: str = "index") -> DataFrame:
+def with_index(
+    df: DataFrame, groups: list[str], order: list[str], name: str = "index", few_groups: bool = True
+) -> DataFrame:
     """Number the rows of each group 0, 1, 2... in ``order``, without one task per group.
 
     A window over a group would sort a group holding a third of all rows in one task.  Here a
     range partitioning on (group, order) spreads such a group over many tasks, every row takes
     its position inside its partition, and the counts per (partition, group) - a table no longer
     than partitions x groups - supply the offsets.  The sorted rows are checkpointed because the
-    positions must not change between the two reads.
+    positions must not change between the two reads.  ``few_groups`` says that the groups are a
+    closed set, which bounds the offsets and lets them be broadcast; else Spark picks the join.
     """
     keys = [F.col(g) for g in groups]
     base = "__position"
@@ -73,5 +76,5 @@ def with_index(df: DataFrame, groups: list[str], order: list[str], name: str = "
     condition = F.col(part) == F.col("__in")
     for group, alias in named.items():
         condition = condition & F.col(group).eqNullSafe(F.col(alias))
-    joined = ordered.join(broadcast_if_small(offsets, 200_000), condition, "left")
+    joined = ordered.join(F.broadcast(offsets) if few_groups else offsets, condition, "left")
     return joined.select(*df.columns, (F.col(base) + F.col("__shift")).cast("bigint").alias(name))
