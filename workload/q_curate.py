@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from paperloom import constants as K
 from paperloom.operators import curate as C
 from paperloom.plans.training import training_summary
+from paperloom.session import cut_lineage
 from workload import views as V
 from workload.q_extract import LABELS_SQL, _files, _labels, _values
 from workload.query import Query
@@ -146,9 +147,10 @@ def document_quotas(spark, folder):
 
 
 def selected_hard_cases(spark, folder):
-    train = _train(spark, folder)
-    caps = C.hard_case_cap(train, 0.3)
-    picked = C.select_hard_cases(train.filter("source_type = 'hard_case'"), C.quotas(train, caps))
+    train = cut_lineage(_train(spark, folder))
+    picked = C.select_hard_cases(
+        train.filter("source_type = 'hard_case'"), cut_lineage(C.quotas(train, C.hard_case_cap(train, 0.3)))
+    )
     return picked.select("field_group", "document_type", "augmentation_type", "base_crop_path", "crop_path")
 
 
