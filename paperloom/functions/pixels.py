@@ -7,14 +7,19 @@ nanoseconds; Spark still partitions the rasters and every kernel sees one raster
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paperloom import constants as K
+from paperloom.constants import DARK_BELOW
+
+# kernels travel to the workers by value, so executors need no copy of this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BOX = ("left", "top", "right", "bottom")
 TRIM = T.StructType([T.StructField(name, T.IntegerType()) for name in BOX])
@@ -40,7 +45,7 @@ def _wrapped_laplacian(grid: np.ndarray) -> float:
 
 def _measure(grid: np.ndarray) -> tuple:
     height, width = grid.shape
-    dark = grid < K.DARK_BELOW
+    dark = grid < DARK_BELOW
     rows, columns = np.flatnonzero(dark.any(axis=1)), np.flatnonzero(dark.any(axis=0))
     box = (columns[0], rows[0], columns[-1], rows[-1]) if rows.size else (None,) * 4
     band = max(1, min(width, height) // 12)
@@ -50,7 +55,7 @@ def _measure(grid: np.ndarray) -> tuple:
 
 def _trim(grid: np.ndarray, dense: float, share: float) -> tuple[int, int, int, int]:
     """Dense lines in a row from each side (left, top, right, bottom), up to a share of the side."""
-    dark = grid < K.DARK_BELOW
+    dark = grid < DARK_BELOW
     by_column, by_row = dark.mean(axis=0), dark.mean(axis=1)
 
     def run(ratios: np.ndarray) -> int:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 import unicodedata
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,6 +14,8 @@ from pyspark.sql import types as T
 from paperloom import constants as K
 from paperloom.functions.text import strip
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def field_group(name: Column) -> Column:
     """Field group of a field name; unknown names belong to the default group."""
@@ -87,8 +91,7 @@ def _compose(text: pd.Series) -> pd.Series:
 
 
 def nfc(col: Column) -> Column:
-    """Composed Unicode form.  Spark has no such function: Arrow batches, and only for rows that
-    hold a character beyond Latin-1 or a combining mark; plain text never leaves the JVM."""
+    """Composed Unicode form.  Spark has no such function, hence Arrow batches; see :func:`with_nfc`."""
     return _compose(col)
 
 

@@ -50,9 +50,14 @@ def expected_cases(spark: SparkSession, root: str, id_from: str = "payload") ->
 def run_results(spark: SparkSession, folder: str) -> DataFrame:
     """Run results of one folder; of several files for a case the last by name counts."""
     rows = _objects(spark, folder, S.RUN_RESULT, "*.json", recursive=False)
+    return latest_results(rows).select(*S.RUN_RESULT.names)
+
+
+def latest_results(rows: DataFrame) -> DataFrame:
+    """Complete results only, and of several for a case the one of the last file."""
     complete = rows.filter("case_id IS NOT NULL AND extracted_documents IS NOT NULL")
-    payload = F.struct(*S.RUN_RESULT.names)
-    return complete.groupBy("case_id").agg(F.max_by(payload, F.col("file_path")).alias("row")).select("row.*")
+    payload = F.struct(*[c for c in rows.columns if c != "case_id"])
+    return complete.groupBy("case_id").agg(F.max_by(payload, F.col("file_path")).alias("row")).select("case_id", "row.*")
 
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:

@@ -17,15 +17,17 @@ def write_manifest(df: DataFrame, root: str, mode: str = "overwrite") -> None:
     ).json(root)
 
 
-def write_label_file(df: DataFrame, root: str, image_root: str = "", mode: str = "overwrite") -> None:
-    """``relative image<TAB>text`` lines per field group and split."""
+def label_lines(df: DataFrame, image_root: str = "") -> DataFrame:
+    """``relative image<TAB>text`` lines with their field group and split."""
     prefix = image_root.rstrip("/") + "/" if image_root else ""
     image = F.when(F.col("crop_path").startswith(prefix), F.substring("crop_path", len(prefix) + 1, 1 << 20)).otherwise(
         F.col("crop_path")
     )
-    df.select("field_group", "split", F.concat(image, F.lit("\t"), "text").alias("value")).write.mode(mode).partitionBy(
-        "field_group", "split"
-    ).text(root)
+    return df.select("field_group", "split", F.concat(image, F.lit("\t"), "text").alias("value"))
+
+
+def write_label_file(df: DataFrame, root: str, image_root: str = "", mode: str = "overwrite") -> None:
+    label_lines(df, image_root).write.mode(mode).partitionBy("field_group", "split").text(root)
 
 
 def write_dictionary(df: DataFrame, root: str, mode: str = "overwrite") -> None:
@@ -51,7 +53,11 @@ def write_queue(cases: DataFrame, documents: DataFrame, root: str, batch: str) -
 
 def read_queue(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     """(cases, documents) with the newest batch of each case only."""
-    cases, documents = (spark.read.parquet(f"{root}/{part}") for part in QUEUE_PARTS)
+    return newest_batch(*(spark.read.parquet(f"{root}/{part}") for part in QUEUE_PARTS))
+
+
+def newest_batch(cases: DataFrame, documents: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of the newest batch of each case: a later write of a case replaces the earlier one."""
     newest = cases.groupBy("case_id").agg(F.max("batch").alias("batch"))
     current = cases.join(newest, ["case_id", "batch"], "left_semi")
     return current, documents.join(newest, ["case_id", "batch"], "left_semi")
