@@ -319,11 +319,12 @@ def select_hard_cases(hard: DataFrame, quota: DataFrame) -> DataFrame:
     base = F.coalesce(
         nonempty(F.col("base_crop_path")), nonempty(F.col("crop_path")), nonempty(F.col("case_id")), F.lit(K.UNKNOWN)
     )
+    # one row per (field group, type)
     wanted = quota.filter("quota > 0").select(
-        F.col("field_group").alias("__group"), F.col("document_type").alias("__kind"), "quota"
+        F.col("field_group").alias("__group"), F.col("document_type").alias("__want"), "quota"
     )
-    keyed = hard.withColumns({"__type": kind, "__base": base}).join(
-        broadcast_if_small(wanted), (F.col("field_group") == F.col("__group")) & (F.col("__type") == F.col("__kind"))
+    keyed = hard.withColumns({"__kind": kind, "__base": base}).join(
+        broadcast_if_small(wanted.drop("quota")), (F.col("field_group") == F.col("__group")) & (F.col("__kind") == F.col("__want")), "left_semi"
     )
     crop = ["field_group", "__kind", "__base"]
     order = ["augmentation_type", "field_name", "crop_path"]
@@ -337,9 +338,41 @@ def select_hard_cases(hard: DataFrame, quota: DataFrame) -> DataFrame:
         entries = with_index(keyed, crop, order, "__entry", few_groups=False)
     rounds = entries.join(bases, crop).withColumn(
         "__round", F.pmod(F.col("__entry") - F.col("__crop"), F.col("__entries"))
+    ).join(F.broadcast(_last_round(bases, wanted)), (F.col("field_group") == F.col("__g")) & (F.col("__kind") == F.col("__k")))
+    # about as many rows as the quotas ask for, read twice
+    rounds = cut_lineage(rounds.filter(F.col("__round") <= F.col("__last")))
+    whole = rounds.filter(F.col("__round") < F.col("__last"))
+    partial = with_index(
+        rounds.filter((F.col("__round") == F.col("__last")) & (F.col("__rest") > 0)), ["field_group", "__kind"], ["__crop"], "__place"
+    ).filter(F.col("__place") < F.col("__rest"))
+    return whole.select(*hard.columns).unionByName(partial.select(*hard.columns))
+
+
+def _last_round(bases: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Per (field group, type) the round the quota ends in and how many places it has left there.
+
+    After r rounds the crops have given sum(min(entries, r)) hard cases.  That sum grows with r along
+    straight pieces, so the last whole round follows from the counts of crops by their number of
+    entries: a table of distinct sizes, one window partition per type.
+    """
+    sizes = bases.groupBy("field_group", "__kind", "__entries").agg(F.count(F.lit(1)).alias("crops")).join(
+        broadcast_if_small(wanted), (F.col("field_group") == F.col("__group")) & (F.col("__kind") == F.col("__want"))
+    )
+    kind = Window.partitionBy("field_group", "__kind")
+    by_size = kind.orderBy("__entries")
+    smaller = F.coalesce(
+        F.sum(F.col("__entries") * F.col("crops")).over(by_size.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+    )
+    giving = F.sum("crops").over(by_size.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    total = F.sum(F.col("__entries") * F.col("crops")).over(kind)
+    reached = sizes.withColumns({"pieces": F.floor((F.col("quota") - smaller) / giving), "total": total})
+    ended = reached.withColumn(
+        "last", F.when(F.col("quota") >= F.col("total"), F.max("__entries").over(kind)).otherwise(F.max("pieces").over(kind))
+    )
+    return ended.groupBy(F.col("field_group").alias("__g"), F.col("__kind").alias("__k")).agg(
+        F.max("last").alias("__last"),
+        (F.max("quota") - F.sum(F.least("__entries", "last") * F.col("crops"))).alias("__rest"),
     )
-    placed = with_index(rounds, ["field_group", "__kind"], ["__round", "__crop"], "__place")
-    return placed.filter(F.col("__place") < F.col("quota")).select(*hard.columns)
 
 
 def training_set(
@@ -378,7 +411,8 @@ def training_set_and_caps(
         capped = caps.filter("capped").select("field_group")
         limited = rows.filter(train_hard).join(capped, "field_group", "left_semi")
         free = rows.filter(~train_hard).unionByName(rows.filter(train_hard).join(capped, "field_group", "left_anti"))
-    chosen = select_hard_cases(limited, cut_lineage(_quotas_from(counts, caps)))
+    # the selection reads its rows several times: write them once
+    chosen = select_hard_cases(cut_lineage(limited), cut_lineage(_quotas_from(counts, caps)))
     return free.unionByName(chosen.select(*rows.columns)), caps
 
 
