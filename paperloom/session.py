@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -25,13 +26,24 @@ def build_session(master: str | None = None, app: str = "paperloom", **conf: str
     return builder.getOrCreate()
 
 
+def _shared_folder(spark: SparkSession) -> str:
+    """The cluster's checkpoint folder; a temporary one only where none is named, as in tests."""
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    if named is None and context.getCheckpointDir() is None:
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
+    return (named or context.getCheckpointDir()).rstrip("/")
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the cluster's shared checkpoint folder and continue from there."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
-    return df.checkpoint()
+    """Write ``df`` as a table in the cluster's shared checkpoint folder and continue from there.
+
+    Unlike ``checkpoint()``, which counts first and computes again to write, this computes once, and
+    readers take only the columns they need.
+    """
+    path = f"{_shared_folder(df.sparkSession)}/paperloom-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
@@ -51,7 +63,7 @@ def with_index(
     A window over a group would sort a group holding a third of all rows in one task.  Here a
     range partitioning on (group, order) spreads such a group over many tasks, every row takes
     its position inside its partition, and the counts per (partition, group) - a table no longer
-    than partitions x groups - supply the offsets.  The sorted rows are checkpointed because the
+    than partitions x groups - supply the offsets.  The sorted rows are written out because the
     positions must not change between the two reads.  ``few_groups`` says that the groups are a
     closed set, which bounds the offsets and lets them be broadcast; else Spark picks the join.
     """
