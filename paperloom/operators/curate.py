@@ -398,7 +398,10 @@ def training_set_and_caps(
     if "augmentation_type" not in rows.columns:
         rows = rows.withColumns({"augmentation_type": F.lit(None).cast("string"), "base_crop_path": F.lit(None).cast("string")})
     rows = with_source_type(rows)
-    counts = cut_lineage(profile_counts(rows.filter(F.col("split") == K.TRAIN)))
+    train = rows.filter(F.col("split") == K.TRAIN)
+    if ratio is None or ratio >= 1.0:
+        return rows, hard_case_cap(train, ratio)
+    counts = cut_lineage(profile_counts(train))
     caps = _caps_from(counts, ratio)
     over = [r.field_group for r in caps.filter("capped").select("field_group").limit(MANY_GROUPS + 1).collect()]
     if not over:
