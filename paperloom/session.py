@@ -26,11 +26,17 @@ def build_session(master: str | None = None, app: str = "paperloom", **conf: str
     return builder.getOrCreate()
 
 
-def _shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only where none is named, as in tests."""
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's checkpoint folder; a temporary one only on a local master, as in tests.
+
+    Elsewhere an unset ``spark.checkpoint.dir`` is an error: a folder of the driver's machine would take
+    each executor's part of a table on a disk that no other machine reads.
+    """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if named is None and context.getCheckpointDir() is None:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
     return (named or context.getCheckpointDir()).rstrip("/")
 
@@ -41,7 +47,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     Unlike ``checkpoint()``, which counts first and computes again to write, this computes once, and
     readers take only the columns they need.
     """
-    path = f"{_shared_folder(df.sparkSession)}/paperloom-{uuid.uuid4().hex}"
+    path = f"{shared_folder(df.sparkSession)}/paperloom-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
