@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -12,6 +13,8 @@ from paperloom.session import cut_lineage
 
 #: Rows of a rank bucket that one window is meant to sort.
 BUCKET_ROWS = 20_000
+#: Bits of a membership table.
+MEMBER_BITS = 1 << 23
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -25,8 +28,6 @@ def byte_texts(column: pa.Array) -> list[bytes]:
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that a slice holds about ``most`` bytes of text, or one longer text."""
-    import numpy as np
-
     for batch in batches:
         lengths = batch.column(column).cast(pa.large_binary())
         sizes = np.diff(np.frombuffer(lengths.buffers()[1], np.int64, len(lengths) + 1, lengths.offset * 8)) if len(lengths) else np.zeros(0)
@@ -74,6 +75,16 @@ def running(df: DataFrame, groups: list[str], order: list[str], key: str, rows:
     return counted.join(before, same).select(*df.columns, (F.col("__before") + F.col("__inside")).alias(name))
 
 
+def membership(ids: DataFrame, column: str) -> bytes:
+    """A bit table of fixed size over the ids: absent ones are mostly, present ones never, told absent."""
+    slot = F.pmod(F.col(column), F.lit(MEMBER_BITS))
+    words = ids.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, CAST(slot & 63 AS INT)))").alias("bits"))
+    out = np.zeros(MEMBER_BITS // 64, np.uint64)
+    for row in words.collect():  # MEMBER_BITS / 64 rows at most
+        out[row["word"]] = np.uint64(row["bits"] % (1 << 64))
+    return out.tobytes()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node, root`` of every node of ``edges`` (``a, b`` long): root is the smallest node reachable.
 

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from paperloom.llm import sql
 from paperloom.llm.common import table
+from paperloom.llm.jaccard import link
 from paperloom.llm.licences import scan
+from paperloom.llm.line_chunks import dedup_lines
 from paperloom.llm.mixing import mix, n_words
 from paperloom.llm.packing import pack
 from paperloom.llm.quality_rules import judge
@@ -31,13 +33,24 @@ def op5_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.withColumn("law", F.lit("key"))
 
 
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link(table(spark, sf_dir, "documents"), width=3, num=90, den=100)
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op10_line_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed_lines", "text")
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_licence_scan, op2_source_mix, op3_quality_rules, op5_hash_tree_shards, op8_best_fit_packing)
+    for f in (
+        op1_licence_scan, op2_source_mix, op3_quality_rules, op5_hash_tree_shards, op6_ngram_jaccard_join, op8_best_fit_packing,
+        op10_line_chunk_dedup,
+    )
 }
 
 ORACLE_SQL = {
@@ -45,4 +58,6 @@ ORACLE_SQL = {
     "op2_source_mix": sql.MIX,
     "op3_quality_rules": sql.QUALITY,
     "op5_hash_tree_shards": sql.SHARDS,
+    "op6_ngram_jaccard_join": sql.JACCARD,
+    "op10_line_chunk_dedup": sql.LINES,
 }

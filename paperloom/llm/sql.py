@@ -136,3 +136,38 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(crc AS BIGINT) AS text_crc32,
        CAST(row_number() OVER (PARTITION BY shard ORDER BY md5('slot:' || key), doc_id, crc) - 1 AS BIGINT) AS slot, CAST(grown_shard AS INTEGER) AS grown_shard
 FROM p
 """
+
+
+JACCARD = """
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS k, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents),
+s AS (
+  SELECT DISTINCT k, x FROM (
+    SELECT k, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [w] ELSE [w[i:i + 2] FOR i IN range(1, len(w) - 1)] END) AS x FROM d)),
+n AS (SELECT k, count(*) AS n FROM s GROUP BY k),
+p AS (SELECT a.k AS a, b.k AS b, count(*) AS c FROM s a JOIN s b ON a.x = b.x AND a.k <> b.k GROUP BY a.k, b.k),
+l AS (SELECT a, b FROM p JOIN n x ON a = x.k JOIN n y ON b = y.k WHERE 100 * c >= 90 * (x.n + y.n - c)),
+r(k, o) AS (SELECT k, k FROM d UNION SELECT r.k, l.b FROM r JOIN l ON r.o = l.a),
+m AS (SELECT r.k, min(d.doc_id) AS least FROM r JOIN d ON r.o = d.k GROUP BY r.k)
+SELECT doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, m.least AS component_id
+FROM d JOIN m USING (k) LEFT JOIN n USING (k)
+"""
+
+LINES = """
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, text FROM documents),
+l AS (SELECT k, doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS i FROM d WHERE text <> ''),
+h AS (SELECT *, CAST('0x' || substr(md5(line), 1, 8) AS BIGINT) AS h FROM l),
+e AS (
+  SELECT *, (coalesce(lag(h) OVER w, 0) * 31 + h) % 3 = 0 AS ends FROM h WINDOW w AS (PARTITION BY k ORDER BY i)),
+c AS (SELECT *, coalesce(sum(CAST(ends AS INT)) OVER (PARTITION BY k ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk FROM e),
+g AS (SELECT k, doc_id, chunk, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS body FROM c GROUP BY k, doc_id, chunk),
+f AS (
+  SELECT k, chunk, n >= 2 AND (doc_id, chunk) <> first_value((doc_id, chunk)) OVER (PARTITION BY body ORDER BY doc_id NULLS LAST, chunk) AS gone FROM g),
+t AS (
+  SELECT c.k, count(*) AS n, sum(CAST(gone AS INT)) AS m, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '') AS text
+  FROM c JOIN f USING (k, chunk) GROUP BY c.k)
+SELECT doc_id, CAST(coalesce(t.n, 0) AS BIGINT) AS n_lines, CAST(coalesce(t.m, 0) AS BIGINT) AS n_removed_lines, coalesce(t.text, d.text) AS text
+FROM d LEFT JOIN t USING (k)
+"""
