@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from paperloom.llm import sql
 from paperloom.llm.common import table
+from paperloom.llm.html_text import main_text
 from paperloom.llm.jaccard import link
 from paperloom.llm.licences import scan
 from paperloom.llm.line_chunks import dedup_lines
@@ -37,6 +38,10 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link(table(spark, sf_dir, "documents"), width=3, num=90, den=100)
 
 
+def op7_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
@@ -48,8 +53,8 @@ def op10_line_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_licence_scan, op2_source_mix, op3_quality_rules, op5_hash_tree_shards, op6_ngram_jaccard_join, op8_best_fit_packing,
-        op10_line_chunk_dedup,
+        op1_licence_scan, op2_source_mix, op3_quality_rules, op5_hash_tree_shards, op6_ngram_jaccard_join, op7_html_main_text,
+        op8_best_fit_packing, op10_line_chunk_dedup,
     )
 }
 
