@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperloom.llm import sql
+from paperloom.llm.ann import search
 from paperloom.llm.common import table
 from paperloom.llm.html_text import main_text
 from paperloom.llm.jaccard import link
@@ -29,6 +30,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents")).drop("longest_repeat")
 
 
+def op4_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op5_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shard(table(spark, sf_dir, "documents"), layout(16), layout(17))
     return placed.withColumn("law", F.lit("key"))
@@ -53,8 +58,8 @@ def op10_line_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_licence_scan, op2_source_mix, op3_quality_rules, op5_hash_tree_shards, op6_ngram_jaccard_join, op7_html_main_text,
-        op8_best_fit_packing, op10_line_chunk_dedup,
+        op1_licence_scan, op2_source_mix, op3_quality_rules, op4_learned_partitions, op5_hash_tree_shards, op6_ngram_jaccard_join,
+        op7_html_main_text, op8_best_fit_packing, op10_line_chunk_dedup,
     )
 }
 
