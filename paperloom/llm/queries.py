@@ -13,6 +13,7 @@ from paperloom.llm.jaccard import link
 from paperloom.llm.licences import scan
 from paperloom.llm.line_chunks import dedup_lines
 from paperloom.llm.mixing import mix, n_words
+from paperloom.llm.nbsvm import quality
 from paperloom.llm.packing import pack
 from paperloom.llm.quality_rules import judge
 from paperloom.llm.sharding import layout, shard
@@ -51,6 +52,10 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op9_nb_support_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_line_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed_lines", "text")
 
@@ -59,7 +64,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_licence_scan, op2_source_mix, op3_quality_rules, op4_learned_partitions, op5_hash_tree_shards, op6_ngram_jaccard_join,
-        op7_html_main_text, op8_best_fit_packing, op10_line_chunk_dedup,
+        op7_html_main_text, op8_best_fit_packing, op9_nb_support_vectors, op10_line_chunk_dedup,
     )
 }
 
