@@ -12,8 +12,6 @@ from paperloom.operators.templates import pixel_box, region_rules, template_of
 from paperloom.session import broadcast_if_small, cut_lineage, with_index
 
 HARD, BASE = "hard_case", "base"
-MANY_GROUPS = 1_000  # field groups that may be named in a filter
-SMALL_CROP = 10_000  # hard cases of one crop that a single window task may sort
 READABLE_TEMPLATES = tuple(dict.fromkeys(r[0] for r in K.TEMPLATE_REGIONS if r[1] == "ocr"))
 
 
@@ -278,7 +276,9 @@ def _quotas_from(counts: DataFrame, caps: DataFrame) -> DataFrame:
     rows = lambda test: F.coalesce(F.sum(F.when(test, F.col("rows"))), F.lit(0)).cast("bigint")
     sides = counts.groupBy("field_group", "document_type").agg(
         rows(~is_hard).alias("base"), rows(is_hard).alias("available")
-    ).join(caps.filter("capped AND allowed > 0").select("field_group", "allowed", "base_count"), "field_group")
+    ).join(
+        caps.filter("capped AND allowed > 0").select(F.col("field_group").alias("__g"), "allowed", "base_count"), F.col("field_group").eqNullSafe(F.col("__g"))
+    ).drop("__g")
     group = Window.partitionBy("field_group")
     ideal = F.col("allowed").cast("double") * F.col("base") / F.col("base_count")
     started = sides.withColumn("ideal", ideal).withColumn(
@@ -300,78 +300,67 @@ def _quotas_from(counts: DataFrame, caps: DataFrame) -> DataFrame:
         "field_group", "document_type",
         (F.col("whole") + F.when(F.col("wants") & (F.col("turn") <= F.col("left")), 1).otherwise(0)).alias("extra"),
     )
-    return started.join(extra, ["field_group", "document_type"], "left").select(
+    extra = extra.select(F.col("field_group").alias("__g"), F.col("document_type").alias("__d"), "extra")
+    return started.join(extra, F.col("field_group").eqNullSafe(F.col("__g")) & (F.col("document_type") == F.col("__d")), "left").select(
         "field_group", "document_type", "base", "available",
         (F.col("start") + F.coalesce("extra", F.lit(0))).cast("bigint").alias("quota"),
     )
 
 
 def select_hard_cases(hard: DataFrame, quota: DataFrame) -> DataFrame:
-    """Fill each (field group, document type) quota evenly over base crops and variants.
+    """Fill each (field group, document type) quota by taking the variants in turn.
+
+    A round takes one hard case of every variant that has one left, in the order of their names, until
+    the quota is full; so a variant gives the rounds before the last, or all it has, and the last round
+    goes to the first names.  Within a variant every base crop gives one hard case before any gives a
+    second, and crops begin where the variants before it ended: at level m the i-th crop gives the
+    variant m places after its own.  Up to as many seats as crops this picks the least used crop for
+    every seat; beyond, a crop may differ from that where crops lack variants.
 
-    Base crops are numbered in name order; a crop gives one hard case per round, and in round r crop
-    i gives the variant r steps after its i-th, so neighbours give different variants.  Rounds
-    before the last take every crop once, which is what picking the least used crop and the next
-    variant again and again arrives at.  Numbering within a type is distributed, as a type may hold
-    most rows; within a crop a window does while crops are small, and the distributed way else.
+    Counts of variants decide before rows are ranked; ranks within a variant are distributed.
     """
     kind = F.coalesce(nonempty(F.col("document_type")), F.lit(K.UNKNOWN))
     base = F.coalesce(
         nonempty(F.col("base_crop_path")), nonempty(F.col("crop_path")), nonempty(F.col("case_id")), F.lit(K.UNKNOWN)
     )
-    # one row per (field group, type)
+    variant = F.coalesce(nonempty(F.col("augmentation_type")), F.lit(K.UNKNOWN))
+    keyed = hard.withColumns({"__group": F.coalesce("field_group", F.lit(K.UNKNOWN)), "__kind": kind, "__base": base, "__variant": variant})
+    # one row per (field group, type, variant)
+    shares = _variant_shares(keyed, quota).select(*[F.col(c).alias(f"{c}_of") for c in ("__group", "__kind", "__variant")], "__take", "__number", "__variants")
+    same = [F.col(c) == F.col(f"{c}_of") for c in ("__group", "__kind", "__variant")]
+    open_ = keyed.join(shares, same[0] & same[1] & same[2])
+    crop = ["__group", "__kind", "__base"]
+    bases = with_index(open_.select(*crop).distinct(), crop[:2], ["__base"], "__crop", few_groups=False)
+    within = Window.partitionBy(*crop, "__variant").orderBy("field_name", "crop_path")
+    entries = open_.withColumn("__entry", F.row_number().over(within)).join(bases, crop)
+    level = F.pmod(F.col("__number") - F.col("__crop"), F.col("__variants"))
+    ranked = with_index(
+        entries.withColumn("__level", level), ["__group", "__kind", "__variant"], ["__entry", "__level", "__crop"], "__place", few_groups=False
+    )
+    return ranked.filter(F.col("__place") < F.col("__take")).select(*hard.columns)
+
+
+def _variant_shares(keyed: DataFrame, quota: DataFrame) -> DataFrame:
+    """Seats of each variant, its place among the names and how many there are: windows over counts."""
     wanted = quota.filter("quota > 0").select(
-        F.col("field_group").alias("__group"), F.col("document_type").alias("__want"), "quota"
-    )
-    keyed = hard.withColumns({"__kind": kind, "__base": base}).join(
-        broadcast_if_small(wanted.drop("quota")), (F.col("field_group") == F.col("__group")) & (F.col("__kind") == F.col("__want")), "left_semi"
-    )
-    crop = ["field_group", "__kind", "__base"]
-    order = ["augmentation_type", "field_name", "crop_path"]
-    bases = with_index(
-        keyed.groupBy(*crop).agg(F.count(F.lit(1)).alias("__entries")), ["field_group", "__kind"], ["__base"], "__crop"
-    )
-    if (bases.agg(F.max("__entries")).first()[0] or 0) <= SMALL_CROP:
-        within = Window.partitionBy(*crop).orderBy(*order)
-        entries = keyed.withColumn("__entry", F.row_number().over(within) - 1)
-    else:
-        entries = with_index(keyed, crop, order, "__entry", few_groups=False)
-    rounds = entries.join(bases, crop).withColumn(
-        "__round", F.pmod(F.col("__entry") - F.col("__crop"), F.col("__entries"))
-    ).join(F.broadcast(_last_round(bases, wanted)), (F.col("field_group") == F.col("__g")) & (F.col("__kind") == F.col("__k")))
-    # about as many rows as the quotas ask for, read twice
-    rounds = cut_lineage(rounds.filter(F.col("__round") <= F.col("__last")))
-    whole = rounds.filter(F.col("__round") < F.col("__last"))
-    partial = with_index(
-        rounds.filter((F.col("__round") == F.col("__last")) & (F.col("__rest") > 0)), ["field_group", "__kind"], ["__crop"], "__place"
-    ).filter(F.col("__place") < F.col("__rest"))
-    return whole.select(*hard.columns).unionByName(partial.select(*hard.columns))
-
-
-def _last_round(bases: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Per (field group, type) the round the quota ends in and how many places it has left there.
-
-    After r rounds the crops have given sum(min(entries, r)) hard cases.  That sum grows with r along
-    straight pieces, so the last whole round follows from the counts of crops by their number of
-    entries: a table of distinct sizes, one window partition per type.
-    """
-    sizes = bases.groupBy("field_group", "__kind", "__entries").agg(F.count(F.lit(1)).alias("crops")).join(
-        broadcast_if_small(wanted), (F.col("field_group") == F.col("__group")) & (F.col("__kind") == F.col("__want"))
-    )
-    kind = Window.partitionBy("field_group", "__kind")
-    by_size = kind.orderBy("__entries")
-    smaller = F.coalesce(
-        F.sum(F.col("__entries") * F.col("crops")).over(by_size.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-    )
-    giving = F.sum("crops").over(by_size.rowsBetween(Window.currentRow, Window.unboundedFollowing))
-    total = F.sum(F.col("__entries") * F.col("crops")).over(kind)
-    reached = sizes.withColumns({"pieces": F.floor((F.col("quota") - smaller) / giving), "total": total})
-    ended = reached.withColumn(
-        "last", F.when(F.col("quota") >= F.col("total"), F.max("__entries").over(kind)).otherwise(F.max("pieces").over(kind))
-    )
-    return ended.groupBy(F.col("field_group").alias("__g"), F.col("__kind").alias("__k")).agg(
-        F.max("last").alias("__last"),
-        (F.max("quota") - F.sum(F.least("__entries", "last") * F.col("crops"))).alias("__rest"),
+        F.coalesce("field_group", F.lit(K.UNKNOWN)).alias("__group"), F.col("document_type").alias("__kind"), "quota"
+    )
+    counts = keyed.groupBy("__group", "__kind", "__variant").agg(F.count(F.lit(1)).alias("__rows")).join(wanted, ["__group", "__kind"])
+    side = Window.partitionBy("__group", "__kind")
+    by_rows = side.orderBy("__rows", "__variant")
+    sharing = F.count(F.lit(1)).over(by_rows.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    smaller = F.coalesce(F.sum("__rows").over(by_rows.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # full rounds: the largest r with sum(min(rows, r)) within the quota lies on one of these pieces
+    rounds = F.when(F.sum("__rows").over(side) <= F.col("quota"), F.max("__rows").over(side)).otherwise(F.max("__piece").over(side))
+    leveled = counts.withColumn("__piece", F.floor((F.col("quota") - smaller) / sharing)).withColumn("__rounds", rounds)
+    dealt = leveled.withColumn("__whole", F.least("__rows", "__rounds")).withColumns({
+        "__left": F.col("quota") - F.sum("__whole").over(side), "__more": F.col("__rows") > F.col("__rounds"),
+    })
+    turn = F.row_number().over(Window.partitionBy("__group", "__kind", "__more").orderBy("__variant"))
+    return dealt.select(
+        "__group", "__kind", "__variant",
+        (F.col("__whole") + F.when(F.col("__more") & (turn <= F.col("__left")), 1).otherwise(0)).alias("__take"),
+        (F.row_number().over(side.orderBy("__variant")) - 1).alias("__number"), F.count(F.lit(1)).over(side).alias("__variants"),
     )
 
 
@@ -387,8 +376,8 @@ def training_set_and_caps(
 ) -> tuple[DataFrame, DataFrame]:
     """The training set and the caps applied to it.
 
-    The counts behind caps and quotas are one small table, written once; the selection runs only
-    for groups over their cap.
+    The counts behind caps and quotas are one small table, written once; the selection reads only the
+    hard cases of groups over their cap.
     """
     rows = manifest
     if hard is not None:
@@ -403,20 +392,14 @@ def training_set_and_caps(
         return rows, hard_case_cap(train, ratio)
     counts = cut_lineage(profile_counts(train))
     caps = _caps_from(counts, ratio)
-    over = [r.field_group for r in caps.filter("capped").select("field_group").limit(MANY_GROUPS + 1).collect()]
-    if not over:
-        return rows, caps
-    train_hard = (F.col("split") == K.TRAIN) & (F.col("source_type") == HARD)
-    if len(over) <= MANY_GROUPS:
-        in_cap = F.col("field_group").isin(*over)
-        free, limited = rows.filter(~(train_hard & in_cap)), rows.filter(train_hard & in_cap)
-    else:
-        capped = caps.filter("capped").select("field_group")
-        limited = rows.filter(train_hard).join(capped, "field_group", "left_semi")
-        free = rows.filter(~train_hard).unionByName(rows.filter(train_hard).join(capped, "field_group", "left_anti"))
-    # the selection reads its rows several times: write them once
-    chosen = select_hard_cases(cut_lineage(limited), cut_lineage(_quotas_from(counts, caps)))
-    return free.unionByName(chosen.select(*rows.columns)), caps
+    over = caps.filter("capped").select(F.coalesce("field_group", F.lit(K.UNKNOWN)).alias("__over"))
+    # a row without group or split is a row like any other: it falls under the cap of the unknown group, or under none
+    train_hard = F.coalesce((F.col("split") == K.TRAIN) & (F.col("source_type") == HARD), F.lit(False))
+    # both branches read the tagged rows: write them once
+    tagged = cut_lineage(rows.join(over, F.coalesce("field_group", F.lit(K.UNKNOWN)) == F.col("__over"), "left"))
+    limited = train_hard & F.col("__over").isNotNull()
+    chosen = select_hard_cases(tagged.filter(limited).select(*rows.columns), cut_lineage(_quotas_from(counts, caps)))
+    return tagged.filter(~limited).select(*rows.columns).unionByName(chosen.select(*rows.columns)), caps
 
 
 # --- profiles, warnings, readiness --------------------------------------------------

@@ -115,12 +115,14 @@ cnt AS (SELECT field_group, count(*) FILTER (augmentation_type IS NULL) AS base_
 cap AS (SELECT *, trunc(base_count * {r}::DOUBLE / (1.0 - {r}))::BIGINT AS allowed FROM cnt),
 side AS (SELECT field_group, document_type, count(*) FILTER (augmentation_type IS NULL) AS base, count(*) FILTER (augmentation_type IS NOT NULL) AS available FROM trainrows GROUP BY ALL),
 ideal AS (SELECT side.*, allowed, allowed::DOUBLE * base / base_count AS want, least(available, trunc(allowed::DOUBLE * base / base_count)::BIGINT) AS start FROM side JOIN cap USING (field_group) WHERE hard_count > allowed AND allowed > 0),
-seats AS (SELECT field_group, document_type, row_number() OVER (PARTITION BY field_group ORDER BY want - start - q DESC, base DESC, document_type) AS turn FROM ideal, generate_series(0, 70000) g(q) WHERE q < least(available - start, 3 + allowed - (SELECT sum(start) FROM ideal i WHERE i.field_group = ideal.field_group))),
+seats AS (SELECT field_group, document_type, row_number() OVER (PARTITION BY field_group ORDER BY want - start - q DESC, base DESC, document_type) AS turn FROM ideal, LATERAL (SELECT unnest(range(ideal.available - ideal.start)) AS q) g WHERE q < least(available - start, 3 + allowed - (SELECT sum(start) FROM ideal i WHERE i.field_group = ideal.field_group))),
 quo AS (SELECT i.field_group, i.document_type, i.base, i.available, i.start + count(s.turn) AS quota FROM ideal i LEFT JOIN seats s ON s.field_group = i.field_group AND s.document_type = i.document_type
    AND s.turn <= i.allowed - (SELECT sum(start) FROM ideal j WHERE j.field_group = i.field_group) GROUP BY i.field_group, i.document_type, i.base, i.available, i.start),
-numbered AS (SELECT t.*, row_number() OVER (PARTITION BY field_group, document_type, base_crop_path ORDER BY augmentation_type, field_name, crop_path) - 1 AS e, count(*) OVER (PARTITION BY field_group, document_type, base_crop_path) AS n,
-   dense_rank() OVER (PARTITION BY field_group, document_type ORDER BY base_crop_path) - 1 AS i FROM trainrows t WHERE augmentation_type IS NOT NULL),
-placed AS (SELECT *, row_number() OVER (PARTITION BY field_group, document_type ORDER BY ((e - i) % n + n) % n, i) AS place FROM numbered),
+numbered AS (SELECT t.*, row_number() OVER (PARTITION BY field_group, document_type, base_crop_path, augmentation_type ORDER BY field_name, crop_path) AS e,
+   dense_rank() OVER (PARTITION BY field_group, document_type ORDER BY base_crop_path) AS i, dense_rank() OVER (PARTITION BY field_group, document_type ORDER BY augmentation_type) AS v FROM trainrows t WHERE augmentation_type IS NOT NULL),
+variants AS (SELECT field_group, document_type, max(v) AS n FROM numbered GROUP BY ALL),
+round AS (SELECT m.*, row_number() OVER (PARTITION BY field_group, document_type, augmentation_type ORDER BY e, ((v - i) % n + n) % n, i) AS r FROM numbered m JOIN variants USING (field_group, document_type)),
+placed AS (SELECT *, row_number() OVER (PARTITION BY field_group, document_type ORDER BY r, augmentation_type) AS place FROM round),
 chosen AS (SELECT p.* FROM placed p JOIN quo USING (field_group, document_type) WHERE place <= quota),
 ts AS (SELECT field_group, document_type, split, source_path, text, crop_path, augmentation_type FROM allrows WHERE augmentation_type IS NULL
   UNION ALL SELECT field_group, document_type, split, source_path, text, crop_path, augmentation_type FROM chosen
