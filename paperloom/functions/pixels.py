@@ -71,6 +71,31 @@ def laplacian_variance(pixels: pd.Series, width: pd.Series, height: pd.Series) -
     return pd.Series(scores, dtype="Float64")
 
 
+def _dark_ratios(grid: np.ndarray, boxes) -> list[float]:
+    """Share of dark pixels in each box (left, top, right, bottom), given one after another."""
+    dark = grid < DARK_BELOW
+    return [float(dark[top:bottom, left:right].mean()) for left, top, right, bottom in np.asarray(boxes, dtype=np.int64).reshape(-1, 4)]
+
+
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
+def dark_ratios(pixels: pd.Series, width: pd.Series, height: pd.Series, boxes: pd.Series) -> pd.Series:
+    return pd.Series([
+        None if p is None or b is None else _dark_ratios(_grid(p, w, h), b) for p, w, h, b in zip(pixels, width, height, boxes)
+    ], dtype=object)
+
+
+@F.pandas_udf(T.StructType([T.StructField("blur_score", T.DoubleType()), T.StructField("ratios", T.ArrayType(T.DoubleType()))]))
+def page_measures(pixels: pd.Series, width: pd.Series, height: pd.Series, boxes: pd.Series) -> pd.DataFrame:
+    """Blur and dark shares of a page in one pass over its pixels."""
+    rows = []
+    for p, w, h, b in zip(pixels, width, height, boxes):
+        grid = None if p is None else _grid(p, w, h)
+        rows.append((None, None) if grid is None else (_wrapped_laplacian(grid), _dark_ratios(grid, b)))
+    frame = pd.DataFrame(rows, columns=["blur_score", "ratios"])
+    frame["blur_score"] = frame["blur_score"].astype("Float64")
+    return frame
+
+
 @F.pandas_udf(MEASURES)
 def measure(pixels: pd.Series, width: pd.Series, height: pd.Series) -> pd.DataFrame:
     rows = [_measure(_grid(p, w, h)) for p, w, h in zip(pixels, width, height)]

@@ -12,11 +12,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paperloom import constants as K
-from paperloom.functions.pixels import laplacian_variance, measure, trim_passes, trimmer
+from paperloom.functions.pixels import dark_ratios, laplacian_variance, measure, page_measures, trim_passes, trimmer
 from paperloom.functions.text import literal_array, present
 from paperloom.operators.templates import clamped_box, region_rules
 
 EDGES = ("left", "right", "top", "bottom")
+MARK_KINDS = ("quality", "checkbox")
 
 
 def blur(rasters: DataFrame, threshold: float = K.BLUR_THRESHOLD) -> DataFrame:
@@ -26,7 +27,7 @@ def blur(rasters: DataFrame, threshold: float = K.BLUR_THRESHOLD) -> DataFrame:
     )
 
 
-def marks(rasters: DataFrame, kinds: tuple[str, ...] = ("quality", "checkbox")) -> DataFrame:
+def marks(rasters: DataFrame, kinds: tuple[str, ...] = MARK_KINDS) -> DataFrame:
     """One row per image and mark region: share of dark pixels and whether it reaches the minimum.
 
     ``rasters`` also carries ``template_id``.
@@ -53,41 +54,64 @@ def document_checks(rasters: DataFrame) -> DataFrame:
     Rows without a raster or a template keep null flags.
     """
     keys = [c for c in rasters.columns if c not in ("width", "height", "pixels")]
-    rows = _mark_array(rasters, keep=("width", "height"))
-    marked = lambda name: F.filter("found", lambda m: m["name"] == name)
-    boxes = F.filter("found", lambda m: m["kind"] == "checkbox")
-    return rows.select(
-        *keys, "width", "height",
+    return _mark_array(rasters, keep=("width", "height")).select(*keys, "width", "height", *_mark_flags(F.col("found")))
+
+
+def page_checks(rasters: DataFrame) -> DataFrame:
+    """``image_id, width, height, blur_score`` and ``found``, the marks of every template's regions.
+
+    One pass over the pixels where they lie: the template of a page is known only after its text is,
+    so the marks of all templates, some sixteen boxes, go to the join in place of the pixels.
+    """
+    rules = F.expr("array(" + ", ".join(
+        f"named_struct('template_id', '{t}', 'kind', '{kind}', 'name', '{name}', 'left', {left}D, 'top', {top}D, 'right', {right}D, 'bottom', {bottom}D, 'min_dark_ratio', {least}D)"
+        for t, kind, name, left, top, right, bottom, least in K.TEMPLATE_REGIONS if kind in MARK_KINDS
+    ) + ")")
+    measured = rasters.withColumn("m", page_measures("pixels", "width", "height", _boxes(rules)))
+    found = F.zip_with(rules, F.col("m.ratios"), lambda rule, ratio: F.struct(
+        rule["template_id"].alias("template_id"), rule["kind"].alias("kind"), rule["name"].alias("name"), (ratio >= rule["min_dark_ratio"]).alias("marked")
+    ))
+    return measured.select("image_id", "width", "height", F.col("m.blur_score").alias("blur_score"), F.when(F.col("m.ratios").isNotNull(), found).alias("found"))
+
+
+def with_page_checks(papers: DataFrame) -> DataFrame:
+    """Mark flags of papers that carry ``template_id`` and the ``found`` of ``page_checks``."""
+    own = F.filter("found", lambda m: m["template_id"] == F.col("template_id"))
+    return papers.select(*[c for c in papers.columns if c != "found"], *_mark_flags(own))
+
+
+def _mark_flags(found: Column) -> list[Column]:
+    marked = lambda name: F.filter(found, lambda m: m["name"] == name)
+    boxes = F.filter(found, lambda m: m["kind"] == "checkbox")
+    return [
         F.get(marked("seal_present"), F.lit(0))["marked"].alias("seal_present"),
         F.get(marked("signature_present"), F.lit(0))["marked"].alias("signature_present"),
         F.when(F.size(boxes) > 0, F.forall(boxes, lambda m: m["marked"])).alias("all_no_boxes_checked"),
         F.when(F.size(boxes) > 0, F.size(F.filter(boxes, lambda m: m["marked"]))).alias("checked_no_box_count"),
-    )
+    ]
 
 
-def _mark_array(
-    rasters: DataFrame, kinds: tuple[str, ...] = ("quality", "checkbox"), keep: tuple[str, ...] = ()
-) -> DataFrame:
-    keys = [c for c in rasters.columns if c not in ("width", "height", "pixels")]
+def _boxes(rules: Column) -> Column:
+    """The corners of all boxes one after another, for the kernel."""
+    corners = ("left", "top", "right", "bottom")
 
-    def measure(rule: Column) -> Column:
+    def of(rule: Column) -> Column:
         box = clamped_box(F.col("width"), F.col("height"), rule)
-        lines = F.transform(
-            F.sequence(box["top"], box["bottom"] - 1),
-            lambda y: F.size(F.filter(
-                F.slice("pixels", y * F.col("width") + box["left"] + 1, box["right"] - box["left"]),
-                lambda v: v < K.DARK_BELOW,
-            )),
-        )
-        dark = F.aggregate(lines, F.lit(0), lambda s, n: s + n)
-        ratio = dark / ((box["right"] - box["left"]) * (box["bottom"] - box["top"]))
-        return F.struct(
-            rule["kind"].alias("kind"), rule["name"].alias("name"), ratio.alias("dark_ratio"),
-            (ratio >= rule["min_dark_ratio"]).alias("marked"),
-        )
+        return F.array(*[box[c] for c in corners])
+
+    return F.flatten(F.transform(rules, of))
+
 
+def _mark_array(
+    rasters: DataFrame, kinds: tuple[str, ...] = MARK_KINDS, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    keys = [c for c in rasters.columns if c not in ("width", "height", "pixels")]
     rules = F.when(F.col("pixels").isNotNull(), region_rules(F.col("template_id"), kinds))
-    return rasters.select(*keys, *keep, F.transform(rules, measure).alias("found"))
+    measured = rasters.withColumn("rules", rules).withColumn("ratios", dark_ratios("pixels", "width", "height", _boxes(F.col("rules"))))
+    found = F.zip_with("rules", "ratios", lambda rule, ratio: F.struct(
+        rule["kind"].alias("kind"), rule["name"].alias("name"), ratio.alias("dark_ratio"), (ratio >= rule["min_dark_ratio"]).alias("marked"),
+    ))
+    return measured.select(*keys, *keep, found.alias("found"))
 
 
 def _foreground_ratio(m: Column) -> Column:

@@ -149,18 +149,24 @@ def split_objective(assignment: DataFrame, profiles: DataFrame, keys: tuple[str,
     return per_group.groupBy(*keys).agg(F.round(F.sum(gap), 4).alias("score"))
 
 
+def repaired_split(items: DataFrame, ratio: float) -> DataFrame:
+    """Split per source by hash, repaired where a document type or field group would miss a side; any number of sources."""
+    return apply_splits(items.select("source_path").distinct(), repair_coverage(items, ratio), ratio)
+
+
 def best_split(items: DataFrame, ratio: float) -> DataFrame:
-    """Split per source: the best of all assignments when sources are few, else hash and repair.
+    """Split per source: the best of all assignments of at most ``EXACT_SPLIT_SOURCES`` sources.
 
-    Up to fourteen sources, every assignment is scored: the sources are gathered into one row
-    (fourteen at most), the masks 0..2^n-1 are exploded and spread over the cluster, and each mask
-    is scored by array expressions; the least (score, distance from the default, assignment) wins.
+    More sources are an error: there ``repaired_split`` is the operator to ask for.  The sources are
+    gathered into one row, the masks 0..2^n-1 are exploded and spread over the cluster, and each mask
+    is scored by array expressions; the least (score, distance from the repaired split, assignment)
+    wins.  At a ratio of 0 or 1 nothing is left to choose.
     """
-    moves = repair_coverage(items, ratio)
-    sources = items.select("source_path").distinct()
-    default = apply_splits(sources, moves, ratio)
-    count = sources.limit(K.EXACT_SPLIT_SOURCES + 1).count()
-    if count > K.EXACT_SPLIT_SOURCES or count == 0 or not 0.0 < ratio < 1.0:
+    default = repaired_split(items, ratio)
+    count = items.select("source_path").distinct().limit(K.EXACT_SPLIT_SOURCES + 1).count()
+    if count > K.EXACT_SPLIT_SOURCES:
+        raise ValueError(f"more than {K.EXACT_SPLIT_SOURCES} sources: use repaired_split")
+    if count == 0 or not 0.0 < ratio < 1.0:
         return default
     counts = items.select("source_path", "document_type", F.explode_outer("field_counts_by_group").alias("field_group", "n"))
     profile = counts.groupBy("source_path", "field_group").agg(F.sum("n").alias("n")).filter("n > 0").groupBy("source_path").agg(

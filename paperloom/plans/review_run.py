@@ -6,10 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paperloom import constants as K
-from paperloom.functions.pixels import laplacian_variance
 from paperloom.operators.extract import extract_all
 from paperloom.operators.pages import document_text, region_map
-from paperloom.operators.raster import confidence_sums, document_checks, with_confidence
+from paperloom.operators.raster import confidence_sums, page_checks, with_confidence, with_page_checks
 from paperloom.operators.review import review_cases
 from paperloom.operators.templates import classify
 
@@ -33,12 +32,9 @@ def extract_documents(
         texts = texts.withColumn("regions", F.lit(None).cast("map<string,string>"))
     papers = classify(texts)
     if rasters is not None:
-        # the raster joins once and every measure is taken in the joined row
-        seen = rasters.select(F.col("image_id").alias("source_path"), "width", "height", "pixels")
-        joined = papers.join(seen, "source_path", "left").withColumn(
-            "blur_score", laplacian_variance("pixels", "width", "height")
-        )
-        papers = document_checks(joined).withColumn("blurry", F.col("blur_score") < blur_threshold)
+        # pixels are measured where they lie; a small row of each page joins the papers
+        seen = page_checks(rasters).withColumnRenamed("image_id", "source_path")
+        papers = with_page_checks(papers.join(seen, "source_path", "left")).withColumn("blurry", F.col("blur_score") < blur_threshold)
     else:
         papers = papers.withColumns({
             name: F.lit(None).cast(kind)

@@ -152,7 +152,8 @@ def review_run(spark, folder):
         F.array(F.struct(F.lit("w").alias("text"), F.when(F.col("k") % 41 == 0, 0.5).otherwise(0.9).alias("confidence"))).alias("words"),
     )
     marked = V.big_rasters(spark, folder)
-    papers = text.select(F.concat("case_id", F.lit("/"), "source_path").alias("image_id"), (F.col("k") % 500).alias("vec"))
+    known = V.table(spark, folder, "embeddings").count()  # image ids are 0 to known - 1
+    papers = text.select(F.concat("case_id", F.lit("/"), "source_path").alias("image_id"), (F.col("k") % known).alias("vec"))
     rasters = papers.join(marked.withColumnRenamed("image_id", "vec"), "vec").select("image_id", "width", "height", "pixels")
     cases, _ = run_review(pages, None, rasters)
     return cases.select("case_id", "status", "matched", "reason", "blurry", "low_confidence", "document_count", "queued", _codes(F.col("findings")).alias("codes"))
