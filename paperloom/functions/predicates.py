@@ -96,8 +96,6 @@ def nfc(col: Column) -> Column:
 
 
 def with_nfc(df: DataFrame, column: str, into: str) -> DataFrame:
-    """Add the composed form of ``column``; ASCII-only rows skip the Python worker."""
+    """Add the composed form of ``column``; the worker gets null for ASCII-only rows."""
     plain = F.col(column).isNull() | F.col(column).rlike(r"\A\p{ASCII}*\z")
-    return df.filter(plain).withColumn(into, F.col(column)).unionByName(
-        df.filter(~plain).withColumn(into, nfc(F.col(column)))
-    )
+    return df.withColumn(into, F.coalesce(F.when(plain, F.col(column)), nfc(F.when(~plain, F.col(column)))))

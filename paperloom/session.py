@@ -49,7 +49,23 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     path = f"{shared_folder(df.sparkSession)}/paperloom-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    written = df.sparkSession.read.schema(df.schema).parquet(path)
+    written.written_path = path
+    return written
+
+
+def discard(written: DataFrame) -> None:
+    """Delete a table of :func:`cut_lineage` that nothing reads any more."""
+    path = written.sparkSession._jvm.org.apache.hadoop.fs.Path(written.written_path)
+    path.getFileSystem(written.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def discard_all(spark: SparkSession) -> None:
+    """Delete every table that :func:`cut_lineage` has left in the shared folder, once a job's results are stored."""
+    jvm, folder = spark._jvm, spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/paperloom-*")
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in files.globStatus(folder) or []:
+        files.delete(jvm.org.apache.hadoop.fs.Path(status.getPath().toString()), True)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = 10_000) -> DataFrame:

@@ -20,7 +20,7 @@ def write_manifest(df: DataFrame, root: str, mode: str = "overwrite") -> None:
 def label_lines(df: DataFrame, image_root: str = "") -> DataFrame:
     """``relative image<TAB>text`` lines with their field group and split."""
     prefix = image_root.rstrip("/") + "/" if image_root else ""
-    image = F.when(F.col("crop_path").startswith(prefix), F.substring("crop_path", len(prefix) + 1, 1 << 20)).otherwise(
+    image = F.when(F.col("crop_path").startswith(prefix), F.expr(f"substring(crop_path, {len(prefix) + 1})")).otherwise(
         F.col("crop_path")
     )
     return df.select("field_group", "split", F.concat(image, F.lit("\t"), "text").alias("value"))

@@ -192,13 +192,13 @@ def profile_warnings(spark, folder):
 
 
 def readiness(spark, folder):
-    crops = V.crops(spark, folder).filter(~((F.col("field_group") == "date") & (F.col("split") == "val")))
-    p = training_summary(crops, V.hard_cases(spark, folder), ratio=0.3)
+    p = training_summary(V.crops(spark, folder), V.hard_cases(spark, folder), ratio=0.3)
     return p.select("field_group", F.col("training_readiness_status").alias("status"), F.array_join("blocking_warnings", ",").alias("blocking"), F.array_join("advisory_warnings", ",").alias("advisory"), "ready_for_execution")
 
 
-READY_SQL = """SELECT field_group, CASE WHEN field_group = 'date' THEN 'blocked' WHEN len(ws) > 0 THEN 'review_required' ELSE 'ready' END AS status, CASE WHEN field_group = 'date' THEN 'no_val_samples' ELSE '' END AS blocking,
-  coalesce(array_to_string(CASE WHEN field_group = 'date' THEN list_append(ws, 'low_val_source_diversity') ELSE ws END, ','), '') AS advisory, field_group <> 'date' AS ready_for_execution FROM w"""
+READY_SQL = """, parts AS (SELECT field_group, list_filter(ws, lambda x: starts_with(x, 'no_')) AS b, list_filter(ws, lambda x: NOT starts_with(x, 'no_')) AS a FROM w)
+SELECT field_group, CASE WHEN len(b) > 0 THEN 'blocked' WHEN len(a) > 0 THEN 'review_required' ELSE 'ready' END AS status, coalesce(array_to_string(b, ','), '') AS blocking,
+  coalesce(array_to_string(a, ','), '') AS advisory, len(b) = 0 AS ready_for_execution FROM parts"""
 
 
 def augment_plan(spark, folder):

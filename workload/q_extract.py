@@ -110,7 +110,7 @@ MASK = "regexp_replace(regexp_replace({0}, '\\b\\d{{3}}-\\d{{2}}-\\d{{4}}\\b', '
 
 def composed(spark, folder):
     """Decomposed forms of the page texts' words, composed again."""
-    pages = V.table(spark, folder, "pages").select("page_id", F.concat("url", F.lit("/été-"), F.substring("html", 30, 60)).alias("path"))
+    pages = V.table(spark, folder, "pages").select("page_id", F.concat("url", F.lit("/été-"), "html").alias("path"))
     return P.with_nfc(pages, "path", "key").select("page_id", "key")
 
 
@@ -391,7 +391,7 @@ QUERIES = [
     Query("F3_accepted_rejected", accepted_split, _v(("crops_v",), "SELECT CASE WHEN accepted OR field_name = 'address' THEN 'accepted' ELSE 'rejected' END AS verdict, document_type, count(*) AS rows FROM crops_v GROUP BY ALL")),
     Query("F4_pending_paths", pending_paths, "SELECT c_custkey, c_custkey % 4 = 0 AS pending FROM customer"),
     Query("F5_masked_values", masked, _v(("people_v",), "SELECT case_id, " + MASK.format("'tin ' || tin || ', ein 12-' || lpad(k::VARCHAR, 7, '0') || '.'") + " AS note, '***-**-****' AS value, k AS number, '***-**-****' AS tin, '9' || tin AS id FROM people_v")),
-    Query("F6_composed_paths", composed, "SELECT page_id, nfc_normalize(url || '/e' || chr(769) || 'te' || chr(769) || '-' || substr(html, 30, 60)) AS key FROM pages"),
+    Query("F6_composed_paths", composed, "SELECT page_id, nfc_normalize(url || '/e' || chr(769) || 'te' || chr(769) || '-' || html) AS key FROM pages"),
     Query("F7_valid_tin", tin_check, _v(("docs_v",), "SELECT case_id, position, coalesce(regexp_full_match(trim(tin), '\\d{3}-\\d{2}-\\d{4}|\\d{2}-\\d{7}'), FALSE) AS valid FROM docs_v")),
     Query("F8_plausible_date", date_check, _v(("docs_v",), "SELECT case_id, position, coalesce(regexp_matches(d, '\\d{1,2}') AND regexp_matches(d, '\\d{4}') AND regexp_matches(d, '(?i)\\b(" + "|".join(K.MONTHS) + ")\\b'), FALSE) AS plausible FROM (SELECT *, coalesce(issued_on, issue_date, signature_date) AS d FROM docs_v)")),
     Query("F9_marker_flags", marker_flags, _v(("page_text_v",), "SELECT case_id, document_type, " + ", ".join(f"{_any(p)} AS {n}" for n, p in _PHRASES.items()) + " FROM page_text_v")),

@@ -105,7 +105,7 @@ def salvage(spark, folder):
 def confidence(spark, folder):
     c = V.table(spark, folder, "conversations")
     words = F.transform(F.split("text", " "), lambda w: F.struct(w.alias("text"), F.when(F.length(w) > 1, F.least(F.lit(1.0), 0.6 + F.length(w) / 30.0)).alias("confidence")))
-    pages = c.select(F.col("conv_id").alias("doc_id"), F.when(F.col("turn") > 0, words).alias("words"))
+    pages = c.select(F.col("conv_id").alias("doc_id"), words.alias("words"))
     rows = R.avg_confidence(pages, ["doc_id"])
     return rows.select("doc_id", F.round("average_ocr_confidence", 6).alias("average_ocr_confidence"), "low_ocr_confidence")
 
@@ -123,7 +123,7 @@ QUERIES = [
     Query("Q5_small_crops", small_crop_flags, SMALL + " SELECT image_id, TRUE AS narrow, TRUE AS short, FALSE AS accepted FROM rasters_v"),
     Query("Q6_edge_trim", edge_trim, TRIM_SQL),
     Query("Q7_salvage", salvage),
-    Query("Q8_confidence", confidence, """WITH w AS (SELECT conv_id AS doc_id, unnest(CASE WHEN turn > 0 THEN string_split(text, ' ') ELSE []::VARCHAR[] END) AS w FROM conversations),
+    Query("Q8_confidence", confidence, """WITH w AS (SELECT conv_id AS doc_id, unnest(string_split(text, ' ')) AS w FROM conversations),
         a AS (SELECT doc_id, avg(least(1.0::DOUBLE, 0.6::DOUBLE + length(w) / 30.0::DOUBLE)) FILTER (length(w) > 1) AS c FROM w GROUP BY doc_id)
         SELECT d.doc_id, round(c, 6) AS average_ocr_confidence, c < 0.75 AS low_ocr_confidence FROM (SELECT DISTINCT conv_id AS doc_id FROM conversations) d LEFT JOIN a USING (doc_id)"""),
 ]
