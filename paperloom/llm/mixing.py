@@ -69,21 +69,20 @@ def mix(docs: DataFrame, size: Column, weights: tuple[int, ...] = WEIGHTS, most:
 def mixed_texts(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_EPOCHS, seed: str = SEED) -> DataFrame:
     """The mixed corpus with the columns of ``docs``: a row for each round that takes a document.
 
-    The document at the cut keeps its first words.  Documents without words are taken in the first
-    round if the cut of their source lies behind them or their source gives a whole round.
+    The document at the cut keeps its first words.  Documents without words cost nothing and stay once.
     """
     sized = docs.withColumn("__size", n_words(F.col("text")))
     shares = mix(sized, F.col("__size"), weights, most, seed).select(
-        F.col("doc_id").alias("__id"), F.col("source").alias("__of"), F.col("size").alias("__n"), "taken")
+        F.col("doc_id").alias("__id"), F.col("source").alias("__of"), F.col("size").alias("__n"), F.col("taken").alias("__taken"))
     # rows with the same id, source and size are interchangeable: number both sides
-    same = Window.partitionBy("__id", "__of", "__n").orderBy(F.col("taken").desc())
+    same = Window.partitionBy("__id", "__of", "__n").orderBy(F.col("__taken").desc())
     twin = Window.partitionBy("doc_id", "source", "__size").orderBy(F.xxhash64("text"), "text")
     left, right = sized.withColumn("__k", F.row_number().over(twin)), shares.withColumn("__j", F.row_number().over(same))
     on = F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("source").eqNullSafe(F.col("__of")) & (F.col("__size") == F.col("__n")) & (F.col("__k") == F.col("__j"))
     joined = left.join(right, on)
-    rounds = F.expr("CASE WHEN __size = 0 THEN 1 ELSE CAST(ceil(taken / __size) AS INT) END")
-    copies = joined.where("taken > 0 OR __size = 0").withColumn("__round", F.explode(F.sequence(F.lit(1), rounds)))
-    here = F.col("taken") - (F.col("__round") - 1) * F.col("__size")
+    rounds = F.expr("CASE WHEN __size = 0 THEN 1 ELSE CAST(ceil(__taken / __size) AS INT) END")
+    copies = joined.where("__taken > 0 OR __size = 0").withColumn("__round", F.explode(F.sequence(F.lit(1), rounds)))
+    here = F.col("__taken") - (F.col("__round") - 1) * F.col("__size")
     pieces = F.regexp_extract_all(F.col("text"), F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), 0)
     first = F.array_join(F.slice(pieces, 1, here.cast("int")), "")
     text = F.when(here >= F.col("__size"), F.col("text")).otherwise(first)
