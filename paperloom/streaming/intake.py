@@ -43,8 +43,12 @@ def start_queue(reviewed: DataFrame, root: str, checkpoint: str, available_now:
     """
 
     def keep(batch: DataFrame, number: int) -> None:
-        queued = batch.filter("queued")
-        write_queue(queued, queued.select("case_id", "start", "end", "document_count"), root, f"{number:012d}")
+        # two tables are written from the batch, whose computation includes the state: keep its rows
+        queued = batch.filter("queued").persist()
+        try:
+            write_queue(queued, queued.select("case_id", "start", "end", "document_count"), root, f"{number:012d}")
+        finally:
+            queued.unpersist()
 
     writer = reviewed.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(keep)
     return (writer.trigger(availableNow=True) if available_now else writer).start()

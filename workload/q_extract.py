@@ -279,7 +279,7 @@ SELECT case_id, taxpayer_name, tin, tax_year, issue_date, 'United States of Amer
 WITHHOLDING_SQL = """, t AS (SELECT *, regexp_extract(raw_text, 'Last Name\\) ([A-J]+) ', 1) AS code FROM page_text_v WHERE document_type = 'withholding_tax_form')
 SELECT case_id, 'SAMPLE' AS first_name, CASE WHEN k % 14 = 0 THEN 'REGION' ELSE code END AS last_name, 'Q' AS middle_name,
   regexp_extract(raw_text, '납세자번호 (\\d{3}-\\d{2}-\\d{4})', 1) AS tin,
-  regexp_replace(regexp_extract(raw_text, '(1\\d{3} Sunset Blvd.*?United States of America)', 1), ',', '', 'g') AS address,
+  regexp_replace(regexp_extract(raw_text, '(1\\d{3} Harbor Street.*?United States of America)', 1), ',', '', 'g') AS address,
   'United States of America' AS residency_country, 'US' AS residency_country_code, regexp_extract(raw_text, '배당소득 세율 (\\d+) %', 1) || '%' AS dividend_tax_rate,
   CASE WHEN k % 14 = 0 THEN '2026-01-12' ELSE regexp_extract(raw_text, '(\\d{4})년', 1) || '-' || lpad(regexp_extract(raw_text, '년 (\\d+)월', 1), 2, '0') || '-' || lpad(regexp_extract(raw_text, '월 (\\d+)일', 1), 2, '0') END AS signature_date,
   CASE WHEN k % 8 = 0 THEN 'SAMPLE ' || code ELSE 'SAMPLE Q. ' || code END AS applicant_name, TRUE AS contains_non_resident_heading FROM t"""
