@@ -285,3 +285,11 @@ def test_dual_descent_reaches_the_margin():
 
 def test_long_text_is_whole(spark):
     assert len(LONG.split()) == 30_000 and PASSAGE.count("\n") == 2
+
+
+def test_labels_too_many_to_broadcast(spark, monkeypatch):
+    rows = [(i, f"plain words {i % 3} of text", "a") for i in range(40)] + [(100 + i, f"junk%%% {i % 3} ###", "a") for i in range(40)]
+    labels = spark.createDataFrame([(d, int(d < 100)) for d, _, _ in rows], "doc_id long, quality int")
+    few = {r.doc_id: round(r.score, 9) for r in nbsvm.quality(docs(spark, rows), labels).collect()}
+    monkeypatch.setattr(nbsvm, "FEW_LABELS", -1)
+    assert few == {r.doc_id: round(r.score, 9) for r in nbsvm.quality(docs(spark, rows), labels).collect()}
