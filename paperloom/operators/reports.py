@@ -240,11 +240,11 @@ def coverage_links(labels: DataFrame, expected: DataFrame) -> DataFrame:
         & (F.coalesce("document_type", F.lit("")) != "")
     )
     keyed = with_nfc(complete, "source_path", "sample_key").select("sample_key", "case_id", "document_type", "pending")
-    reviewed = keyed.filter(~F.col("pending"))
-    evaluated = reviewed.join(expected.select("case_id").filter("case_id IS NOT NULL"), "case_id", "left_semi")
-    kinds = keyed.withColumn("kind", F.when(F.col("pending"), "pending").otherwise("label"))
-    return kinds.select("sample_key", "kind", "case_id", "document_type").unionByName(
-        evaluated.select("sample_key", F.lit("eval").alias("kind"), "case_id", "document_type")
+    known = expected.select("case_id").filter("case_id IS NOT NULL").distinct().withColumn("known", F.lit(True))
+    kinds = F.when(F.col("pending"), F.array(F.lit("pending"))).when(
+        F.col("known"), F.array(F.lit("label"), F.lit("eval"))).otherwise(F.array(F.lit("label")))
+    return keyed.join(known, "case_id", "left").select(
+        "sample_key", F.explode(kinds).alias("kind"), "case_id", "document_type"
     ).distinct()
 
 
@@ -418,8 +418,13 @@ def queue_priority(cases: DataFrame, docs: DataFrame, gaps: DataFrame, labels: D
     )
 
 
-def ranked_queue(priorities: DataFrame) -> DataFrame:
+def ranked_queue(priorities: DataFrame, limit: int | None = None) -> DataFrame:
+    """Ranks from 1, the neediest case first; with ``limit``, a top-k that neither sorts nor writes the rest."""
     keyed = priorities.withColumn("__need", -F.col("priority_score"))
+    if limit is not None:
+        best = keyed.orderBy("__need", "case_id").limit(limit)
+        place = F.row_number().over(Window.orderBy("__need", "case_id"))  # ``limit`` rows at most
+        return best.withColumn("rank", place.cast("bigint")).drop("__need")
     return with_index(keyed, [], ["__need", "case_id"], "rank").drop("__need").withColumn("rank", F.col("rank") + 1)
 
 

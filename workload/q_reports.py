@@ -153,6 +153,16 @@ COVER_SQL = _v(("coverage_v",), """SELECT sample_path, labelled AS covered_by_la
   CASE WHEN doc_id % 3 <> 2 OR split IS NULL THEN 'sample_' || doc_id END AS sample_dataset_case_id, CASE WHEN doc_id % 3 <> 2 OR split IS NULL THEN split END AS sample_dataset_split FROM coverage_v""")
 
 
+def coverage_links(spark, folder):
+    _, labels, expected, _ = _coverage_inputs(spark, folder)
+    return R.coverage_links(labels, expected)
+
+
+LINK_SQL = _v(("coverage_v",), """SELECT sample_path AS sample_key, CASE WHEN labelled THEN 'label' ELSE 'pending' END AS kind, 'case_' || doc_id AS case_id, document_type FROM coverage_v WHERE labelled OR pending
+  UNION ALL SELECT sample_path, 'label', 'case_' || doc_id || '_b', 'apostille' FROM coverage_v WHERE labelled AND doc_id % 5 = 0
+  UNION ALL SELECT sample_path, 'eval', 'case_' || doc_id, document_type FROM coverage_v WHERE evaluated""")
+
+
 def coverage_totals(spark, folder):
     return R.coverage_totals(R.coverage(*_coverage_inputs(spark, folder)))
 
@@ -215,6 +225,13 @@ def queue_priority(spark, folder):
     return R.ranked_queue(rows).select("rank", "case_id", "status", "gap_score", "status_boost", "findings_boost", "priority_score", F.array_join("matched_field_groups", ",").alias("groups"), F.array_join("recommendations", ",").alias("recommendations"))
 
 
+def best_of_queue(spark, folder):
+    """The first fifty of the queue: the report's top-k, which ranks nothing else."""
+    cases, docs, labels = _queue(spark, folder)
+    rows = R.ranked_queue(R.queue_priority(cases, docs, _stored_gaps(spark, folder), labels), 50)
+    return rows.select("rank", "case_id", "priority_score")
+
+
 # the field groups of the papers of a case
 QUEUE_BODY = ", qc AS (SELECT case_id, status, finding_count FROM cases WHERE status <> 'pass' OR blurry OR low_confidence AND TRUE), " + """
 qd AS (SELECT d.* FROM docs_v d JOIN qc USING (case_id)),
@@ -283,12 +300,14 @@ QUERIES = [
     Query("G7_rejected_groups", rejected_groups, _gap_sql(REJECTED_SQL)),
     Query("G8_rejected_entries", rejected_entries, ENTRY_SQL),
     Query("G9_coverage", coverage, COVER_SQL),
+    Query("G9_coverage_links", coverage_links, LINK_SQL),
     Query("G9_coverage_totals", coverage_totals, _v(("coverage_v",), """SELECT count(*) AS sample_file_count, count(*) FILTER (labelled) AS covered_by_labeled_count, count(*) FILTER (pending) AS covered_by_pending_review_count,
         count(*) FILTER (evaluated) AS covered_by_eval_count, count(*) FILTER (NOT labelled) AS uncovered_count FROM coverage_v""")),
     Query("G10_labels_without_eval", labels_without_eval, _v(("coverage_v",), "SELECT 'case_' || doc_id AS case_id FROM coverage_v WHERE labelled AND NOT evaluated UNION ALL SELECT 'case_' || doc_id || '_b' FROM coverage_v WHERE labelled AND doc_id % 5 = 0")),
     Query("G11_type_groups", type_groups, _v(("coverage_v",), "SELECT DISTINCT tg.document_type, field_group FROM " + TYPE_GROUPS + " JOIN coverage_v c ON c.document_type = tg.document_type AND labelled")),
     Query("G12_sample_priority", sample_priority, _gap_sql(SAMPLE_SQL)),
     Query("G13_queue_priority", queue_priority, _queue_sql("SELECT rank, case_id, status, gap_score, status_boost, findings_boost, priority_score, groups, recommendations FROM qrank")),
+    Query("G13_queue_top", best_of_queue, _queue_sql("SELECT rank, case_id, priority_score FROM qrank WHERE rank <= 50")),
     Query("G14_merged_recommendations", merged_recommendations, MERGE_SQL),
     Query("G15_promoted", promoted, _queue_sql(PROMOTE_SQL)),
     Query("G16_bootstrapped", bootstrapped, _v(("coverage_v",), f"""SELECT 'sample_' || doc_id AS case_id, document_type, sample_path AS source_path, 'pending_review' AS dataset_split, 'needs_human_verification' AS promotion_status, 0::BIGINT AS fields,

@@ -1,11 +1,14 @@
 """Sources and sinks: the row shapes read and written."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from paperloom import constants as K
 from paperloom import schemas as S
 from paperloom.operators import curate as C
 from paperloom.operators import reports as R
+from paperloom.session import shared_folder
 from paperloom.sources import readers, writers
 from workload import views as V
 from workload.q_reports import _gap_sql, _gaps
@@ -73,6 +76,23 @@ s AS (SELECT path, string_split(path, '/') AS parts FROM p WHERE page_id % 8 NOT
 SELECT path, parts[-1] AS filename, lower(regexp_extract(parts[-1], '(\\.[^.]+)$', 1)) AS suffix, nullif(parts[-2], '') AS document_group, nullif(parts[-3], '') AS split FROM s"""
 
 
+def manifest_round_trip(spark, folder):
+    """The crop manifest written as JSON lines by field group and split, and read again."""
+    root = f"{shared_folder(spark)}/paperloom-manifest-{uuid.uuid4().hex}"
+    writers.write_manifest(V.crops(spark, folder), root)
+    rows = readers.manifest(spark, root)
+    return rows.select("case_id", "document_type", "field_name", "field_group", "split", "text", "source_path", "crop_path", F.col("quality.accepted").alias("accepted"))
+
+
+def manifest_folders(spark, folder):
+    """Rows by the folders that the manifest sink lays out."""
+    root = f"{shared_folder(spark)}/paperloom-manifest-{uuid.uuid4().hex}"
+    writers.write_manifest(V.crops(spark, folder), root)
+    parts = F.split(F.col("_metadata.file_path"), "/")
+    rows = spark.read.text(root, recursiveFileLookup=True).select(F.element_at(parts, -3).alias("group_folder"), F.element_at(parts, -2).alias("split_folder"))
+    return rows.groupBy("group_folder", "split_folder").agg(F.count(F.lit(1)).alias("rows"))
+
+
 def label_lines(spark, folder):
     return writers.label_lines(V.crops(spark, folder).withColumn("crop_path", F.concat(F.lit("out/"), "crop_path")), "out")
 
@@ -109,6 +129,8 @@ def absent_scaffolds(spark, folder):
 
 QUERIES = [
     Query("S3_latest_results", latest_results, LATEST_SQL),
+    Query("S4_manifest", manifest_round_trip, V.plain(V.with_views(("crops_v",)) + "SELECT case_id, document_type, field_name, field_group, split, text, source_path, crop_path, accepted FROM crops_v")),
+    Query("K1_manifest_folders", manifest_folders, V.plain(V.with_views(("crops_v",)) + "SELECT 'group_folder=' || field_group AS group_folder, 'split_folder=' || split AS split_folder, count(*) AS rows FROM crops_v GROUP BY ALL")),
     Query("S5_training_profiles", training_profiles, PROFILE_SQL),
     Query("S5_keyed_metrics", keyed_metrics, PROFILE_SQL.split("\nSELECT")[0] + """ SELECT p_brand AS field_key, n AS comparisons, o AS exact_matches, CASE WHEN n % 2 = 1 THEN r ELSE 0.0 END::DOUBLE AS exact_match_rate,
         r AS average_character_error_rate, 0.0::DOUBLE AS average_word_error_rate FROM b"""),
