@@ -93,6 +93,48 @@ st AS (SELECT image_id, e, coalesce(min(o) FILTER (ratio < 0.45), 5) AS n FROM l
 SELECT image_id, max(n) FILTER (e = 'left') AS trim_left, max(n) FILTER (e = 'right') AS trim_right, max(n) FILTER (e = 'top') AS trim_top, max(n) FILTER (e = 'bottom') AS trim_bottom FROM st GROUP BY image_id"""
 
 
+def _measured(n: int) -> str:
+    """Measures and flags of the crops in the boxes ``b{n}``."""
+    band = "greatest(1, least(x1 - x0, y1 - y0) // 12)"
+    return f"""
+p{n} AS (SELECT px.image_id, x, y, v, x0, y0, x1, y1 FROM px JOIN b{n} USING (image_id) WHERE x >= x0 AND x < x1 AND y >= y0 AND y < y1),
+m{n} AS (SELECT image_id, any_value(x1 - x0) AS w, any_value(y1 - y0) AS h, avg((v < 200)::INT) AS dark, stddev_pop(v) AS contrast,
+  coalesce((max(x) FILTER (v < 200) - min(x) FILTER (v < 200) + 1) * (max(y) FILTER (v < 200) - min(y) FILTER (v < 200) + 1) / any_value((x1 - x0) * (y1 - y0))::DOUBLE, 0.0) AS fg,
+  avg((v < 200)::INT) FILTER (x < x0 + {band}) AS el, avg((v < 200)::INT) FILTER (x >= x1 - {band}) AS er,
+  avg((v < 200)::INT) FILTER (y < y0 + {band}) AS et, avg((v < 200)::INT) FILTER (y >= y1 - {band}) AS eb FROM p{n} GROUP BY image_id),
+f{n} AS (SELECT *, concat_ws(',', CASE WHEN w < {K.MIN_WIDTH} THEN 'too_narrow' END, CASE WHEN h < {K.MIN_HEIGHT} THEN 'too_short' END, CASE WHEN dark < {K.MIN_DARK_RATIO} THEN 'low_dark_ratio' END,
+  CASE WHEN contrast < {K.MIN_CONTRAST} THEN 'low_contrast' END, CASE WHEN fg > {K.MAX_FOREGROUND_RATIO} AND dark >= {K.FILLED_DARK_RATIO} THEN 'foreground_fills_crop' END,
+  CASE WHEN (el >= {K.DENSE_EDGE_RATIO})::INT + (er >= {K.DENSE_EDGE_RATIO})::INT + (et >= {K.DENSE_EDGE_RATIO})::INT + (eb >= {K.DENSE_EDGE_RATIO})::INT >= {K.DENSE_EDGE_COUNT} THEN 'dense_edge_content' END) AS flags FROM m{n})"""
+
+
+def _trimmed(n: int) -> str:
+    """The boxes of pass ``n``: those of the pass before, cut by the dense lines of each side, where that leaves enough."""
+    sides = (("l", "x", "x - x0", "x1 - x0"), ("r", "x", "x1 - 1 - x", "x1 - x0"), ("t", "y", "y - y0", "y1 - y0"), ("b", "y", "y1 - 1 - y", "y1 - y0"))
+    lines = " UNION ALL ".join(
+        f"SELECT image_id, '{side}' AS e, {place} AS o, avg((v < 200)::INT) AS ratio, any_value(trunc(({length}) * {K.MAX_TRIM_RATIO}::DOUBLE)::INT) AS most FROM p{n - 1} GROUP BY image_id, {place}"
+        for side, _, place, length in sides)
+    return f"""
+e{n} AS (SELECT image_id, e, coalesce(min(o) FILTER (ratio < {K.DENSE_EDGE_RATIO} AND o < most), any_value(most)) AS cut FROM ({lines}) GROUP BY image_id, e),
+c{n} AS (SELECT image_id, max(cut) FILTER (e = 'l') AS l, max(cut) FILTER (e = 'r') AS r, max(cut) FILTER (e = 't') AS t, max(cut) FILTER (e = 'b') AS b FROM e{n} GROUP BY image_id),
+b{n} AS (SELECT image_id, x0 + l AS x0, y0 + t AS y0, x1 - r AS x1, y1 - b AS y1 FROM b{n - 1} JOIN c{n} USING (image_id)
+  WHERE l + r + t + b > 0 AND x1 - x0 - l - r >= {K.MIN_WIDTH} AND y1 - y0 - t - b >= {K.MIN_HEIGHT})"""
+
+
+def _salvage_sql() -> str:
+    """Up to the given passes, unrolled; the first whose crop has no flag wins."""
+    steps = ["px AS (SELECT image_id, i // 32 AS y, i % 32 AS x, pixels[i + 1] AS v FROM big_v, generate_series(0, 1023) g(i))",
+             "ba AS (SELECT image_id, 0 AS x0, 0 AS y0, 32 AS x1, 32 AS y1 FROM big_v)", _measured(0).replace("b0", "ba").replace("p0 AS", "pa AS").replace("FROM p0", "FROM pa"),
+             "b0 AS (SELECT ba.* FROM ba JOIN f0 USING (image_id) WHERE contains(flags, 'foreground_fills_crop') OR contains(flags, 'dense_edge_content'))",
+             "p0 AS (SELECT px.image_id, x, y, v, x0, y0, x1, y1 FROM px JOIN b0 USING (image_id))"]
+    for n in range(1, K.TRIM_PASSES + 1):
+        steps += [_trimmed(n), _measured(n)]
+    tried = " UNION ALL ".join(f"SELECT {n} AS n, f{n}.*, x0, y0, x1, y1 FROM f{n} JOIN b{n} USING (image_id) WHERE flags = ''" for n in range(1, K.TRIM_PASSES + 1))
+    steps.append(f"won AS (SELECT * FROM ({tried}) QUALIFY row_number() OVER (PARTITION BY image_id ORDER BY n) = 1)")
+    return BIG + ", " + ",\n".join(steps) + """
+SELECT image_id, won.n IS NOT NULL AS salvaged, coalesce(won.flags, f0.flags) AS flags, CASE WHEN won.n IS NOT NULL THEN f0.flags END AS original_flags, coalesce(won.w, f0.w)::INT AS width, coalesce(won.h, f0.h)::INT AS height,
+  x0::INT AS cut_left, y0::INT AS cut_top, (32 - x1)::INT AS cut_right, (32 - y1)::INT AS cut_bottom FROM f0 LEFT JOIN won USING (image_id)"""
+
+
 def salvage(spark, folder):
     rows = R.salvage(V.big_rasters(spark, folder))
     return rows.select(
@@ -122,7 +164,7 @@ QUERIES = [
     Query("Q5_crop_flags", crop_flags, EDGE_SQL + " SELECT image_id, flags, flags = '' AS accepted FROM g"),
     Query("Q5_small_crops", small_crop_flags, SMALL + " SELECT image_id, TRUE AS narrow, TRUE AS short, FALSE AS accepted FROM rasters_v"),
     Query("Q6_edge_trim", edge_trim, TRIM_SQL),
-    Query("Q7_salvage", salvage),
+    Query("Q7_salvage", salvage, _salvage_sql()),
     Query("Q8_confidence", confidence, """WITH w AS (SELECT conv_id AS doc_id, unnest(string_split(text, ' ')) AS w FROM conversations),
         a AS (SELECT doc_id, avg(least(1.0::DOUBLE, 0.6::DOUBLE + length(w) / 30.0::DOUBLE)) FILTER (length(w) > 1) AS c FROM w GROUP BY doc_id)
         SELECT d.doc_id, round(c, 6) AS average_ocr_confidence, c < 0.75 AS low_ocr_confidence FROM (SELECT DISTINCT conv_id AS doc_id FROM conversations) d LEFT JOIN a USING (doc_id)"""),
