@@ -75,3 +75,30 @@ def test_stream_gives_the_batch_result(spark, streamed):
 def test_queue_keeps_the_newest_batch_per_case(spark, streamed):
     current, _ = read_queue(spark, streamed[1])
     assert current.groupBy("case_id").agg(F.count_distinct("batch").alias("n")).filter("n > 1").count() == 0
+
+
+def test_a_review_run_takes_marks_from_the_raster_side(spark):
+    """Two cases with one apostille each: the same text, a page with dark marks and an empty page, and no page at all."""
+    from paperloom.operators.raster import document_checks, page_checks
+    from paperloom.plans.review_run import extract_documents, run_review
+
+    text = ("APOSTILLE (Convention de La Haye du 5 octobre 1961) 1. Country: UNITED STATES OF AMERICA 2. has been signed by TOVE LIND "
+            "3. acting in the capacity of NOTARY PUBLIC 5. at Salem, Oregon 6. the 1ST DAY OF JUNE, 2017 8. No. 4711")
+    pages = spark.createDataFrame(
+        [(c, 0, K.APOSTILLE, f"{c}.jpg", 1, text, [("w", 0.9)]) for c in ("dark", "white", "none")],
+        "case_id string, position int, document_type string, source_path string, page_number int, raw_text string, words array<struct<text:string,confidence:double>>")
+    rasters = spark.createDataFrame([("dark.jpg", 64, 64, [10] * 4096), ("white.jpg", 64, 64, [255] * 4096)], "image_id string, width int, height int, pixels array<int>")
+    assert "pixels" not in page_checks(rasters).columns
+    cases, documents = run_review(pages, None, rasters)
+    found = {r.case_id: r.quality_checks for r in documents.collect()}
+    template = found["dark"].detected_template_id
+    wanted = {r.image_id: (r.seal_present, r.signature_present) for r in document_checks(rasters.withColumn("template_id", F.lit(template))).collect()}
+    for name in ("dark", "white"):
+        assert (found[name].seal_present, found[name].signature_present) == wanted[f"{name}.jpg"] and found[name].blur_score == 0.0
+    assert wanted["dark.jpg"][0] is True and wanted["white.jpg"][0] is False
+    assert found["none"].seal_present is None and found["none"].blur_score is None and found["none"].width is None
+    rows = {r.case_id: r for r in cases.collect()}
+    assert set(rows) == {"dark", "white", "none"} and all(r.document_count == 1 for r in rows.values())
+    codes = {name: {f.code for f in r.findings} for name, r in rows.items()}
+    assert codes["dark"] < codes["white"] == codes["none"]  # absent and unknown marks reject alike
+    assert extract_documents(pages).filter("quality_checks.seal_present IS NOT NULL").count() == 0
