@@ -20,16 +20,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paperloom.llm.common import MEMBER_BITS, byte_texts, components, membership, slices
-from paperloom.session import cut_lineage
+from paperloom.session import cut_lineage, discard
 
 #: Slots of the count table, in chunks; bits of a bitmap.
 SLOTS, CHUNKS, BITS = 1 << 22, 64, 1024
-#: Rows of a tile block; blocks of a larger tile are compared pair by pair.
-BLOCK = 2048
+#: Rows of a tile block; blocks of a larger tile are compared pair by pair.  Rows of a group of blocks.
+BLOCK, GROUP = 2048, 20_000
 
 MARKS = "doc_id bigint, n bigint, node bigint, check bigint, bits binary, chunk int, counts binary"
 
@@ -63,8 +63,23 @@ def digests(shingles: np.ndarray, seed: int) -> tuple[int, int]:
 
 
 def bitmap(shingles: np.ndarray) -> bytes:
-    """Bit i tells whether an odd number of shingles fall on i, so each differing bit needs a differing shingle."""
-    return np.packbits(np.bincount((shingles >> np.uint64(50)).astype(np.int64) % BITS, minlength=BITS).astype(np.uint8) & 1).tobytes()
+    """Bit i tells whether an odd number of shingles fall on i, so each differing bit needs a differing shingle.
+
+    There are ``BITS`` bits, doubled until a set has at most two shingles a bit.
+    """
+    bits = BITS
+    while 2 * bits < len(shingles):
+        bits *= 2
+    slots = (shingles >> np.uint64(32)).astype(np.int64) & (bits - 1)
+    return np.packbits(np.bincount(slots, minlength=bits).astype(np.uint8) & 1).tobytes()
+
+
+def folded(bits: bytes, size: int) -> np.ndarray:
+    """A bitmap brought to ``size`` bits, the same that the set would have had at once."""
+    words = np.frombuffer(bits, np.uint64)
+    while 64 * len(words) > size:
+        words = words[: len(words) // 2] ^ words[len(words) // 2:]
+    return words
 
 
 def _marks(width: int, seed: int):
@@ -102,7 +117,7 @@ def _prefixes(width: int, seed: int, num: int, den: int, levels):
         level = np.frombuffer(levels.value, np.uint8)
         seen: set[int] = set()
         for batch in slices(batches, "text"):
-            shingles, nodes, sizes, places = [], [], [], []
+            shingles, nodes, sizes = [], [], []
             for text in byte_texts(batch.column("text")):
                 s = shingle_set(text, width)
                 node = digests(s, seed)[0]
@@ -114,10 +129,9 @@ def _prefixes(width: int, seed: int, num: int, den: int, levels):
                 shingles.append(s[by])
                 nodes.append(np.full(len(by), node, np.int64))
                 sizes.append(np.full(len(by), len(s), np.int32))
-                places.append(np.arange(len(by), dtype=np.int32))
             if shingles:
-                columns = (np.concatenate(shingles).view(np.int64), np.concatenate(nodes), np.concatenate(sizes), np.concatenate(places))
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["token", "node", "n", "place"])
+                columns = (np.concatenate(shingles).view(np.int64), np.concatenate(nodes), np.concatenate(sizes))
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["token", "node", "n"])
 
     return run
 
@@ -148,9 +162,12 @@ def _close(num: int, den: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for c in ("bits_a", "bits_b"))
+            differ = []
+            for a, b in zip(batch.column("bits_a").to_pylist(), batch.column("bits_b").to_pylist()):
+                size = 8 * min(len(a), len(b))
+                differ.append(int(np.bitwise_count(folded(a, size) ^ folded(b, size)).sum()))
             na, nb = (batch.column(c).to_numpy() for c in ("n_a", "n_b"))
-            fits = _room(na, nb, np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64), num, den)
+            fits = _room(na, nb, np.array(differ, np.int64), num, den)
             yield batch.select(["a", "b"]).filter(pa.array(fits))
 
     return run
@@ -170,25 +187,37 @@ def _exact(num: int, den: int):
 
 
 def _block_pairs(num: int, den: int):
-    """Pairs of a tile's blocks that are in different components and pass size, place and bitmap."""
-
-    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        node, root, n, place, block = (table.column(c).to_numpy() for c in ("node", "root", "n", "place", "block"))
-        i, j = key[2].as_py(), key[3].as_py()
-        bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint64).reshape(len(node), -1)
-        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        found_a, found_b = [], []
-        for k in left:
-            other = right[(root[right] != root[k]) & (node[right] > node[k] if i == j else node[right] != node[k])]
-            # shared shingles stand before this one in both prefixes, or are this one, or stand behind it in both
-            most = np.minimum(place[k], place[other]) + np.minimum(n[k] - place[k], n[other] - place[other])
-            other = other[den * most >= num * (n[k] + n[other] - most)]
-            differ = np.bitwise_count(bits[other] ^ bits[k]).sum(axis=1, dtype=np.int64)
-            other = other[_room(n[k], n[other], differ, num, den)]
-            found_a.append(np.minimum(node[k], node[other]))
-            found_b.append(np.maximum(node[k], node[other]))
-        empty = [np.zeros(0, np.int64)]
-        return pa.table({"a": np.concatenate(found_a or empty), "b": np.concatenate(found_b or empty)})
+    """Pairs inside a tile block that are in different components and pass size and bitmap.
+
+    A group holds many tile blocks, sorted one after another; rows at distance 1, 2... in it are paired
+    as long as they share their block, for all blocks at once.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        columns = {c: table.column(c).to_numpy() for c in ("token", "tile", "i", "j", "node", "root", "n", "block")}
+        order = np.lexsort([columns[c] for c in ("j", "i", "tile", "token")])
+        token, tile, i, j, node, root, n, block = (c[order] for c in columns.values())
+        bits = np.stack([folded(x, BITS) for x in table.column("bits").to_pylist()])[order]
+        fresh = np.append(True, (token[1:] != token[:-1]) | (tile[1:] != tile[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1]))
+        same = np.cumsum(fresh)
+        found = [np.zeros((2, 0), np.int64)]
+        x = np.arange(len(order))
+        for step in range(1, len(order)):
+            x = x[x + step < len(order)]
+            x = x[same[x] == same[x + step]]
+            if not x.size:
+                break
+            a, b = x, x + step
+            # two blocks: only pairs across them, those inside are another group's
+            use = (root[a] != root[b]) & (node[a] != node[b]) & ((i[a] == j[a]) | (block[a] != block[b]))
+            a, b = a[use], b[use]
+            use = _room(n[a], n[b], np.abs(n[a] - n[b]), num, den)
+            a, b = a[use], b[use]
+            use = _room(n[a], n[b], np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1, dtype=np.int64), num, den)
+            a, b = node[a[use]], node[b[use]]
+            found.append(np.stack([np.minimum(a, b), np.maximum(a, b)]))
+        a, b = np.unique(np.concatenate(found, axis=1), axis=1)
+        return pa.table({"a": a, "b": b})
 
     return run
 
@@ -211,19 +240,33 @@ class ShingleJoin:
         self.classes = self.marks.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("first"), F.first("n").alias("n"), F.first("bits").alias("bits"))
 
     def tiles(self) -> DataFrame:
-        """``token, tile, node, n, place`` where a token is in the prefixes of two classes or more.
+        """``token, tile, node, n, pivot`` where a tile holds two classes or more.
 
-        Tile number b holds the size bands b and b - 1, which are num / den wide: a pair that links
-        lies in one band or two neighbours, so it meets in a tile.
+        Tile number b of a token holds its classes in the size bands b and b - 1, which are num / den
+        wide: a pair that links lies in one band or two neighbours, so it meets in a tile.  A token
+        whose classes lie in one band needs that tile alone.  The pivot is the least class of a tile
+        for one half of the tokens, the greatest for the other.
         """
         summed = self.counts.groupBy("chunk").applyInArrow(_added, "chunk int, levels binary").collect()  # SLOTS bytes in all
         table = b"".join(bytes(r["levels"]) for r in sorted(summed, key=lambda r: r["chunk"])) or bytes(SLOTS)
         levels = self.spark.sparkContext.broadcast(table)
-        entries = cut_lineage(self.docs.mapInArrow(_prefixes(self.width, self.seed, self.num, self.den, levels), "token bigint, node bigint, n int, place int"))
-        shared = entries.groupBy("token").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("token")
-        band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(self.den / self.num)) + 1e-6).cast("int")
-        held = entries.join(shared, "token").dropDuplicates(["token", "node"])
-        return cut_lineage(held.select("token", F.explode(F.array(band, band + 1)).alias("tile"), "node", "n", "place"))
+        entries = cut_lineage(self.docs.mapInArrow(_prefixes(self.width, self.seed, self.num, self.den, levels), "token bigint, node bigint, n int"))
+
+        def band(n: str) -> Column:
+            return F.floor(F.log(F.col(n).cast("double")) / float(np.log(self.den / self.num)) + 1e-6).cast("int")
+
+        # a class can come from several tasks, so this is a superset; tiles of one class go below
+        often = entries.groupBy("token").agg(F.count(F.lit(1)).alias("rows"), F.min("n").alias("low"), F.max("n").alias("high"))
+        often = often.where("rows > 1").select("token", (band("low") == band("high")).alias("one"))
+        own = F.when(F.col("one"), F.array(band("n"))).otherwise(F.array(band("n"), band("n") + 1))
+        held = entries.join(often, "token").dropDuplicates(["token", "node"])
+        held = cut_lineage(held.select("token", F.explode(own).alias("tile"), "node", "n"))
+        discard(entries)
+        ends = held.groupBy("token", "tile").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b")
+        pivot = F.when(F.col("token") % 2 == 0, F.col("a")).otherwise(F.col("b"))
+        tiles = cut_lineage(held.join(ends.select("token", "tile", pivot.alias("pivot")), ["token", "tile"]))
+        discard(held)
+        return tiles
 
     def linked(self, pairs: DataFrame) -> DataFrame:
         """The pairs ``a, b`` of classes that link: bitmaps first, then the arrays themselves."""
@@ -240,22 +283,24 @@ class ShingleJoin:
         return near.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_exact(self.num, self.den), "a bigint, b bigint")
 
     def stars(self, tiles: DataFrame) -> DataFrame:
-        """Every class of a tile with the tile's pivot; two choices of pivot, by the shingle's last bit."""
-        chance = F.xxhash64("node", F.col("token") % 2)
-        pivots = tiles.groupBy("token", "tile").agg(F.min(F.struct(chance.alias("c"), "node"))["node"].alias("pivot"))
-        edges = tiles.join(pivots, ["token", "tile"]).where("node <> pivot")
+        """Every class of a tile with the tile's pivot."""
+        edges = tiles.where("node <> pivot")
         return edges.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
 
     def rest(self, tiles: DataFrame, roots: DataFrame) -> DataFrame:
         """Pairs of different components in tiles that hold several, in blocks of bounded size."""
-        named = tiles.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        counts = named.groupBy("token", "tile").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count(F.lit(1)).alias("size"))
-        open_ = counts.where("x <> y").select("token", "tile", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-        rows = named.join(open_, ["token", "tile"]).join(self.classes.select("node", "bits"), "node")
+        def named(rows: DataFrame) -> DataFrame:
+            return rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+        counts = named(tiles.select("token", "tile", "node")).groupBy("token", "tile").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count(F.lit(1)).alias("size"))
+        open_ = cut_lineage(counts.where("x <> y").select("token", "tile", "size", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
+        groups = (open_.agg(F.sum(F.col("size") * F.col("blocks"))).first()[0] or 0) // GROUP + 1
+        rows = named(tiles.drop("pivot").join(open_.drop("size"), ["token", "tile"])).join(self.classes.select("node", "bits"), "node")
         rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         pair = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least("block", k).alias("i"), F.greatest("block", k).alias("j")))
-        dealt = rows.withColumn("pair", F.explode(pair)).select("token", "tile", "pair.i", "pair.j", "node", "root", "n", "place", "block", "bits")
-        return dealt.groupBy("token", "tile", "i", "j").applyInArrow(_block_pairs(self.num, self.den), "a bigint, b bigint").distinct()
+        dealt = rows.withColumn("pair", F.explode(pair)).select("token", "tile", "pair.i", "pair.j", "node", "root", "n", "block", "bits")
+        dealt = dealt.withColumn("group", F.pmod(F.xxhash64("token", "tile", "i", "j"), F.lit(groups)))
+        return dealt.groupBy("group").applyInArrow(_block_pairs(self.num, self.den), "a bigint, b bigint").distinct()
 
     def run(self) -> DataFrame:
         """``doc_id, n_shingles, component_id``, a row for each row."""
