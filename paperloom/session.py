@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # rasters and texts reach Python in batches of bounded bytes, whatever a row holds
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
 }
 
 

@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from paperloom import constants as K
@@ -155,3 +156,31 @@ def test_review_actions(spark):
     df = spark.createDataFrame([(["too_short", "dense_edge_content"],), ([],), (None,)], "f array<string>")
     assert [r.a for r in df.select(R.review_actions(F.col("f")).alias("a")).collect()] == [
         ["inspect_seal_or_noise_overlap", "review_region_box_size"], ["review_crop_quality"], ["review_crop_quality"]]
+
+
+def test_scratch_needs_a_shared_folder_off_local_mode():
+    from types import SimpleNamespace
+
+    from paperloom.session import shared_folder
+
+    def session(master, named=None):
+        context = SimpleNamespace(master=master, getConf=lambda: {}, getCheckpointDir=lambda: None)
+        return SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default: named))
+
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError):
+            shared_folder(session(master))
+        assert shared_folder(session(master, "hdfs://scratch/")) == "hdfs://scratch"
+
+
+def test_lineage_tables_can_be_deleted(spark):
+    import glob
+
+    from paperloom.session import cut_lineage, discard, discard_all, shared_folder
+
+    folder = shared_folder(spark).removeprefix("file:")
+    kept, gone = cut_lineage(spark.range(3).toDF("a")), cut_lineage(spark.range(4).toDF("a"))
+    discard(gone)
+    assert kept.count() == 3 and not glob.glob(gone.written_path.removeprefix("file:"))
+    discard_all(spark)
+    assert not glob.glob(f"{folder}/paperloom-*")

@@ -1,4 +1,4 @@
-"""Every query against its SQL text at the smallest scale; the two without SQL have own tests."""
+"""Every query against its SQL text at the smallest scale; one without SQL is named here and has its own test."""
 
 import duckdb
 import pytest
@@ -8,6 +8,8 @@ from workload.check import compare
 from workload.views import TABLES
 
 FOLDER = "/root/testdata/sf0.001"
+#: The whole review run: its stages have SQL each, and test_review.py compares the run with them.
+WITHOUT_SQL = {"R8_review_run"}
 
 
 @pytest.fixture(scope="module")
@@ -26,4 +28,4 @@ def test_names_are_unique():
 @pytest.mark.parametrize("query", QUERIES, ids=lambda q: q.name)
 def test_query(spark, engine, query):
     result = compare(spark, engine, query, FOLDER)
-    assert result.startswith(("ok", "rows")), result
+    assert result.startswith("rows" if query.name in WITHOUT_SQL else "ok"), result

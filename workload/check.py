@@ -11,7 +11,7 @@ import traceback
 
 import duckdb
 
-from paperloom.session import build_session
+from paperloom.session import build_session, discard_all
 from workload.catalog import QUERIES
 from workload.views import TABLES
 
@@ -72,6 +72,7 @@ def main(folder: str, names: list[str]) -> int:
             if names:
                 traceback.print_exc()
         bad += not result.startswith(("ok", "rows"))
+        discard_all(spark)
         print(f"{query.name:34s} {result}", flush=True)
     print("bad:", bad)
     return bad
