@@ -52,7 +52,7 @@ def words_of(text: Column) -> Column:
     ``lower`` maps two letters outside ASCII to ASCII ones; they are words' letters either way, so they
     are replaced first by another such letter.
     """
-    plain = F.replace(F.replace(F.coalesce(text, F.lit("")), F.lit("K"), F.lit("�")), F.lit("İ"), F.lit("�"))
+    plain = F.replace(F.replace(F.coalesce(text, F.lit("")), F.lit("\u212A"), F.lit("\uFFFD")), F.lit("\u0130"), F.lit("\uFFFD"))
     return F.array_remove(F.split(F.lower(plain), BETWEEN), "")
 
 

@@ -115,10 +115,10 @@ def dedup_lines(docs: DataFrame, mean: int = MEAN_LINES) -> DataFrame:
     first one, by ``doc_id`` (null last) and place, and goes from the others, be they in the same text.
     Null texts stay null, an empty text has no lines, a text can end up empty.  Rows that repeat both
     ``doc_id`` and text are one document and all keep what it keeps.  Columns of ``docs`` beside
-    ``doc_id`` and ``text`` are carried along; the names ``row``, ``drop`` and those added are reserved
+    ``doc_id`` and ``text`` are carried along; the names ``row``, ``drop``, ``of`` and those added are reserved
     inside and refused.  An empty table gives an empty table.
     """
-    clash = {"row", "drop", "n_lines", "n_removed_lines"} & set(docs.columns)
+    clash = {"row", "drop", "of", "n_lines", "n_removed_lines"} & set(docs.columns)
     if clash:
         raise ValueError(f"rename the columns {sorted(clash)}")
     spark = docs.sparkSession
@@ -135,11 +135,13 @@ def dedup_lines(docs: DataFrame, mean: int = MEAN_LINES) -> DataFrame:
     found = cut_lineage(found.select("*", F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"), F.col("chunk").alias("c")).alias("at")))
     first = found.groupBy("hash", "bytes").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     later = found.join(first, ["hash", "bytes"]).where(~F.col("at").eqNullSafe(F.col("first")))
-    drops = cut_lineage(later.groupBy("row").agg(F.collect_set("chunk").alias("drop")))
+    drops = cut_lineage(later.groupBy("row", F.col("doc_id").alias("of")).agg(F.collect_set("chunk").alias("drop")))
     # 3. cut them out; texts that lose nothing aren't shuffled
     touched = spark.sparkContext.broadcast(membership(drops, "row"))
     columns = docs.columns
     out = T.StructType([*docs.schema.fields, T.StructField("n_lines", T.LongType()), T.StructField("n_removed_lines", T.LongType())])
-    maybe = keyed.mapInArrow(_split(touched, True), keyed.schema).join(drops, "row", "left")
+    maybe = keyed.mapInArrow(_split(touched, True), keyed.schema)
+    own = (maybe["row"] == drops["row"]) & maybe["doc_id"].cast("bigint").eqNullSafe(drops["of"])
+    maybe = maybe.join(drops, own, "left").drop(drops["row"], drops["of"])
     alone = keyed.mapInArrow(_split(touched, False), keyed.schema).withColumn("drop", F.lit(None).cast("array<int>"))
     return maybe.select(*columns, "drop").unionByName(alone.select(*columns, "drop")).mapInArrow(_cut(mean, columns), out)
