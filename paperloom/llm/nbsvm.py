@@ -17,6 +17,8 @@ from paperloom.llm.common import byte_texts, slices
 FEATURES, CHUNKS, ORDERS = 1 << 18, 16, (1, 2, 3)
 #: Labelled rows that the margin is fitted on at most; the ratios count all labelled rows.
 SAMPLE = 12_000
+#: Labels up to which they are broadcast, 12 bytes each; beyond, texts and labels are shuffled.
+FEW_LABELS = 1_000_000
 #: Smoothing of the counts, cost of a margin error, passes, weight of the fitted against the mean weight.
 SMOOTHING, COST, PASSES, TRUST = 1.0, 1.0, 15, 0.9
 FOLDS = 5
@@ -176,7 +178,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple | Non
     context = docs.sparkSession.sparkContext
     known = labels.where("doc_id IS NOT NULL AND label IN (0, 1)").groupBy("doc_id").agg(F.max("label").cast("int").alias("label"))
     texts = docs.select("doc_id", "text")
-    packed = texts.join(known, "doc_id").select("text", "label").mapInArrow(_counts, "chunk int, counts binary")
+    few = known.limit(FEW_LABELS + 1).count() <= FEW_LABELS
+    packed = texts.join(F.broadcast(known) if few else known, "doc_id").select("text", "label").mapInArrow(_counts, "chunk int, counts binary")
     summed = packed.groupBy("chunk").applyInArrow(_added, "chunk int, counts binary").collect()  # 16 bytes a feature
     parts = {r["chunk"]: np.frombuffer(zlib.decompress(bytes(r["counts"])), np.int64) for r in summed}
     if not parts or not parts[-1].sum():
