@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -29,8 +30,7 @@ def byte_texts(column: pa.Array) -> list[bytes]:
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that a slice holds about ``most`` bytes of text, or one longer text."""
     for batch in batches:
-        lengths = batch.column(column).cast(pa.large_binary())
-        sizes = np.diff(np.frombuffer(lengths.buffers()[1], np.int64, len(lengths) + 1, lengths.offset * 8)) if len(lengths) else np.zeros(0)
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         start, held = 0, 0
         for i, size in enumerate(sizes):
             if held and held + size > most:
