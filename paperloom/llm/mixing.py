@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paperloom.llm.common import running
+from paperloom.session import cut_lineage
 
 #: Weights of the sources in code point order, repeating; a source gives at most so many times its size.
 WEIGHTS = (5, 2, 1)
@@ -53,7 +54,8 @@ def mix(docs: DataFrame, size: Column, weights: tuple[int, ...] = WEIGHTS, most:
     nothing.  Columns beyond ``doc_id``, ``source`` and what ``size`` reads don't matter.
     """
     key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    rows = docs.select("doc_id", "source", size.alias("size"), key.alias("key"))
+    # texts are read once: what follows reads the sizes three times
+    rows = cut_lineage(docs.select("doc_id", "source", size.alias("size"), key.alias("key")))
     totals = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("rows"))
     n = totals.agg(F.sum("rows")).first()[0] or 0
     goals = targets(totals.select("source", "source_size"), weights, most).withColumnRenamed("source", "of")
