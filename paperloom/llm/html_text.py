@@ -157,15 +157,22 @@ class Page:
         return "\n".join(x for x in lines if x)
 
 
+def signed(value: int) -> int:
+    return value - (1 << 64) if value >> 63 else value
+
+
 def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Host, hash of the page's whole text, and hash of a subtree; a null one stands for the page itself."""
     for batch in slices(batches, "html"):
-        hosts, hashes = [], []
+        hosts, contents, hashes = [], [], []
         for host, data in zip(batch.column("host").to_pylist(), byte_texts(batch.column("html"))):
             if host:
-                found = {v for v, _, _ in Page(data.decode()).elements}
+                page = Page(data.decode())
+                found = [None, *{signed(v) for v, _, _ in page.elements}]
                 hosts += [host] * len(found)
-                hashes += [v - (1 << 64) if v >> 63 else v for v in found]
-        yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(hashes, pa.int64())], names=["host", "hash"])
+                contents += [signed(xxhash.xxh3_64_intdigest(page.text()))] * len(found)
+                hashes += found
+        yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(contents, pa.int64()), pa.array(hashes, pa.int64())], names=["host", "content", "hash"])
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,16 +193,18 @@ def main_text(pages: DataFrame, fewest: int = FEWEST_PAGES, share: float = SHARE
     """``page_id, url, text, n_chars`` for every row of ``pages``.
 
     Subtrees outside the page's furniture are hashed by tag, text and the hashes below; one that stands on
-    ``fewest`` pages and ``share`` of a host's pages belongs to the host's template and goes.  A host has
-    at most (subtrees a page) / ``share`` such hashes.  Null html is empty text; a null url, or one without a
-    host, has no template; pages repeated count as pages; other columns don't matter; an empty table
-    gives no rows.
+    ``fewest`` pages and ``share`` of a host's pages belongs to the host's template and goes.  Pages of a
+    host whose text, before templates go, is the same count as one page, in both numbers, so copies of
+    an article don't make it a template; copies that differ in a word count as pages of their own.  A host
+    has at most (subtrees a page) / ``share`` such hashes.  Null html is empty text; a null url, or one
+    without a host, has no template; other columns don't matter; an empty table gives no rows.
     """
     host = F.lower(F.regexp_extract(F.coalesce(F.col("url").cast("string"), F.lit("")), r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
     known = pages.select("page_id", "url", "html", host.alias("host"))
-    counted = known.select("host", "html").mapInArrow(_subtrees, "host string, hash bigint").groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n"))
-    totals = known.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    often = counted.where(F.col("n") >= fewest).join(totals, "host").where(F.col("n") >= F.col("pages") * share)
+    found = known.select("host", "html").mapInArrow(_subtrees, "host string, content bigint, hash bigint").distinct()
+    counted = cut_lineage(found.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).where((F.col("n") >= fewest) | F.col("hash").isNull()))
+    totals = counted.where("hash IS NULL").select("host", F.col("n").alias("pages"))
+    often = counted.where((F.col("n") >= fewest) & F.col("hash").isNotNull()).join(totals, "host").where(F.col("n") >= F.col("pages") * share)
     templates = cut_lineage(often.groupBy("host").agg(F.sort_array(F.collect_set("hash")).alias("template")))
     rows = templates.agg(F.sum(F.size("template") + 1)).first()[0] or 0
     joined = known.join(F.broadcast(templates) if rows <= FEW_ROWS else templates, "host", "left")

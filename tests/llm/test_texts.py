@@ -254,6 +254,17 @@ def test_site_templates_go(spark):
         html_text.FEW_ROWS = limit
 
 
+@pytest.mark.parametrize("pages, copies", [(10, 5), (30, 10), (30, 15)])
+def test_copies_of_an_article_are_no_template(spark, pages, copies):
+    article = "<article><h1>News</h1><p>A long story</p><div>with an end</div><p>{}</p></article><nav>{}</nav>"
+    rows = [(i, f"http://h.org/{i}", article.format("told once", i)) for i in range(copies)]
+    rows += [(i, f"http://h.org/{i}", f"<article><h1>Title {i}</h1><p>Story {i}</p><p>Read our letter</p></article>") for i in range(copies, pages)]
+    found = html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    got = {r.page_id: r.text for r in found.collect()}
+    assert {got[i] for i in range(copies)} == {"News\nA long story\nwith an end\ntold once"}
+    assert all(got[i] == f"Title {i}\nStory {i}" for i in range(copies, pages))
+
+
 def test_quality_classifier(spark):
     rng = np.random.default_rng(1)
     good = [" ".join(rng.choice(["the", "cat", "sat", "on", "a", "mat", "and", "ran"], 30)) for _ in range(150)]
