@@ -40,7 +40,8 @@ TEMPLATES = (
     Template("cc-by", "creative commons attribution 4 0 international license", "creative commons attribution 4 0 international"),
 )
 
-#: Licence words looked up for each file, rarest first; rarest words of a template that are its postings.
+#: Licence words that the SQL text looks up for each file, rarest first (``scan`` looks up all of them);
+#: rarest words of a template that are its postings.
 FILE_WORDS, POSTINGS = 16, 4
 #: Postings that must agree on a place, and the share of a template's words that must stand there.
 AGREE, SHARE = 2, 0.8
@@ -99,8 +100,8 @@ def _literal(templates, posted: list[list[str]]) -> Column:
 
 
 def _hits(t: Column, agree: int, share: float) -> Column:
-    """Where a template stands in the column ``words``, given the rare words of the file in ``looked``."""
-    words, looked = F.col("words"), F.col("looked")
+    """Where a template stands in the column ``words``, given the licence words of the file in ``present``."""
+    words, looked = F.col("words"), F.col("present")
     everywhere = F.sequence(F.lit(0), F.size(words) - 1)
     looked_up = F.filter(t["postings"], lambda x: F.array_contains(looked, x["word"]))
 
@@ -122,11 +123,11 @@ def _hits(t: Column, agree: int, share: float) -> Column:
     return F.filter(F.transform(places, scored), lambda x: x["share"] >= share)
 
 
-def scan(docs: DataFrame, templates=TEMPLATES, base=BASE, file_words: int = FILE_WORDS, postings: int = POSTINGS, agree: int = AGREE, share: float = SHARE) -> DataFrame:
+def scan(docs: DataFrame, templates=TEMPLATES, base=BASE, postings: int = POSTINGS, agree: int = AGREE, share: float = SHARE) -> DataFrame:
     """``doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, places``, a row for each row.
 
-    The rarest licence words of a file (by document frequency in all files) are looked up among the
-    postings of the templates, which are each template's rarest words.  A posting at word q of a template
+    All licence words of a file are looked up among the postings of the templates, which are each
+    template's rarest words by document frequency in all files.  A posting at word q of a template
     that stands at word p of the file votes for the place p - q; a place with ``agree`` votes is compared
     word by word, and counts if its mandatory phrase is whole and ``share`` of its words agree.  ``score``
     is the best share, 1 with a base hit, else 0; ``places`` holds template number, label,
@@ -145,8 +146,8 @@ def scan(docs: DataFrame, templates=TEMPLATES, base=BASE, file_words: int = FILE
         there = F.size(F.array_intersect(F.col("present"), _strings(phrase.split()))) == len(set(phrase.split()))
         return F.when(there, _starts(F.col("words"), phrase)).otherwise(F.array().cast("array<int>"))
 
-    rows = rows.select("*", F.slice("present", 1, file_words).alias("looked"), *[base_starts(p).alias(f"base{i}") for i, (p, _) in enumerate(base)])
-    rows = rows.withColumn("near", F.filter(_literal(templates, posted), lambda t: F.size(F.array_intersect(F.col("looked"), t["rare"])) >= agree))
+    rows = rows.select("*", *[base_starts(p).alias(f"base{i}") for i, (p, _) in enumerate(base)])
+    rows = rows.withColumn("near", F.filter(_literal(templates, posted), lambda t: F.size(F.array_intersect(F.col("present"), t["rare"])) >= agree))
     rows = rows.withColumn("found", F.flatten(F.transform("near", lambda t: _hits(t, agree, share))))
     starts = F.concat(*[F.col(f"base{i}") for i in range(len(base))])
     named = F.array_compact(F.array(*[F.when(F.size(f"base{i}") > 0, F.lit(label)) for i, (_, label) in enumerate(base)]))

@@ -39,6 +39,17 @@ def test_licence_templates_tolerate_a_changed_word(spark):
     assert found[2].labels == found[3].labels == "" and found[2].score == 0
 
 
+def test_a_file_may_hold_every_licence_template(spark):
+    texts = [t.text for t in licences.TEMPLATES]
+    rows = [(1, "\n\n".join(texts), "a"), (2, " and ".join(reversed(texts)), "a"), (3, f"{texts[0]}\n{texts[8]}\n{texts[10]}\n{texts[11]}", "a")]
+    found = {r.doc_id: r for r in licences.scan(docs(spark, rows)).collect()}
+    starts = {1: [sum(len(x.split()) for x in texts[:i]) for i in range(len(texts))], 2: [sum(len(x.split()) + 1 for x in texts[i + 1:]) for i in range(len(texts))]}
+    for d in (1, 2):
+        assert set(enumerate(starts[d])) <= {(x.template, x.start) for x in found[d].places if x.share == 1}
+        assert found[d].labels == ",".join(sorted({t.label for t in licences.TEMPLATES}))
+    assert found[3].labels == "bsd,isc,mit,unlicense" and found[3].score == 1
+
+
 def test_quality_rules(spark):
     got = {r.doc_id: r for r in quality_rules.judge(docs(spark)).collect()}
     for doc, text, _ in TEXTS:
