@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import zlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +18,8 @@ from paperloom.session import cut_lineage
 LENGTH = 2048
 #: Id that ends every document.
 END = 0
+#: The added token of ``byte_bpe_50k.json``, which is one id wherever it stands in a text.
+ADDED = {"<|endoftext|>": 50256}
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
@@ -34,7 +37,12 @@ def load(path: str, pattern: str | None = None):
 
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    return tiktoken.Encoding("packing", pat_str=pattern or public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("packing", pat_str=pattern or public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={} if set(ADDED.values()) & set(ranks.values()) else ADDED)
+
+
+def encoder(encoding):
+    """The ids of a text, added tokens found inside it."""
+    return partial(encoding.encode, allowed_special=encoding.special_tokens_set, disallowed_special=())
 
 
 def cut(n: int, length: int) -> list[tuple[int, int]]:
@@ -45,7 +53,7 @@ def cut(n: int, length: int) -> list[tuple[int, int]]:
 
 def _tokens(path: str | None, length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = load(path or default_tokenizer()).encode_ordinary
+        encode = encoder(load(path or default_tokenizer()))
         names = [c.split()[0] for c in PIECES.split(", ")]
         kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
         for batch in slices(batches, "text"):
@@ -132,7 +140,7 @@ def _seats(bins: list[tuple[tuple[int, ...], int]], length: int) -> tuple[np.nda
 def pack(docs: DataFrame, length: int = LENGTH, tokenizer: str | None = None) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32, sequence_id, offset``: a row for each piece of a document.
 
-    A document is its ids and one ``END``; null text is empty, so it is one piece of length 1.  How
+    A document is its ids, ``<|endoftext|>`` in it being one, and one ``END``; null text is empty, so it is one piece of length 1.  How
     many pieces have each length, at most ``length`` numbers, decides the bins on the driver; the
     pieces of one length are then interchangeable, and their rank picks sequence and place.  Ranks come
     from ranges of a hash of document and piece, so a length that a third of all pieces have is spread

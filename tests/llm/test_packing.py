@@ -70,4 +70,23 @@ def test_ids_equal_those_of_tokenizers(text):
     assert packing.load(packing.default_tokenizer()).encode_ordinary(text) == TOKENIZER.encode(text, add_special_tokens=False).ids
 
 
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|endoftext", "|>", " ", "\n", "hello", " world", "é"]), max_size=12))
+def test_marks_in_a_text_are_one_id(parts):
+    text = "".join(parts)
+    assert packing.encoder(packing.load(packing.default_tokenizer()))(text) == AS_LOADED.encode(text, add_special_tokens=False).ids
+
+
+def test_pieces_of_texts_with_marks(spark):
+    texts = ["hello <|endoftext|> world", "<|endoftext|>" * 3000, "a<|endoftext|>"]
+    want = []
+    for d, text in enumerate(texts):
+        ids = np.array([*AS_LOADED.encode(text, add_special_tokens=False).ids, 0], "<u4")
+        want += [(d, k, s, n, zlib.crc32(ids[s:s + n])) for k, (s, n) in enumerate(packing.cut(len(ids), 2048))]
+    assert want[0][3] == 5
+    rows = packing.pack(docs(spark, [(d, t, "a") for d, t in enumerate(texts)])).collect()
+    assert sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows) == want
+
+
 TOKENIZER = reference()
+AS_LOADED = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
