@@ -302,6 +302,11 @@ class ShingleJoin:
         dealt = dealt.withColumn("group", F.pmod(F.xxhash64("token", "tile", "i", "j"), F.lit(groups)))
         return dealt.groupBy("group").applyInArrow(_block_pairs(self.num, self.den), "a bigint, b bigint").distinct()
 
+    def pairs(self) -> DataFrame:
+        """All pairs ``a, b`` of classes that link: every pair of a tile is compared, whatever its component."""
+        alone = self.spark.createDataFrame([], "node bigint, root bigint")
+        return cut_lineage(self.linked(cut_lineage(self.rest(self.tiles(), alone))))
+
     def run(self) -> DataFrame:
         """``doc_id, n_shingles, component_id``, a row for each row."""
         tiles = self.tiles()
@@ -329,6 +334,24 @@ def link(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) -> Data
     return ShingleJoin(docs, width, num, den).run()
 
 
+def links(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) -> tuple[DataFrame, DataFrame]:
+    """All links under the rules of ``link``: ``doc_id, n_shingles, class, n_links`` for every row, and ``a, b``.
+
+    Rows of equal shingle sets are one class; a row links with the others of its class and with all rows of
+    the classes that a pair ``a < b`` joins to its own, ``n_links`` rows together.  Rows without shingles
+    have no class and no links.  There are as many pairs as different texts link, so a group of n near
+    copies can cost n squared; ``link`` doesn't.
+    """
+    join = ShingleJoin(docs, width, num, den)
+    pairs = join.pairs()
+    sizes = join.marks.where("n > 0").groupBy("node").agg(F.count(F.lit(1)).alias("size"))
+    both = pairs.union(pairs.select("b", "a")).toDF("node", "other")
+    near = both.join(sizes.withColumnRenamed("node", "other"), "other").groupBy("node").agg(F.sum("size").alias("others"))
+    counted = sizes.join(near, "node", "left").select("node", (F.col("size") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+    rows = join.marks.withColumn("node", F.when(F.col("n") > 0, F.col("node"))).join(counted, "node", "left")
+    return rows.select("doc_id", F.col("n").alias("n_shingles"), F.col("node").alias("class"), F.coalesce("n_links", F.lit(0)).alias("n_links")), pairs
+
+
 def one_of_each(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """The rows of ``docs`` with the smallest ``doc_id`` of their component, repeated rows once.
 

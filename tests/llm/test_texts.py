@@ -174,6 +174,24 @@ def test_join_against_brute_force(spark, width, num):
     assert got == want
 
 
+def test_all_links_of_near_copies(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK", 4)
+    words = [f"v{i}" for i in range(120)]
+    rows = [(100 + k, " ".join(words[:5 * k] + [f"c{k}"] + words[5 * k + 1:]), "a") for k in range(12)]  # near copies
+    rows += [(200 + k, " ".join(f"u{i}" for i in range(4 * k, 4 * k + 80)), "a") for k in range(8)]  # a chain
+    rows += [rows[0], (300, rows[3][1], "a"), (301, None, "a"), (302, "", "a"), (303, "alone in here", "a")]
+    sets = [{tuple(w[i:i + 3]) for i in range(len(w) - 2)} for w in (re.findall(SPACES, lower(t)) for _, t, _ in rows)]
+    near = [[bool(a and b) and 100 * len(a & b) >= 90 * len(a | b) for b in sets] for a in sets]
+    found, pairs = jaccard.links(docs(spark, rows), 3, 90, 100)
+    got = found.collect()
+    assert sorted((r.doc_id, r.n_shingles, r.n_links) for r in got) == sorted((d, len(s), sum(n) - bool(s)) for (d, _, _), s, n in zip(rows, sets, near))
+    named = {r.doc_id: r["class"] for r in got}
+    want = {tuple(sorted((named[rows[i][0]], named[rows[j][0]]))) for i in range(len(rows)) for j in range(i) if near[i][j] and sets[i] != sets[j]}
+    listed = [tuple(r) for r in pairs.collect()]
+    assert set(listed) == want and len(listed) == len(want) > 12
+    assert [x.count() for x in jaccard.links(empty(spark))] == [0, 0]
+
+
 def test_join_of_nothing_and_one_of_each(spark):
     assert jaccard.link(empty(spark)).count() == 0
     kept = jaccard.one_of_each(docs(spark)).collect()
