@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperloom.llm.jaccard import one_of_each
-from paperloom.llm.line_chunks import dedup_lines
+from paperloom.llm.line_chunks import RESERVED, dedup_lines
 from paperloom.llm.mixing import mixed_texts
 from paperloom.llm.packing import pack
 from paperloom.llm.quality_rules import keep_good
@@ -29,8 +29,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the runs of lines that stand earlier in the corpus; those left empty go."""
-    cut = dedup_lines(docs)
-    return sized(cut.where("n_removed_lines = 0 OR text <> ''").select(docs.columns))
+    prefix = "__own"
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix += "_"
+    inner = docs.toDF(*[f"{prefix}{i}" if c.lower() in RESERVED else c for i, c in enumerate(docs.columns)])
+    cut = dedup_lines(inner)
+    return sized(cut.where("n_removed_lines = 0 OR text <> ''").select(inner.columns).toDF(*docs.columns))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

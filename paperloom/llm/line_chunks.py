@@ -18,6 +18,8 @@ from paperloom.session import cut_lineage
 #: Lines of the rolling window, its multiplier, and one chunk end in so many lines.
 WINDOW, FACTOR, MEAN_LINES = 2, 31, 3
 FEWEST_LINES = 2
+#: Names of columns that the operator adds, for itself or to its result.
+RESERVED = frozenset(("row", "drop", "of", "n_lines", "n_removed_lines"))
 
 
 def chunks(lines: list[bytes], mean: int = MEAN_LINES) -> list[tuple[int, int]]:
@@ -118,7 +120,7 @@ def dedup_lines(docs: DataFrame, mean: int = MEAN_LINES) -> DataFrame:
     ``doc_id`` and ``text`` are carried along; the names ``row``, ``drop``, ``of`` and those added are reserved
     inside and refused.  An empty table gives an empty table.
     """
-    clash = {"row", "drop", "of", "n_lines", "n_removed_lines"} & set(docs.columns)
+    clash = RESERVED & set(docs.columns)
     if clash:
         raise ValueError(f"rename the columns {sorted(clash)}")
     spark = docs.sparkSession

@@ -62,6 +62,15 @@ def test_stages(spark, tmp_path):
     assert sum(r.length for r in packed) == want
 
 
+def test_clashing_names_pass_line_dedup(spark, tmp_path):
+    names = dict(zip(("size", "words", "key", "label", "n"), ("row", "drop", "OF", "n_lines", "n_removed_lines")))
+    table = docs(spark).withColumnsRenamed(names)
+    out = corpus_pipeline.line_dedup(spark, table, str(tmp_path))
+    assert out.schema == table.schema
+    plain = corpus_pipeline.line_dedup(spark, docs(spark), str(tmp_path))
+    assert sorted(map(str, out.collect())) == sorted(map(str, plain.withColumnsRenamed(names).collect()))
+
+
 def test_empty_table(spark, tmp_path):
     empty(spark).write.parquet(str(tmp_path / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
