@@ -33,7 +33,8 @@ def layout(shards: int, base: int = BASE) -> Node:
     """The tree of a shard count: full racks and regions up to ``base``, then one region a shard.
 
     A shard that joins a rack would raise the weight of its region, and rows drawn into the region
-    would spread over its old shards too.  As a region of its own it takes rows into itself alone.
+    would spread over its old shards too.  As a region of its own it takes rows into itself alone.  This
+    holds from ``base`` shards up only: to grow from fewer, give the starting count as ``base`` to both trees.
     """
     leaves = [Node(f"shard{i}", 1.0, shard=i) for i in range(shards)]
     first, more = leaves[: min(base, shards)], leaves[min(base, shards):]

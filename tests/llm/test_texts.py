@@ -139,6 +139,12 @@ def test_shards_move_only_where_weights_change(spark):
     assert moves and all(b < 8 for _, b in moves)  # only into the region whose weight grew
 
 
+def test_shards_grow_from_a_smaller_base(spark):
+    key = sharding.F.col("id").cast("string")
+    rows = spark.range(2000).select(sharding.place(key, sharding.layout(8, base=8)), sharding.place(key, sharding.layout(9, base=8))).collect()
+    assert {b for a, b in rows if a != b} == {8}
+
+
 @pytest.mark.parametrize("width, num", [(3, 90), (5, 80)])
 def test_join_against_brute_force(spark, width, num):
     rng = np.random.default_rng(width)
