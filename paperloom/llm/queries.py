@@ -6,12 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperloom.llm import sql
+from paperloom.llm.alignment import alignment
 from paperloom.llm.ann import search
 from paperloom.llm.common import table
+from paperloom.llm.decontaminate import contamination
 from paperloom.llm.html_text import main_text
 from paperloom.llm.jaccard import link
 from paperloom.llm.licences import scan
 from paperloom.llm.line_chunks import dedup_lines
+from paperloom.llm.manifest import manifest
 from paperloom.llm.mixing import mix, n_words
 from paperloom.llm.nbsvm import quality
 from paperloom.llm.packing import pack
@@ -60,11 +63,24 @@ def op10_line_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed_lines", "text")
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment(table(spark, sf_dir, "documents"))
+
+
+def op12_benchmark_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items", "n_near")
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest(table(spark, sf_dir, "documents"), tampered=F.crc32(F.col("doc_id").cast("string")) % 7 == 0)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_licence_scan, op2_source_mix, op3_quality_rules, op4_learned_partitions, op5_hash_tree_shards, op6_ngram_jaccard_join,
         op7_html_main_text, op8_best_fit_packing, op9_nb_support_vectors, op10_line_chunk_dedup,
+        op11_token_alignment, op12_benchmark_index, op13_merkle_manifest,
     )
 }
 
@@ -75,4 +91,6 @@ ORACLE_SQL = {
     "op5_hash_tree_shards": sql.SHARDS,
     "op6_ngram_jaccard_join": sql.JACCARD,
     "op10_line_chunk_dedup": sql.LINES,
+    "op12_benchmark_index": sql.DECONTAMINATION,
+    "op13_merkle_manifest": sql.MANIFEST,
 }

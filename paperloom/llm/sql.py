@@ -171,3 +171,69 @@ t AS (
 SELECT doc_id, CAST(coalesce(t.n, 0) AS BIGINT) AS n_lines, CAST(coalesce(t.m, 0) AS BIGINT) AS n_removed_lines, coalesce(t.text, d.text) AS text
 FROM d LEFT JOIN t USING (k)
 """
+
+
+DECONTAMINATION = """
+WITH d AS (
+  SELECT row_number() OVER () AS k, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM documents),
+b AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM benchmark),
+q AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS many, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS x
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM b WHERE len(w) > 0)),
+s AS (SELECT k, many, unnest(range(1, len(w) - many + 2)) AS i FROM d, (SELECT DISTINCT many FROM q) WHERE len(w) >= many),
+o AS (SELECT s.k, s.i, s.many, q.item_id FROM s JOIN d USING (k) JOIN q ON q.many = s.many AND q.x = array_to_string(d.w[s.i:s.i + s.many - 1], ' ')),
+h AS (SELECT k, count(DISTINCT j) AS n FROM (SELECT DISTINCT k, unnest(range(i, i + many)) AS j FROM o) GROUP BY k),
+t AS (SELECT k, count(*) AS n, string_agg(item_id, ',' ORDER BY encode(item_id)) AS ids FROM (SELECT DISTINCT k, item_id FROM o) GROUP BY k)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(h.n, 0) AS BIGINT) AS n_hit, CAST(coalesce(t.n, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(t.ids, '')) AS items_sha256, h.n IS NOT NULL AS contaminated
+FROM d LEFT JOIN h USING (k) LEFT JOIN t USING (k)
+"""
+
+
+def _manifest() -> str:
+    """The same trees level by level: nodes of all levels, siblings by their places, roots folded a level at a time."""
+    fields = lambda n: " || ".join(
+        f"coalesce(strlen(CAST({x} AS VARCHAR)) || ':' || CAST({x} AS VARCHAR), '-')" for x in ("doc_id", "source", "lang", n, "text"))
+    return f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, lang, sha256({fields('n_chars')}) AS leaf, sha256({fields('(n_chars + 1)')}) AS other, n_chars,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+             lambda crc, byte: xor(crc >> 8, ({_crc32()}::BIGINT[])[(xor(crc, byte) & 255) + 1])), 4294967295::BIGINT) AS crc
+  FROM documents),
+p AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS LAST, leaf) - 1 AS i, count(*) OVER (PARTITION BY lang) AS n,
+         dense_rank() OVER (ORDER BY lang IS NOT NULL, encode(lang)) - 1 AS g FROM d),
+nodes AS (
+  SELECT g, 0 AS level, i, n, leaf AS h FROM p
+  UNION ALL
+  SELECT g, level + 1, i // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY i)) FROM nodes WHERE n > 1 GROUP BY g, level, i // 2, n),
+tops AS (SELECT g, level AS height, h FROM nodes WHERE n = 1),
+upper AS (
+  SELECT 0 AS level, g AS i, (SELECT count(*) FROM tops) AS n, h FROM tops
+  UNION ALL
+  SELECT level + 1, i // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY i)) FROM upper WHERE n > 1 GROUP BY level, i // 2, n),
+root AS (SELECT level AS height, h FROM upper WHERE n = 1),
+steps AS (
+  SELECT p.g, p.i, nodes.level AS step, nodes.i < (p.i >> nodes.level) AS before, nodes.h
+  FROM p JOIN tops USING (g) JOIN nodes ON nodes.g = p.g AND nodes.level < tops.height AND nodes.i = xor(p.i >> nodes.level, 1)
+  UNION ALL
+  SELECT p.g, p.i, tops.height + upper.level, upper.i < (p.g >> upper.level), upper.h
+  FROM p JOIN tops USING (g) JOIN upper ON upper.level < (SELECT height FROM root) AND upper.i = xor(p.g >> upper.level, 1)),
+proofs AS (SELECT g, i, string_agg(h, '' ORDER BY step) AS proof FROM steps GROUP BY g, i),
+folds AS (
+  SELECT g, i, 0 AS step, height + (SELECT height FROM root) AS last, CASE WHEN crc % 7 = 0 AND n_chars IS NOT NULL THEN other ELSE leaf END AS h
+  FROM p JOIN tops USING (g)
+  UNION ALL
+  SELECT f.g, f.i, f.step + 1, f.last, sha256(CASE WHEN s.h IS NULL THEN f.h WHEN s.before THEN s.h || f.h ELSE f.h || s.h END)
+  FROM folds f LEFT JOIN steps s ON s.g = f.g AND s.i = f.i AND s.step = f.step WHERE f.step < f.last)
+SELECT p.doc_id, p.leaf, tops.h AS subroot, root.h AS root, sha256(coalesce(proofs.proof, '')) AS proof_sha256, folds.h AS folded_root, folds.h = root.h AS verified
+FROM p JOIN tops USING (g) CROSS JOIN root LEFT JOIN proofs ON proofs.g = p.g AND proofs.i = p.i JOIN folds ON folds.g = p.g AND folds.i = p.i AND folds.step = folds.last
+"""
+
+
+MANIFEST = _manifest()
