@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paperloom.llm.common import slices
-from paperloom.llm.packing import default_tokenizer, load
+from paperloom.llm.packing import Spare, default_tokenizer, load
 from paperloom.session import cut_lineage
 
 #: Products of entries that are held at once; bytes of text that a batch aligns together.
@@ -96,8 +96,7 @@ class Pair:
         import sentencepiece
 
         self.plain = load(a_path or default_tokenizer())
-        self.slow_path = public_tokenizers.path("byte_bpe_50k.json")
-        self.slow = None
+        self.spare = Spare(specials_as_text=True) if a_path is None else None
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path or public_tokenizers.path("piece_bpe_32k.model"))
         with open(a_path or default_tokenizer(), "rb") as lines:
             ranks = {int(r): base64.b64decode(t) for t, r in map(bytes.split, lines)}
@@ -115,13 +114,10 @@ class Pair:
         """Ids by the byte-level vocabulary, its special tokens' strings as plain text."""
         try:
             return self.plain.encode(text, disallowed_special=())
-        except ValueError:  # the fast library gives up on a million blanks
-            if self.slow is None:
-                from tokenizers import Tokenizer
-
-                self.slow = Tokenizer.from_file(self.slow_path)
-                self.slow.encode_special_tokens = True
-            return self.slow.encode(text, add_special_tokens=False).ids
+        except ValueError:
+            if self.spare is None:
+                raise
+            return self.spare(text)
 
     def tokens(self, texts: list[str | None]) -> list[tuple[list[int], list[int]]]:
         """Ids of both for each text; none, if the bytes of either aren't those of the text after a space."""
@@ -221,7 +217,7 @@ def _links(a_path: str | None, b_path: str | None):
             *[(n, pa.int64()) for n in ("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_shared")], ("groups_sha256", pa.string()),
             ("pairs", pa.binary()), ("times", pa.binary()), ("pair", pa.int64()), ("docs", pa.int64())])
         held: list[tuple[np.ndarray, np.ndarray]] = []
-        for batch in slices(batches, "text", BATCH_BYTES):
+        for batch in slices(batches, "text", most=BATCH_BYTES):
             tokens = pair.tokens(batch.column("text").to_pylist())
             n, x = len(tokens), align(pair, tokens)
             links, every = np.zeros(n, np.int64), len(pair.a_bytes) * len(pair.b_bytes)

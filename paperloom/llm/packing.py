@@ -40,9 +40,35 @@ def load(path: str, pattern: str | None = None):
     return tiktoken.Encoding("packing", pat_str=pattern or public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={} if set(ADDED.values()) & set(ranks.values()) else ADDED)
 
 
-def encoder(encoding):
-    """The ids of a text, added tokens found inside it."""
-    return partial(encoding.encode, allowed_special=encoding.special_tokens_set, disallowed_special=())
+class Spare:
+    """The JSON file's library, loaded when the fast one gives up, as it does on a million blanks."""
+
+    def __init__(self, specials_as_text: bool = False) -> None:
+        self.specials_as_text, self.tokenizer = specials_as_text, None
+
+    def __call__(self, text: str) -> list[int]:
+        if self.tokenizer is None:
+            import public_tokenizers
+            from tokenizers import Tokenizer
+
+            self.tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+            self.tokenizer.encode_special_tokens = self.specials_as_text
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def encoder(encoding, spare: Spare | None = None):
+    """The ids of a text, added tokens found inside it; ``spare`` encodes what ``encoding`` can't."""
+    fast = partial(encoding.encode, allowed_special=encoding.special_tokens_set, disallowed_special=())
+
+    def ids(text: str) -> list[int]:
+        try:
+            return fast(text)
+        except ValueError:
+            if spare is None:
+                raise
+            return spare(text)
+
+    return ids
 
 
 def cut(n: int, length: int) -> list[tuple[int, int]]:
@@ -53,7 +79,7 @@ def cut(n: int, length: int) -> list[tuple[int, int]]:
 
 def _tokens(path: str | None, length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(load(path or default_tokenizer()))
+        encode = encoder(load(path or default_tokenizer()), Spare() if path is None else None)
         names = [c.split()[0] for c in PIECES.split(", ")]
         kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
         for batch in slices(batches, "text"):

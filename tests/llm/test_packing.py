@@ -88,5 +88,13 @@ def test_pieces_of_texts_with_marks(spark):
     assert sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows) == want
 
 
+def test_long_white_space(spark):
+    text = "a" + " " * 1_000_000 + "b<|endoftext|>"
+    ids = np.array([*AS_LOADED.encode(text, add_special_tokens=False).ids, 0], "<u4")
+    rows = packing.pack(docs(spark, [(1, text, "a")])).collect()
+    assert sorted((r.piece, r.start, r.length, r.ids_crc32) for r in rows) == [
+        (k, s, n, zlib.crc32(ids[s:s + n])) for k, (s, n) in enumerate(packing.cut(len(ids), 2048))]
+
+
 TOKENIZER = reference()
 AS_LOADED = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
