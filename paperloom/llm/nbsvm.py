@@ -117,13 +117,12 @@ def sigmoid_fit(margin: np.ndarray, label: np.ndarray, steps: int = 50) -> tuple
     return float(a), float(b)
 
 
-def train(texts: list[bytes], labels: np.ndarray, ratio: np.ndarray, trust: float = TRUST) -> tuple[np.ndarray, float, float, float]:
+def train(features: list[np.ndarray], labels: np.ndarray, ratio: np.ndarray, trust: float = TRUST) -> tuple[np.ndarray, float, float, float]:
     """Weight of each feature before scaling, bias, and the sigmoid of the margin.
 
     The sigmoid is fitted on every fifth row, with weights fitted on the others.
     """
-    grams = Grams()
-    rows = [(at, scaled(at, ratio)) for at in map(grams, texts)]
+    rows = [(at, scaled(at, ratio)) for at in features]
     sign = np.where(labels > 0, 1.0, -1.0)
 
     def fitted(use: np.ndarray) -> np.ndarray:
@@ -145,11 +144,21 @@ def train(texts: list[bytes], labels: np.ndarray, ratio: np.ndarray, trust: floa
     return w[:-1], float(w[-1]), a, b
 
 
+def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Features in place of texts, so that what the one task of the fit reads is bounded."""
+    grams = Grams()
+    for batch in slices(batches, "text"):
+        found = [np.asarray(grams(t), np.int32).tobytes() for t in byte_texts(batch.column("text"))]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "label", "chance", "other")), pa.array(found, pa.binary())], names=["doc_id", "label", "chance", "other", "at"])
+
+
 def _train(counts):
     def run(table: pa.Table) -> pa.Table:
         ratio = log_ratios(counts.value)
+        table = table.sort_by([("chance", "ascending"), ("doc_id", "ascending"), ("other", "ascending")])
         labels = table.column("label").to_numpy().astype(np.int64)
-        weights, bias, a, b = train(byte_texts(table.column("text").combine_chunks()), labels, ratio)
+        features = [np.frombuffer(x, np.int32).astype(np.int64) for x in table.column("at").to_pylist()]
+        weights, bias, a, b = train(features, labels, ratio)
         model = (ratio.astype(np.float32), (weights * ratio).astype(np.float32), bias, a, b)
         return pa.table({"model": pa.array([zlib.compress(pickle.dumps(model), 1)], pa.binary())})
 
@@ -186,8 +195,12 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple | Non
         return None
     seen = context.broadcast(np.concatenate([parts[c].reshape(2, -1) for c in range(CHUNKS)], axis=1))
     chance = F.xxhash64("doc_id")
-    drawn = F.broadcast(known.orderBy(chance, "doc_id").limit(sample))  # ``sample`` rows at most
-    rows = texts.join(drawn, "doc_id").orderBy(chance, "doc_id", F.xxhash64("text")).limit(sample)
+    # drawn among the labels that have a document
+    held = known.join(texts.select("doc_id"), "doc_id", "left_semi")
+    drawn = F.broadcast(held.orderBy(chance, "doc_id").limit(sample))  # ``sample`` rows at most
+    rows = texts.join(drawn, "doc_id").select("doc_id", "label", chance.alias("chance"), F.xxhash64("text").alias("other"), "text")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    rows = rows.mapInArrow(_features, f"doc_id {kind}, label int, chance bigint, other bigint, at binary").orderBy("chance", "doc_id", "other").limit(sample)
     model = rows.withColumn("all", F.lit("sample")).groupBy("all").applyInArrow(_train(seen), "model binary").first()
     return pickle.loads(zlib.decompress(bytes(model["model"])))
 
