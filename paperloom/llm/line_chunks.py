@@ -18,8 +18,9 @@ from paperloom.session import cut_lineage
 #: Lines of the rolling window, its multiplier, and one chunk end in so many lines.
 WINDOW, FACTOR, MEAN_LINES = 2, 31, 3
 FEWEST_LINES = 2
-#: Names of columns that the operator adds, for itself or to its result.
-RESERVED = frozenset(("row", "drop", "of", "n_lines", "n_removed_lines"))
+#: Names of columns that the operator adds, for itself or to its result, in lower case.
+ADDED = ("n_lines", "n_removed_lines")
+RESERVED = frozenset(("row", "drop", "of", *ADDED))
 
 
 def chunks(lines: list[bytes], mean: int = MEAN_LINES) -> list[tuple[int, int]]:
@@ -117,12 +118,20 @@ def dedup_lines(docs: DataFrame, mean: int = MEAN_LINES) -> DataFrame:
     first one, by ``doc_id`` (null last) and place, and goes from the others, be they in the same text.
     Null texts stay null, an empty text has no lines, a text can end up empty.  Rows that repeat both
     ``doc_id`` and text are one document and all keep what it keeps.  Columns of ``docs`` beside
-    ``doc_id`` and ``text`` are carried along; the names ``row``, ``drop``, ``of`` and those added are reserved
-    inside and refused.  An empty table gives an empty table.
+    ``doc_id`` and ``text`` are carried along under their names, but for own ``n_lines`` and ``n_removed_lines``, whatever
+    their case, which give way to those added.  An empty table gives an empty table.
     """
-    clash = RESERVED & set(docs.columns)
-    if clash:
-        raise ValueError(f"rename the columns {sorted(clash)}")
+    prefix = "__own"
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix += "_"
+    inner = [f"{prefix}{i}" if c.lower() in RESERVED else c for i, c in enumerate(docs.columns)]
+    cut = _dedup_lines(docs.toDF(*inner), mean)
+    kept = [F.col(i).alias(c) for i, c in zip(inner, docs.columns) if c.lower() not in ADDED]
+    return cut.select(*kept, *ADDED)
+
+
+def _dedup_lines(docs: DataFrame, mean: int) -> DataFrame:
+    """The operator over tables without reserved names."""
     spark = docs.sparkSession
     keyed = docs.withColumn("row", F.xxhash64("doc_id", "text"))
     texts = keyed.select("row", F.col("doc_id").cast("bigint").alias("doc_id"), "text")
