@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,9 +53,60 @@ def write_queue(cases: DataFrame, documents: DataFrame, root: str, batch: str) -
         rows.write.mode("overwrite").parquet(f"{root}/{part}/batch={batch}")
 
 
+def _folders(spark: SparkSession, root: str) -> list[str]:
+    """Names of a table's batches and compacted tables, those alone whose write has ended."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(path) if status.isDirectory()]
+    return sorted(n for n in names if files.exists(jvm.org.apache.hadoop.fs.Path(f"{root}/{n}/_SUCCESS")))
+
+
+def _layout(spark: SparkSession, root: str) -> tuple[str | None, list[str]]:
+    """The newest compacted table that both parts have, and the batches after it."""
+    found = [set(_folders(spark, f"{root}/{part}")) for part in QUEUE_PARTS]
+    whole = sorted(found[0] & found[1])
+    compacted = [n.removeprefix("compacted=") for n in whole if n.startswith("compacted=")]
+    base = max(compacted, default=None)
+    return base, [n.removeprefix("batch=") for n in whole if n.startswith("batch=") and (base is None or n.removeprefix("batch=") > base)]
+
+
+def _part(spark: SparkSession, root: str, part: str, base: str | None, batches: list[str]) -> DataFrame | None:
+    tables = [] if base is None else [spark.read.parquet(f"{root}/{part}/compacted={base}")]
+    if batches:
+        named = spark.read.option("basePath", f"{root}/{part}").parquet(*[f"{root}/{part}/batch={b}" for b in batches])
+        tables.append(named.withColumn("batch", F.lpad(F.col("batch").cast("string"), len(batches[-1]), "0")))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables) if tables else None
+
+
 def read_queue(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
-    """(cases, documents) with the newest batch of each case only."""
-    return newest_batch(*(spark.read.parquet(f"{root}/{part}") for part in QUEUE_PARTS))
+    """(cases, documents) with the newest batch of each case only: the compacted table merged with later batches."""
+    base, batches = _layout(spark, root)
+    return newest_batch(*(_part(spark, root, part, base, batches) for part in QUEUE_PARTS))
+
+
+def compact_queue(spark: SparkSession, root: str) -> str | None:
+    """Write the newest batch of each case as one table and delete the batches that it replaces.
+
+    Both parts are written before anything goes, and readers take a compacted table only once both are
+    whole, so a run that is lost half-way leaves the queue as it was and can be repeated.  Batches that
+    come meanwhile have later names and stay.  Gives the name of the last batch inside, None for no batch.
+    """
+    base, batches = _layout(spark, root)
+    if not batches:
+        return base
+    last = batches[-1]
+    for part, rows in zip(QUEUE_PARTS, read_queue(spark, root)):
+        rows.write.mode("overwrite").parquet(f"{root}/{part}/compacted={last}")
+    jvm = spark._jvm
+    for part in QUEUE_PARTS:
+        gone = [f"batch={b}" for b in batches] + ([] if base is None else [f"compacted={base}"])
+        for name in gone:
+            path = jvm.org.apache.hadoop.fs.Path(f"{root}/{part}/{name}")
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return last
 
 
 def newest_batch(cases: DataFrame, documents: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from paperloom import constants as K
 from paperloom.operators import review as R
 from paperloom.streaming.intake import review_stream, start_queue
-from paperloom.sources.writers import read_queue
+from paperloom.sources.writers import read_queue, write_queue
 from workload.q_review import _events
 from workload.views import table
 
@@ -102,3 +102,89 @@ def test_a_review_run_takes_marks_from_the_raster_side(spark):
     codes = {name: {f.code for f in r.findings} for name, r in rows.items()}
     assert codes["dark"] < codes["white"] == codes["none"]  # absent and unknown marks reject alike
     assert extract_documents(pages).filter("quality_checks.seal_present IS NOT NULL").count() == 0
+
+
+def plain_rounds(batches, wait, kinds):
+    """Rows of ``review_rounds`` by hand: (case, start, reason, papers counted, late ones), for all rounds that end."""
+    out, cases = [], {}
+
+    def ended(case, r):
+        if not r["done"]:
+            out.append((case, r["start"], "time_up", r["count"], r["late"]))
+        elif r["late"]:
+            out.append((case, r["start"], "late", r["count"], r["late"]))
+
+    for papers in batches:
+        for case, ts, position, kind in sorted(papers, key=lambda p: p[1:3]):
+            r = cases.get(case)
+            if r and ts >= r["start"] + wait:
+                ended(case, r)
+                r = None
+            if r is None:
+                r = cases[case] = {"start": ts, "done": False, "kinds": set(), "count": 0, "late": 0}
+            if r["done"] or ts < r["start"]:
+                r["late"] += 1
+                continue
+            r["kinds"].add(kind)
+            r["count"] += 1
+            if r["kinds"] == kinds:
+                r["done"] = True
+                out.append((case, r["start"], "complete", r["count"], r["late"]))
+    return sorted(out + [x for case, r in cases.items() for x in [(case, r["start"], "time_up", r["count"], r["late"])] if not r["done"]]
+                  + [(case, r["start"], "late", r["count"], r["late"]) for case, r in cases.items() if r["done"] and r["late"]])
+
+
+def test_rounds_of_papers_out_of_order(spark, tmp_path):
+    """Three batches with papers that come a batch late, a completed round with late papers, and a queue that is compacted twice."""
+    import datetime
+
+    from paperloom.sources.writers import QUEUE_PARTS, compact_queue
+    from paperloom.streaming.rounds import review_rounds, start_rounds
+
+    day = lambda d, h=0: datetime.datetime(2024, 1, d, h, tzinfo=datetime.timezone.utc)
+    r, w, a = K.RESIDENCY, K.WITHHOLDING, K.APOSTILLE
+    batches = [
+        [("full", day(1), 1, r), ("full", day(1, 3), 3, a), ("open", day(1), 1, r), ("odd", day(2), 2, r), ("twice", day(1), 1, r), ("twice", day(1, 1), 2, w), ("twice", day(1, 2), 3, a)],
+        [("full", day(1, 2), 2, w), ("full", day(2, 4), 4, w), ("odd", day(1, 22), 1, a), ("odd", day(2, 5), 3, w), ("twice", day(2), 4, a), ("twice", day(2, 1), 5, a)],
+        [("full", day(3), 5, r), ("odd", day(3), 4, a), ("twice", day(7), 6, r)],
+    ]
+    yes = dict.fromkeys(("has_certification_text", "has_apostille_heading", "seal_present", "signature_present", "all_no_boxes_checked"), True)
+    checks = ", ".join(f"{c}: boolean" for c in (*yes, "blurry", "low_ocr_confidence"))
+    schema = f"case_id string, ts timestamp, position bigint, document_type string, fields map<string,string>, quality_checks struct<{checks}>"
+    closing = [("end", day(30), 1, r)]
+    for k, papers in enumerate([*batches, closing]):
+        rows = [(c, t, p, kind, {"tin": f"{c}-{p}"}, {**yes, "blurry": False, "low_ocr_confidence": False}) for c, t, p, kind in papers]
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / f"in/slice={k}"))
+    queue = str(tmp_path / "queue")
+
+    def reviewed():
+        return review_rounds(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in/slice=*")), datetime.timedelta(days=5))
+
+    sink = reviewed().writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c1")).trigger(availableNow=True)
+    sink.start(str(tmp_path / "out")).awaitTermination()
+    out = spark.read.parquet(str(tmp_path / "out")).collect()
+    got = sorted((x.case_id, x.start.astimezone(datetime.timezone.utc), x.reason_of_review, x.document_count, x.late_count) for x in out if x.case_id != "end")
+    assert got == plain_rounds(batches, datetime.timedelta(days=5), {r, w, a})
+    assert {x[2] for x in got} == {"complete", "time_up", "late"}
+    full = next(x for x in out if x.case_id == "full" and x.reason_of_review == "complete")
+    assert {(p.document_type, p.position, p.fields["tin"]) for p in full.papers} == {(r, 1, "full-1"), (w, 2, "full-2"), (a, 3, "full-3")}
+
+    # the same stream into the queue; compaction keeps what readers see, and can be repeated
+    start_rounds(reviewed(), queue, str(tmp_path / "c2")).awaitTermination()
+    seen = lambda: tuple(sorted(map(str, x.select(sorted(x.columns)).collect())) for x in read_queue(spark, queue))
+    before = seen()
+    assert len(before[0]) == len({x[0] for x in got}) and len(before[1]) >= 7
+    last = compact_queue(spark, queue)
+    assert seen() == before and compact_queue(spark, queue) == last and seen() == before
+    import os
+
+    assert all(os.listdir(f"{queue}/{part}") == [f"compacted={last}"] for part in QUEUE_PARTS)
+    # a later batch replaces a compacted case; a half-written compaction is not read
+    cases, papers = read_queue(spark, queue)
+    new = [x.where("case_id = 'full'").drop("batch") for x in (cases, papers)]
+    write_queue(new[0].withColumn("status", F.lit("pass")), new[1], queue, "000000000099")
+    os.makedirs(f"{queue}/cases/compacted=000000000099")
+    again = {x.case_id: (x.status, x.batch) for x in read_queue(spark, queue)[0].collect()}
+    assert again["full"] == ("pass", "000000000099") and len(again) == len(before[0])
+    assert compact_queue(spark, queue) == "000000000099"
+    assert {x.case_id: x.status for x in read_queue(spark, queue)[0].collect()} == {c: s for c, (s, _) in again.items()}

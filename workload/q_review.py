@@ -1,11 +1,16 @@
 """Review rules, cross-check, status, gate, whole review run and the streaming intake."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from paperloom import constants as K
 from paperloom.operators import review as R
 from paperloom.plans.review_run import run_review
+from paperloom.session import shared_folder
+from paperloom.sources.writers import compact_queue, read_queue
 from paperloom.streaming.intake import review_stream
+from paperloom.streaming.rounds import review_rounds, start_rounds
 from workload import views as V
 from workload.query import Query
 
@@ -179,6 +184,59 @@ def _events(events):
     )
 
 
+def _rounds(spark, folder, slices=5):
+    """The stored events as a stream: files of ``slices`` stretches of time, one micro-batch each."""
+    events = V.table(spark, folder, "events")
+    root = f"{shared_folder(spark)}/paperloom-stream-{uuid.uuid4().hex}"
+    low, high = events.agg(F.min(F.unix_timestamp("ts")), F.max(F.unix_timestamp("ts"))).first()
+    width = ((high or 0) - (low or 0)) // slices + 1
+    for k in range(slices):  # written one after another: the stream takes files in the order of their times
+        part = events.where(F.floor((F.unix_timestamp("ts") - (low or 0)) / width) == k)
+        part.coalesce(1).write.parquet(f"{root}/in/slice={k}")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in/slice=*")
+    return review_rounds(_events(stream)), root
+
+
+def review_rounds_of_events(spark, folder):
+    """A run of the stream to its end: reviews on completion or when time is up, and counts of late papers."""
+    reviewed, root = _rounds(spark, folder)
+    columns = ["case_id", "start", "reason_of_review", "document_count", "late_count", "status", "blurry", "matched", F.size("findings").cast("bigint").alias("finding_count")]
+    sink = reviewed.select(*columns).writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{root}/checkpoint")
+    sink.trigger(availableNow=True).start(f"{root}/out").awaitTermination()
+    rows = spark.read.parquet(f"{root}/out")
+    return rows.withColumn("start", F.date_format("start", "yyyy-MM-dd HH:mm:ss"))
+
+
+def stored_queue(spark, folder):
+    """Papers in the queue that the stream has stored, after compaction: those of each case's last review."""
+    reviewed, root = _rounds(spark, folder)
+    start_rounds(reviewed, f"{root}/queue", f"{root}/checkpoint").awaitTermination()
+    compact_queue(spark, f"{root}/queue")
+    cases, documents = read_queue(spark, f"{root}/queue")
+    tin = F.try_element_at("fields", F.lit("tin")).alias("tin")
+    papers = documents.select("case_id", "document_type", "position", F.size("findings").cast("bigint").alias("finding_count"), tin)
+    return papers.join(cases.select("case_id", "reason_of_review", "document_count", "late_count"), "case_id")
+
+
+ROUNDS_SQL = """WITH RECURSIVE p AS (SELECT user_id::VARCHAR AS case_id, ts, event_id, event_type, CASE event_type WHEN 'error' THEN 'r' WHEN 'purchase' THEN 'w' ELSE 'a' END AS kind FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL),
+r AS (SELECT case_id, min(ts) AS start FROM p GROUP BY ALL UNION ALL SELECT r.case_id, min(p.ts) FROM r JOIN p ON p.case_id = r.case_id AND p.ts >= r.start + INTERVAL 5 DAY GROUP BY r.case_id, r.start),
+m AS (SELECT p.*, r.start FROM p ASOF JOIN r ON p.case_id = r.case_id AND p.ts >= r.start),
+f AS (SELECT case_id, start, kind, min((ts, event_id)) AS first FROM m GROUP BY ALL),
+k AS (SELECT case_id, start, CASE WHEN count(*) = 3 THEN max(first) END AS done FROM f GROUP BY ALL),
+n AS (SELECT m.*, k.done, k.done IS NULL OR (ts, event_id) <= k.done AS counted FROM m JOIN k USING (case_id, start)),
+c AS (SELECT case_id, start, any_value(done) IS NOT NULL AS done, count(*) FILTER (counted) AS document_count, count(*) FILTER (NOT counted) AS late,
+  coalesce(bool_or(event_type = 'view') FILTER (counted), FALSE) AS blurry, count(*) FILTER (counted AND kind = 'r') > 0 AS r, count(*) FILTER (counted AND kind = 'w') > 0 AS w,
+  count(*) FILTER (counted AND kind = 'a') > 0 AS a, arg_max(event_type, (ts, event_id)) FILTER (counted AND kind = 'a') AS last_a,
+  arg_max(event_id, (ts, event_id)) FILTER (counted AND kind = 'r') AS at_r, arg_max(event_id, (ts, event_id)) FILTER (counted AND kind = 'w') AS at_w, arg_max(event_id, (ts, event_id)) FILTER (counted AND kind = 'a') AS at_a FROM n GROUP BY ALL),
+l AS (SELECT *, lead(start) OVER (PARTITION BY case_id ORDER BY start) IS NOT NULL OR start + INTERVAL 5 DAY <= (SELECT max(ts) - INTERVAL 1 DAY FROM p) AS closed FROM c),
+q AS (SELECT *, CASE WHEN r THEN 8 ELSE 0 END AS n_r, CASE WHEN w THEN 7 ELSE 0 END AS n_w, CASE WHEN a THEN CASE WHEN last_a = 'view' THEN 9 ELSE 12 END ELSE 0 END AS n_a FROM l),
+e AS (SELECT *, 'complete' AS reason_of_review, 0::BIGINT AS late_count FROM q WHERE done UNION ALL SELECT *, 'time_up', 0 FROM q WHERE NOT done AND closed UNION ALL SELECT *, 'late', late FROM q WHERE done AND closed AND late > 0)
+"""
+ROUNDS_ROWS = ROUNDS_SQL + """SELECT case_id, strftime(start, '%Y-%m-%d %H:%M:%S') AS start, reason_of_review, document_count, late_count, 'reject' AS status, blurry, r AND w AS matched, (n_r + n_w + n_a)::BIGINT AS finding_count FROM e"""
+ROUNDS_QUEUE = ROUNDS_SQL + """, z AS (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY case_id ORDER BY start DESC, reason_of_review = 'late' DESC) = 1)
+SELECT case_id, document_type, position, finding_count::BIGINT AS finding_count, '123-45-' || lpad(right(case_id, 4), 4, '0') AS tin, reason_of_review, document_count, late_count FROM (
+  SELECT *, '{r}' AS document_type, at_r AS position, n_r AS finding_count FROM z WHERE r UNION ALL SELECT *, '{w}', at_w, n_w FROM z WHERE w UNION ALL SELECT *, '{a}', at_a, n_a FROM z WHERE a)""".replace("{r}", K.RESIDENCY).replace("{w}", K.WITHHOLDING).replace("{a}", K.APOSTILLE)
+
 STREAM_SQL = """WITH e AS (SELECT user_id::VARCHAR AS case_id, ts, event_id, event_type, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) < INTERVAL 2 DAY THEN 0 ELSE 1 END AS fresh FROM events),
 s AS (SELECT *, sum(fresh) OVER (PARTITION BY case_id ORDER BY ts, event_id) AS sid FROM e),
 kinded AS (SELECT *, CASE event_type WHEN 'error' THEN 'r' WHEN 'purchase' THEN 'w' ELSE 'a' END AS kind FROM s),
@@ -202,4 +260,6 @@ QUERIES = [
     Query("R7_reviewed_cases", reviewed_cases, _review(f"SELECT {_CASE_COLUMNS} FROM cases")),
     Query("R8_review_run", review_run),
     Query("W1_streaming_intake", streaming_intake, STREAM_SQL),
+    Query("W1_review_rounds", review_rounds_of_events, ROUNDS_ROWS),
+    Query("K4_stored_queue", stored_queue, ROUNDS_QUEUE),
 ]
