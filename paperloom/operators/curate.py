@@ -12,6 +12,8 @@ from paperloom.operators.templates import pixel_box, region_rules, template_of
 from paperloom.session import broadcast_if_small, cut_lineage, with_index
 
 HARD, BASE = "hard_case", "base"
+#: Crops of a bucket in which a selection ranks rows, as a power of two.
+CHUNK_BITS = 12
 READABLE_TEMPLATES = tuple(dict.fromkeys(r[0] for r in K.TEMPLATE_REGIONS if r[1] == "ocr"))
 
 
@@ -317,7 +319,8 @@ def select_hard_cases(hard: DataFrame, quota: DataFrame) -> DataFrame:
     variant m places after its own.  Up to as many seats as crops this picks the least used crop for
     every seat; beyond, a crop may differ from that where crops lack variants.
 
-    Counts of variants decide before rows are ranked; ranks within a variant are distributed.
+    Counts of variants decide before rows are placed; counts of places tell which rows a variant gives, and
+    only the crops of the ``2 ** CHUNK_BITS`` about the cut are ranked.
     """
     kind = F.coalesce(nonempty(F.col("document_type")), F.lit(K.UNKNOWN))
     base = F.coalesce(
@@ -332,12 +335,27 @@ def select_hard_cases(hard: DataFrame, quota: DataFrame) -> DataFrame:
     crop = ["__group", "__kind", "__base"]
     bases = with_index(open_.select(*crop).distinct(), crop[:2], ["__base"], "__crop", few_groups=False)
     within = Window.partitionBy(*crop, "__variant").orderBy("field_name", "crop_path")
-    entries = open_.withColumn("__entry", F.row_number().over(within)).join(bases, crop)
+    # dealt by crop once: entries are numbered and crops joined where they are
+    entries = open_.repartition(*crop).withColumn("__entry", F.row_number().over(within)).join(bases, crop)
     level = F.pmod(F.col("__number") - F.col("__crop"), F.col("__variants"))
-    ranked = with_index(
-        entries.withColumn("__level", level), ["__group", "__kind", "__variant"], ["__entry", "__level", "__crop"], "__place", few_groups=False
-    )
-    return ranked.filter(F.col("__place") < F.col("__take")).select(*hard.columns)
+    side = ["__group", "__kind", "__variant"]
+    placed = cut_lineage(entries.withColumns({"__level": level, "__chunk": F.shiftright("__crop", CHUNK_BITS)}))
+    return _first_of_each(placed, side, ["__entry", "__level", "__chunk"], "__crop", "__take").select(*hard.columns)
+
+
+def _first_of_each(rows: DataFrame, side: list[str], digits: list[str], last: str, take: str) -> DataFrame:
+    """The first ``take`` rows of each ``side`` in the order of ``digits`` and ``last``, without sorting a side.
+
+    Counts of the digits tell in which bucket the cut falls: rows of the buckets before it are taken
+    whole, and only those of the bucket itself are ranked.  ``rows`` is a written table.
+    """
+    counts = rows.groupBy(*side, *digits, take).agg(F.count(F.lit(1)).alias("__rows"))
+    before = F.coalesce(F.sum("__rows").over(Window.partitionBy(*side).orderBy(*digits).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    cuts = cut_lineage(counts.withColumn("__room", F.col(take) - before).where("__room > 0").select(*side, *digits, "__rows", "__room"))
+    found = rows.join(broadcast_if_small(cuts), [*side, *digits])
+    bucket = Window.partitionBy(*side, *digits).orderBy(last)
+    ranked = found.where("__rows > __room").withColumn("__rank", F.row_number().over(bucket)).where("__rank <= __room").drop("__rank")
+    return found.where("__rows <= __room").unionByName(ranked)
 
 
 def _variant_shares(keyed: DataFrame, quota: DataFrame) -> DataFrame:
