@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paperloom.llm.common import slices
+from paperloom.llm.common import slices, small_batches
 from paperloom.llm.packing import Spare, default_tokenizer, load
 from paperloom.session import cut_lineage
 
@@ -300,6 +300,7 @@ def alignment(docs: DataFrame, a_path: str | None = None, b_path: str | None = N
     A id.  Null and empty texts, and texts that a tokenizer doesn't give back, have no tokens.  Rows
     repeated count as often as they come; other columns don't matter; an empty table gives no rows.
     """
+    small_batches(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     written = cut_lineage(texts.mapInArrow(_links(a_path, b_path), LINKS))
     rows = written.where("pair IS NULL").drop("pair", "docs")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
+from contextlib import suppress
 
 import numpy as np
 import pyarrow as pa
@@ -14,10 +16,23 @@ from paperloom.session import cut_lineage
 
 #: Rows of a rank bucket that one window is meant to sort.
 BUCKET_ROWS = 20_000
+#: Rows of an Arrow batch of texts.
+BATCH_ROWS = 1000
 #: Bits of a membership table.
 MEMBER_BITS = 1 << 23
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most ``BATCH_ROWS`` rows from here on in this session, unless it asks for fewer.
+
+    Spark's 10,000 documents a batch stand in the memory of the JVM and of a worker at once, for every
+    task and Python step.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key, "0")) <= BATCH_ROWS:
+        spark.conf.set(key, BATCH_ROWS)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -27,10 +42,18 @@ def byte_texts(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.large_binary()).to_pylist()]
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
-    """Cut Arrow batches so that a slice holds about ``most`` bytes of text, or one longer text."""
+def give_back() -> None:
+    """Return freed memory to the system: a worker lives on from stage to stage, beside others of its executor."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def slices(batches: Iterator[pa.RecordBatch], *columns: str, most: int = 1_000_000) -> Iterator[pa.RecordBatch]:
+    """Cut Arrow batches so that a slice holds about ``most`` bytes in ``columns``, or one longer row."""
     for batch in batches:
-        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        lengths = [pc.fill_null(pc.binary_length(batch.column(c)), 0).to_numpy(zero_copy_only=False) for c in columns]
+        sizes = np.sum(lengths, axis=0, dtype=np.int64)
         start, held = 0, 0
         for i, size in enumerate(sizes):
             if held and held + size > most:
@@ -39,6 +62,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 4_000_000
             held += size
         if start < batch.num_rows:
             yield batch.slice(start)
+        give_back()
 
 
 def buckets_for(rows: int) -> int:

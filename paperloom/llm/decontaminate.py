@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paperloom.llm.common import MEMBER_BITS, byte_texts, membership, slices
+from paperloom.llm.common import MEMBER_BITS, byte_texts, membership, slices, small_batches
 from paperloom.llm.jaccard import mixed
 from paperloom.llm.line_chunks import _split
 from paperloom.session import broadcast_if_small, cut_lineage, with_index
@@ -245,6 +245,7 @@ def contamination(
     ``item_id`` are one item, those without are one named by the empty text; rows repeated get equal
     results; other columns don't matter; empty tables give no rows, or rows without hits.
     """
+    small_batches(docs.sparkSession)
     spark = docs.sparkSession
     own = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").where("text IS NOT NULL").distinct()
     items = cut_lineage(with_index(own, [], ["item_id", "text"], "item"))

@@ -23,13 +23,17 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paperloom.llm.common import MEMBER_BITS, byte_texts, components, membership, slices
+from paperloom.llm.common import MEMBER_BITS, byte_texts, components, membership, slices, small_batches
 from paperloom.session import cut_lineage, discard
 
-#: Slots of the count table, in chunks; bits of a bitmap.
-SLOTS, CHUNKS, BITS = 1 << 22, 64, 1024
-#: Rows of a tile block; blocks of a larger tile are compared pair by pair.  Rows of a group of blocks.
-BLOCK, GROUP = 2048, 20_000
+#: Slots of the count table, in chunks; bits of a bitmap, and of the longest one.
+SLOTS, CHUNKS, BITS, MOST_BITS = 1 << 22, 64, 1024, 1 << 15
+#: Rows of a tile block; blocks of a larger tile are compared pair by pair.
+BLOCK = 2048
+#: Rows and pairs of a group of blocks, on average; passing pairs that are held before doubles are dropped.
+GROUP, GROUP_PAIRS, HELD = 20_000, 1_000_000, 1 << 19
+#: Classes that a task remembers, so as to list a copy's prefix once.
+SEEN = 200_000
 
 MARKS = "doc_id bigint, n bigint, node bigint, check bigint, bits binary, chunk int, counts binary"
 
@@ -65,10 +69,10 @@ def digests(shingles: np.ndarray, seed: int) -> tuple[int, int]:
 def bitmap(shingles: np.ndarray) -> bytes:
     """Bit i tells whether an odd number of shingles fall on i, so each differing bit needs a differing shingle.
 
-    There are ``BITS`` bits, doubled until a set has at most two shingles a bit.
+    There are ``BITS`` bits, doubled until a set has at most two shingles a bit or there are ``MOST_BITS``.
     """
     bits = BITS
-    while 2 * bits < len(shingles):
+    while 2 * bits < len(shingles) and bits < MOST_BITS:
         bits *= 2
     slots = (shingles >> np.uint64(32)).astype(np.int64) & (bits - 1)
     return np.packbits(np.bincount(slots, minlength=bits).astype(np.uint8) & 1).tobytes()
@@ -86,10 +90,11 @@ def _marks(width: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [c.split()[0] for c in MARKS.split(", ")]
         schema = pa.schema(list(zip(names, [pa.int64()] * 4 + [pa.binary(), pa.int32(), pa.binary()])))
-        counts = np.zeros(SLOTS, np.int64)
+        counts = np.zeros(SLOTS, np.uint32)
         for batch in slices(batches, "text"):
             sets = [shingle_set(t, width) for t in byte_texts(batch.column("text"))]
-            counts += np.bincount((np.concatenate(sets) if sets else np.zeros(0, np.uint64)).astype(np.int64) & (SLOTS - 1), minlength=SLOTS)
+            for s in sets:
+                np.add.at(counts, (s & np.uint64(SLOTS - 1)).astype(np.int64), np.uint32(1))
             keys = [digests(s, seed) for s in sets]
             none = pa.nulls(len(sets), pa.int32())
             yield pa.RecordBatch.from_arrays([
@@ -123,6 +128,8 @@ def _prefixes(width: int, seed: int, num: int, den: int, levels):
                 node = digests(s, seed)[0]
                 if not len(s) or node in seen:
                     continue
+                if len(seen) >= SEEN:
+                    seen.clear()
                 seen.add(node)
                 first = len(s) - -(-num * len(s) // den) + 1
                 by = np.argsort(level[(s & np.uint64(SLOTS - 1)).astype(np.int64)], kind="stable")[:first]
@@ -159,9 +166,7 @@ def _room(na, nb, differ, num: int, den: int):
 
 def _close(num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in slices(batches, "bits_a", "bits_b"):
             differ = []
             for a, b in zip(batch.column("bits_a").to_pylist(), batch.column("bits_b").to_pylist()):
                 size = 8 * min(len(a), len(b))
@@ -175,7 +180,7 @@ def _close(num: int, den: int):
 
 def _exact(num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "x", "y"):
             linked = []
             for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
@@ -200,7 +205,8 @@ def _block_pairs(num: int, den: int):
         bits = np.stack([folded(x, BITS) for x in table.column("bits").to_pylist()])[order]
         fresh = np.append(True, (token[1:] != token[:-1]) | (tile[1:] != tile[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1]))
         same = np.cumsum(fresh)
-        found = [np.zeros((2, 0), np.int64)]
+        names, own = np.unique(node, return_inverse=True)
+        found, held = [np.zeros(0, np.int64)], 0
         x = np.arange(len(order))
         for step in range(1, len(order)):
             x = x[x + step < len(order)]
@@ -214,10 +220,14 @@ def _block_pairs(num: int, den: int):
             use = _room(n[a], n[b], np.abs(n[a] - n[b]), num, den)
             a, b = a[use], b[use]
             use = _room(n[a], n[b], np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1, dtype=np.int64), num, den)
-            a, b = node[a[use]], node[b[use]]
-            found.append(np.stack([np.minimum(a, b), np.maximum(a, b)]))
-        a, b = np.unique(np.concatenate(found, axis=1), axis=1)
-        return pa.table({"a": a, "b": b})
+            a, b = own[a[use]], own[b[use]]
+            # numbers of names are in the order of names
+            found.append(np.minimum(a, b) * len(names) + np.maximum(a, b))
+            held += len(a)
+            if held > max(HELD, len(found[0])):  # as many new ones as there were: merging stays in proportion
+                found, held = [np.unique(np.concatenate(found))], 0
+        both = np.unique(np.concatenate(found))
+        return pa.table({"a": names[both // max(1, len(names))], "b": names[both % max(1, len(names))]})
 
     return run
 
@@ -228,6 +238,7 @@ class ShingleJoin:
     def __init__(self, docs: DataFrame, width: int, num: int, den: int) -> None:
         self.docs, self.width, self.num, self.den = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), width, num, den
         self.spark = docs.sparkSession
+        small_batches(self.spark)
         self.seed = 0
         while True:
             written = cut_lineage(self.docs.mapInArrow(_marks(width, self.seed), MARKS))
@@ -294,7 +305,8 @@ class ShingleJoin:
 
         counts = named(tiles.select("token", "tile", "node")).groupBy("token", "tile").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count(F.lit(1)).alias("size"))
         open_ = cut_lineage(counts.where("x <> y").select("token", "tile", "size", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
-        groups = (open_.agg(F.sum(F.col("size") * F.col("blocks"))).first()[0] or 0) // GROUP + 1
+        rows, pairs = open_.agg(F.sum(F.col("size") * F.col("blocks")), F.sum((F.col("size") / F.lit(1000.0)) * F.col("size"))).first()
+        groups = max((rows or 0) // GROUP, int((pairs or 0) * 500 // GROUP_PAIRS)) + 1
         rows = named(tiles.drop("pivot").join(open_.drop("size"), ["token", "tile"])).join(self.classes.select("node", "bits"), "node")
         rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         pair = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least("block", k).alias("i"), F.greatest("block", k).alias("j")))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paperloom.llm.common import MEMBER_BITS, byte_texts, membership, slices
+from paperloom.llm.common import MEMBER_BITS, byte_texts, membership, slices, small_batches
 from paperloom.session import cut_lineage
 
 #: Lines of the rolling window, its multiplier, and one chunk end in so many lines.
@@ -132,6 +132,7 @@ def dedup_lines(docs: DataFrame, mean: int = MEAN_LINES) -> DataFrame:
 
 def _dedup_lines(docs: DataFrame, mean: int) -> DataFrame:
     """The operator over tables without reserved names."""
+    small_batches(docs.sparkSession)
     spark = docs.sparkSession
     keyed = docs.withColumn("row", F.xxhash64("doc_id", "text"))
     texts = keyed.select("row", F.col("doc_id").cast("bigint").alias("doc_id"), "text")

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paperloom.llm.common import running, slices
+from paperloom.llm.common import running, slices, small_batches
 from paperloom.session import cut_lineage
 
 LENGTH = 2048
@@ -173,6 +173,7 @@ def pack(docs: DataFrame, length: int = LENGTH, tokenizer: str | None = None) ->
     over many tasks.  Rows repeated are packed as often as they come; other columns don't matter; an
     empty table gives no rows.
     """
+    small_batches(docs.sparkSession)
     pieces = cut_lineage(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(_tokens(tokenizer, length), PIECES))
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
     seats = docs.sparkSession.sparkContext.broadcast(_seats(best_two_fit(counts, length), length))

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paperloom.llm.common import byte_texts, slices
+from paperloom.llm.common import byte_texts, slices, small_batches
 
 #: Base limits: fewest words, shortest repeat in words, most percent of words inside repeats.
 FEWEST_WORDS, SHORTEST, MOST_PERCENT = 10, 5, 20
@@ -107,7 +107,7 @@ def repetition(texts: list[list[bytes]], shortest: int) -> tuple[np.ndarray, np.
 def _measure(shortest: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([(c.split()[0], pa.int64()) for c in OUT.split(", ")])
-        for batch in slices(batches, "text", 2_000_000):
+        for batch in slices(batches, "text"):
             texts = byte_texts(batch.column("text"))
             words = [t.split() for t in texts]
             chars = [len(t) - len(t.translate(None, bytes(range(0x80, 0xC0)) + SPACE)) for t in texts]
@@ -141,10 +141,11 @@ def judge(docs: DataFrame, longest: int = LONGEST, shortest: int = SHORTEST) ->
 
 def keep_good(docs: DataFrame, longest: int = LONGEST, shortest: int = SHORTEST) -> DataFrame:
     """The rows of ``docs`` that ``judge`` keeps, unchanged and in one pass."""
+    small_batches(docs.sparkSession)
     columns = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 2_000_000):
+        for batch in slices(batches, "text"):
             words = [t.split() for t in byte_texts(batch.column("text"))]
             covered, longest_run = repetition(words, shortest)
             n = np.fromiter(map(len, words), np.int64, len(words))

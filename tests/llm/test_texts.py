@@ -5,7 +5,9 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from paperloom.llm import html_text, jaccard, licences, line_chunks, mixing, nbsvm, quality_rules, sharding
 from tests.llm.fixtures import LONG, PASSAGE, TEXTS, docs, empty
@@ -213,6 +215,19 @@ def test_open_tiles_find_links_that_pivots_miss(spark, monkeypatch):
     assert {r.component_id for r in found} == {0}
 
 
+def test_a_pair_that_meets_in_many_blocks_comes_once(monkeypatch):
+    monkeypatch.setattr(jaccard, "HELD", 50)
+    sets = [np.unique(np.array([*range(100), 1000 + k], np.uint64) * np.uint64(0x9E3779B97F4A7C15)) for k in range(40)]
+    rows = [(t, k) for t in range(3) for k in range(40)]
+    table = pa.table({
+        "token": pa.array([t for t, _ in rows]), "tile": pa.array([0] * 120, pa.int32()), "i": pa.array([0] * 120, pa.int32()), "j": pa.array([0] * 120, pa.int32()),
+        "node": pa.array([k * 7 - 90 for _, k in rows]), "root": pa.array([k for _, k in rows]), "n": pa.array([101] * 120, pa.int32()),
+        "block": pa.array([0] * 120, pa.int32()), "bits": pa.array([jaccard.bitmap(sets[k]) for _, k in rows], pa.binary())})
+    out = jaccard._block_pairs(80, 100)(table)
+    names = [k * 7 - 90 for k in range(40)]
+    assert sorted(zip(out["a"].to_pylist(), out["b"].to_pylist())) == [(a, b) for i, a in enumerate(names) for b in names[i + 1:]]
+
+
 def test_bitmap_bounds_the_difference():
     rng = np.random.default_rng(2)
     for _ in range(200):
@@ -243,8 +258,10 @@ def test_line_chunks(spark):
     assert len(out) == len(TEXTS)
     assert all((r.text, r.n_lines, r.n_removed_lines) == want[r.doc_id] for r in out)
     assert line_chunks.dedup_lines(empty(spark)).count() == 0
-    with pytest.raises(ValueError):
-        line_chunks.dedup_lines(docs(spark).withColumnRenamed("key", "row"))
+    clashing = docs(spark).withColumnsRenamed({"key": "ROW", "size": "drop", "words": "Of", "label": "N_lines", "n": "hash"})
+    again = line_chunks.dedup_lines(clashing)
+    assert again.columns == [c for c in clashing.columns if c != "N_lines"] + ["n_lines", "n_removed_lines"]
+    assert all((r.text, r.n_lines, r.n_removed_lines) == want[r.doc_id] and r.ROW == r["drop"] == r["hash"] == "x" for r in again.collect())
 
 
 def test_chunk_ends_resist_shifts():
@@ -320,6 +337,36 @@ def test_quality_classifier(spark):
     assert {r.score for r in nbsvm.quality(docs(spark), labels.where("doc_id < 0")).collect()} == {0.5}
 
 
+def test_labels_of_other_tables_take_no_seat_of_the_sample(spark):
+    rows = [(i, f"plain words {i % 3} of text" if i % 2 else f"junk%%% {i % 3} ###", "a") for i in range(40)]
+    labels = spark.createDataFrame([(d, d % 2) for d in range(40)] + [(10_000 + i, i % 2) for i in range(2000)], "doc_id long, quality int")
+    out, own = (sorted(nbsvm.quality(docs(spark, rows), x, sample=20).collect()) for x in (labels, labels.where("doc_id < 100")))
+    assert out == own and len({r.score for r in out}) > 1
+    assert len(nbsvm.quality(docs(spark, rows), labels.where("doc_id > 100"), sample=5).collect()) == 40
+
+
+def test_scores_follow_the_model(spark):
+    """Every score from plain sums over the features that the docstring names."""
+    rows = [(i, f"plain words {i % 7} of text {i}" if i % 3 else f"junk%%% {i % 5} ###", "a") for i in range(60)]
+    labels = spark.createDataFrame([(d, int(d % 3 > 0)) for d in range(60)], "doc_id long, quality int")
+    usable = labels.where(~nbsvm.held_out(F.col("doc_id"))).withColumnRenamed("quality", "label")
+    ratio, weights, bias, a, b = nbsvm.fit(docs(spark, rows), usable)
+    texts = {d: t.encode() for d, t, _ in rows}
+    grams = nbsvm.Grams()
+    learnt = [d for d in texts if zlib.crc32(str(d).encode()) % 5]
+    ones, zeros = ([d for d in learnt if (d % 3 > 0) == k] for k in (True, False))
+    held = {d: set(map(int, grams(t))) for d, t in texts.items()}
+    counts = np.zeros((2, len(ratio)), np.int64)
+    for k, ids in enumerate((zeros, ones)):
+        for d in ids:
+            counts[k, list(held[d])] += 1
+    assert np.allclose(nbsvm.log_ratios(counts), ratio, atol=1e-5)
+    for r in nbsvm.quality(docs(spark, rows), labels).collect():
+        at = sorted(held[r.doc_id])
+        margin = sum(float(weights[i]) for i in at) / (sum(float(ratio[i]) ** 2 for i in at) ** 0.5 or 1.0) + bias
+        assert abs(r.score - 1 / (1 + np.exp(-(a * margin + b)))) < 1e-6
+
+
 def test_dual_descent_reaches_the_margin():
     rng = np.random.default_rng(4)
     x = rng.standard_normal((60, 3))
