@@ -68,7 +68,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written as Parquet in the shared folder and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        path = f"{shared_folder(spark)}/pipeline-{name}-{uuid.uuid4().hex}"
+        path = f"{shared_folder(spark)}/paperloom-pipeline-{name}-{uuid.uuid4().hex}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)
