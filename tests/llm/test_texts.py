@@ -1,6 +1,7 @@
 """Operators on texts against plain Python on awkward rows."""
 
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -317,6 +318,59 @@ def test_copies_of_an_article_are_no_template(spark, pages, copies):
     assert all(got[i] == f"Title {i}\nStory {i}" for i in range(copies, pages))
 
 
+@pytest.mark.parametrize("html, want", [
+    ('<p title="the hidden truth">kept</p>', "kept"),
+    ('<article data-title="a hidden gem"><p>kept</p></article>', "kept"),
+    ('<p data-id="search-12">kept</p>', "kept"),
+    ('<div class="content with-sidebar"><article><p>kept</p></article><div class="sidebar">gone</div></div>', "kept"),
+    ('<main><section id="sponsor-history"><p>kept</p></section></main>', "kept"),
+    ("<main><p>one of the long article</p><p>two of it</p><article>a teaser</article></main>", "one of the long article\ntwo of it\na teaser"),
+    ('<div class="widget"><h1>kept</h1><p>the page has no other text</p></div>', "kept\nthe page has no other text"),
+    ('<div class="menu"><main><p>kept</p></main></div>', "kept"),
+    ('<article><p>short</p></article><div id="comments-area"><p>a comment that is much longer than the article</p></div>', "short"),
+    ('<div class="related-posts"><article>a teaser</article></div><main><p>the long text of the page</p></main>', "the long text of the page"),
+    ('<div hidden>gone</div><div HIDDEN="">gone</div><p aria-hidden=true>gone</p><p aria-hidden="false">kept</p>', "kept"),
+    ("<p data-x=it's>Don't stop</p>", "Don't stop"),
+    ("<p class='a'class='ad'>kept</p><p class=\"x' ad\">gone</p><!-->kept too<!-- gone", "kept\nkept too"),
+    ("<p a='>' b=\">\">kept</p><br/>too < and <unclosed", "kept\ntoo < and <unclosed"),  # no ">" follows: text, as nothing may be lost
+])
+def test_names_and_attributes_of_pages(html, want):
+    assert html_text.Page(html).text() == want
+
+
+@pytest.mark.parametrize("html", [
+    "<a " * 350_000, "<a " * 350_000 + ">", "<div>" * 100_000 + "</span>" * 100_000, "<b y='>' " * 110_000, "<li><ul>" + "<b>" * 100_000 + "<li></li>" * 100_000,
+    "<!--" * 250_000, "<!" * 500_000, '<a x="' * 170_000, "<textarea>" * 100_000])
+def test_unclosed_tags_take_linear_time(html):
+    begun = time.process_time()
+    html_text.Page(html).text()
+    assert time.process_time() - begun < 5
+
+
+def test_site_templates_by_brute_force(spark):
+    rng = np.random.default_rng(5)
+    shared = [f"shared line {k} of the host" for k in range(6)]
+    stories = {}
+    for i in range(40):
+        own = [" ".join(f"w{x}" for x in rng.integers(0, 10**6, 30)) for _ in range(3)]
+        stories[i] = own + [x for k, x in enumerate(shared) if rng.random() < (k + 1) / 8]
+    rows = [(i, f"http://h.org/{i}", "<div>" + "".join(f"<p>{x}</p>" for x in lines) + "</div>") for i, lines in stories.items()]
+    # near copies of one story, each with a word of its own
+    base = [" ".join(f"v{x}" for x in range(k, k + 120)) for k in (0, 200, 400)]
+    rows += [(100 + i, f"http://h.org/{i}", "".join(f"<p>{x}</p>" for x in [*base[:2], base[2].replace("v450", f"own{i}")])) for i in range(30)]
+    words = {}
+    pages = {i: html_text.sketch(html_text.Page(html).text(), words) for i, _, html in rows}
+    total = len(set(pages.values()))
+    at = {}
+    for i, _, html in rows:
+        for x in re.findall("<p>(.*?)</p>", html):
+            at.setdefault(x, set()).add(pages[i])
+    gone = {x for x, where in at.items() if len(where) >= html_text.FEWEST_PAGES and len(where) >= html_text.SHARE * total}
+    assert gone and gone <= set(shared)
+    found = html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert {r.page_id: r.text for r in found.collect()} == {i: "\n".join(x for x in re.findall("<p>(.*?)</p>", h) if x not in gone) for i, _, h in rows}
+
+
 def test_quality_classifier(spark):
     rng = np.random.default_rng(1)
     good = [" ".join(rng.choice(["the", "cat", "sat", "on", "a", "mat", "and", "ran"], 30)) for _ in range(150)]
