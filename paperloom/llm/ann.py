@@ -2,8 +2,9 @@
 
 A bounded sample of the distinct vectors gives the graph, its balanced partition, the classifier and the
 number of partitions that a query visits; every vector is then indexed by the classifier's first choice.
-Equal vectors are one class all the way: a class keeps its ``k + 1`` smallest ids, which are the only ones
-that a list of ``k`` neighbours, ties to smaller ids, can hold.
+Equal vectors are one class all the way: a class keeps its ``k + 1`` smallest ids and how often each stands
+there, up to ``k``; a list of ``k`` neighbours, ties to smaller ids, can hold no other.  A query stands for all
+ids of its class; an id of several rows is a query of its own, to which classes of that id alone don't exist.
 """
 
 from __future__ import annotations
@@ -22,8 +23,8 @@ from paperloom.session import cut_lineage
 SAMPLE, PER_PARTITION, MOST_PARTITIONS = 8192, 256, 32
 #: Neighbours in the graph, and recall on the sample that sets the partitions visited.
 GRAPH, RECALL = 10, 0.95
-#: Rows of a block of vectors and of queries, and spare candidates before the exact score.
-VECTORS, QUERIES, SPARE = 4096, 1024, 11
+#: Rows of a block of vectors and of queries, pairs scored exactly at once, and the rounding of a matrix product per length.
+VECTORS, QUERIES, PAIRS, ROUNDING = 4096, 1024, 1 << 15, 1e-10
 
 
 def nearest(x: np.ndarray, k: int, rows: np.ndarray | None = None) -> np.ndarray:
@@ -153,30 +154,55 @@ def _routes(model, home: bool):
     return run
 
 
+def best_pairs(q: np.ndarray, own: np.ndarray, x: np.ndarray, ids: np.ndarray, most: int) -> tuple[np.ndarray, ...]:
+    """Row of ``q``, row of ``x``, exact score and deciding id of each query's ``most`` nearest, ties to smaller ids.
+
+    ``ids`` holds each vector's two smallest ids, ``own`` an id that a query must not find, nan for none;
+    the smallest other one decides, and a vector without one is passed over.  The matrix product
+    only tells which pairs can't be among the nearest, those below the last by more than its rounding; all
+    others are scored exactly, so equal scores stay until the ids decide.
+    """
+    rough = q @ x.T
+    barred = np.flatnonzero(~np.isnan(own))
+    rough[barred] = np.where((own[barred][:, None] == ids[:, 0]) & np.isnan(ids[:, 1]), -np.inf, rough[barred])
+    k = min(most, len(x))
+    last = np.partition(rough, len(x) - k, axis=1)[:, len(x) - k]
+    margin = ROUNDING * np.linalg.norm(q, axis=1) * np.linalg.norm(x, axis=1).max()
+    one, two = np.nonzero((rough >= (last - margin)[:, None]) & (rough > -np.inf))
+    exact = np.empty(len(one))
+    for at in range(0, len(one), PAIRS):
+        exact[at:at + PAIRS] = (q[one[at:at + PAIRS]] * x[two[at:at + PAIRS]]).sum(axis=1)
+    tie = np.where(own[one] == ids[two, 0], ids[two, 1], ids[two, 0])
+    order = np.lexsort((tie, -exact, one))
+    one, two, exact, tie = one[order], two[order], exact[order], tie[order]
+    kept = np.arange(len(one)) - np.searchsorted(one, one) < most
+    return one[kept], two[kept], exact[kept], tie[kept]
+
+
+def _ids(table: pa.Table, name: str, ranks: np.ndarray) -> np.ndarray:
+    """Places of the ids among ``ranks``, nan for null, so that they compare exactly whatever their size."""
+    column = table.column(name).combine_chunks()
+    return np.where(column.is_null().to_numpy(zero_copy_only=False), np.nan, np.searchsorted(ranks, column.fill_null(0).to_numpy()))
+
+
 def _scored(most: int):
     """The ``most`` nearest classes of a block for each query of a block, exact scores."""
 
     def run(vectors: pa.Table, queries: pa.Table) -> pa.Table:
-        empty = pa.table({"query": pa.array([], pa.int64()), "class": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
         if not vectors.num_rows or not queries.num_rows:
-            return empty
-        x, q = matrix(vectors.column("embedding")), matrix(queries.column("embedding"))
-        ids, asked = vectors.column("class").to_numpy(), queries.column("class").to_numpy()
-        order = np.argsort(ids)
-        x, ids = x[order], ids[order]
-        rough = q @ x.T
-        k = min(most + SPARE, len(x))
-        best = np.sort(np.argpartition(-rough, k - 1, axis=1)[:, :k], axis=1)
-        exact = (q[:, None, :] * x[best]).sum(axis=2)
-        first = np.argsort(-exact, axis=1, kind="stable")[:, :most]
-        best, exact = np.take_along_axis(best, first, 1), np.take_along_axis(exact, first, 1)
-        return pa.table({"query": np.repeat(asked, best.shape[1]), "class": ids[best].ravel(), "score": exact.ravel()})
+            return pa.table({n: pa.array([], t) for n, t in (("query", pa.int64()), ("own", pa.int64()), ("class", pa.int64()), ("tie", pa.int64()), ("score", pa.float64()))})
+        own = queries.column("own").combine_chunks()
+        ranks = np.unique(np.concatenate([c.fill_null(0).to_numpy() for c in (own, *(vectors.column(n).combine_chunks() for n in ("least", "second")))]))
+        ids = np.stack([_ids(vectors, "least", ranks), _ids(vectors, "second", ranks)], axis=1)
+        one, two, exact, tie = best_pairs(matrix(queries.column("embedding")), _ids(queries, "own", ranks), matrix(vectors.column("embedding")), ids, most)
+        return pa.table({"query": queries.column("class").to_numpy()[one], "own": own.take(pa.array(one)), "class": vectors.column("class").to_numpy()[two],
+                         "tie": ranks[tie.astype(np.int64)], "score": exact})
 
     return run
 
 
-def _first(df: DataFrame, by: str, order: list[Column], most: int) -> DataFrame:
-    return df.withColumn("__n", F.row_number().over(Window.partitionBy(by).orderBy(*order))).where(F.col("__n") <= most).drop("__n")
+def _first(df: DataFrame, by: list[str], order: list[Column], most: int) -> DataFrame:
+    return df.withColumn("__n", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("__n") <= most).drop("__n")
 
 
 def search(vectors: DataFrame, asked: Column, k: int = 20, sample: int = SAMPLE, recall: float = RECALL) -> DataFrame:
@@ -195,22 +221,30 @@ def search(vectors: DataFrame, asked: Column, k: int = 20, sample: int = SAMPLE,
     length = rows.groupBy(F.size("embedding").alias("length")).count().orderBy(F.desc("count"), "length").first()
     rows = rows.where(F.size("embedding") == (length["length"] if length else 0))
 
-    # equal vectors: the smallest ids of each class, named by the first; window limits cut before the shuffle
-    kept = _first(rows.select("embedding", "vec_id"), "embedding", [F.col("vec_id")], k + 1)
+    # equal vectors: the smallest ids of each class; window limits cut before the shuffle
+    rank = F.dense_rank().over(Window.partitionBy("embedding").orderBy("vec_id"))
+    kept = rows.select("embedding", "vec_id", rank.alias("__n")).where(F.col("__n") <= k + 1)
+    kept = kept.groupBy("embedding", "vec_id").agg(F.least(F.count(F.lit(1)), F.lit(k)).cast("int").alias("n"))
     flagged = rows.groupBy("embedding").agg(F.max("asked").alias("asked"))
-    classes = kept.groupBy("embedding").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")).join(flagged, "embedding")
-    classes = cut_lineage(classes.select(F.element_at("ids", 1).alias("class"), "ids", "embedding", "asked"))
-
-    drawn = classes.select("class", "embedding").orderBy(F.xxhash64("class"), "class").limit(sample)
+    classes = kept.groupBy("embedding").agg(F.sort_array(F.collect_list(F.struct("vec_id", "n"))).alias("ids")).join(flagged, "embedding")
+    two = F.element_at("ids.vec_id", 1).alias("least"), F.try_element_at("ids.vec_id", F.lit(2)).alias("second")
+    classes = cut_lineage(classes.select(F.monotonically_increasing_id().alias("class"), *two, "ids", "embedding", "asked"))
+    # asked ids and their classes; an id of several rows is its class's query for itself alone
+    again = rows.groupBy("vec_id").agg(F.count(F.lit(1)).alias("n"), F.max("asked").alias("asked")).where("n > 1 AND asked").select("vec_id", F.col("vec_id").alias("own"))
+    members = rows.where("asked").join(again, "vec_id", "left").join(classes.where("asked").select("class", "embedding"), "embedding")
+    members = cut_lineage(members.select("vec_id", "class", "own"))
+
+    drawn = classes.select("least", "embedding").orderBy(F.xxhash64("least", "embedding"), "least").limit(sample)
     fitted = drawn.withColumn("all", F.lit("sample")).groupBy("all").applyInArrow(_fit(k, recall), "model binary").first()
     if fitted is None:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     model = spark.sparkContext.broadcast(pickle.loads(bytes(fitted["model"])))
-    schema = f"class bigint, embedding {vectors.schema['embedding'].dataType.simpleString()}, parts array<int>"
-    indexed = classes.select("class", "embedding").mapInArrow(_routes(model, True), schema)
-    routed = classes.where("asked").select("class", "embedding").mapInArrow(_routes(model, False), schema)
-    indexed = cut_lineage(indexed.select("class", "embedding", F.explode("parts").alias("part")))
-    routed = cut_lineage(routed.select("class", "embedding", F.explode("parts").alias("part")))
+    schema = "class bigint, {}, embedding " + vectors.schema["embedding"].dataType.simpleString() + ", parts array<int>"
+    indexed = classes.select("class", "least", "second", "embedding").mapInArrow(_routes(model, True), schema.format("least bigint, second bigint"))
+    wanted = members.select("class", "own").distinct().join(classes.select("class", "embedding"), "class")
+    routed = wanted.select("class", "own", "embedding").mapInArrow(_routes(model, False), schema.format("own bigint"))
+    indexed = cut_lineage(indexed.select("class", "least", "second", "embedding", F.explode("parts").alias("part")))
+    routed = cut_lineage(routed.select("class", "own", "embedding", F.explode("parts").alias("part")))
 
     # blocks of bounded size: vectors of a part by queries of a part; the counts are one row a part
     sizes = indexed.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / VECTORS).cast("int").alias("across"))
@@ -218,18 +252,18 @@ def search(vectors: DataFrame, asked: Column, k: int = 20, sample: int = SAMPLE,
     grid = F.broadcast(sizes.join(loads, "part"))  # at most MOST_PARTITIONS rows
     hashed = F.xxhash64("class")
     left = indexed.join(grid, "part").select(
-        "class", "embedding", "part", F.pmod(hashed, F.col("across")).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("down") - 1)).alias("j"))
+        "class", "least", "second", "embedding", "part", F.pmod(hashed, F.col("across")).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("down") - 1)).alias("j"))
     right = routed.join(grid, "part").select(
-        "class", "embedding", "part", F.explode(F.sequence(F.lit(0), F.col("across") - 1)).alias("i"), F.pmod(hashed, F.col("down")).cast("int").alias("j"))
+        "class", "own", "embedding", "part", F.explode(F.sequence(F.lit(0), F.col("across") - 1)).alias("i"), F.pmod(F.xxhash64("class", "own"), F.col("down")).cast("int").alias("j"))
     key = ["part", "i", "j"]
-    found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(_scored(k + 1), "query bigint, class bigint, score double")
-    best = _first(found, "query", [F.desc("score"), F.col("class")], k + 1)
-    ids = classes.select("class", "ids")
-    spread = best.join(ids, "class").select("query", F.explode("ids").alias("vec_id"), "score")
-    spread = _first(spread, "query", [F.desc("score"), F.col("vec_id")], k + 1)
-    lists = spread.groupBy("query").agg(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("down"), "vec_id", "score"))).alias("near"))
-    members = rows.where("asked").join(classes.where("asked").select("class", "embedding"), "embedding").select("vec_id", "class")
-    named = members.join(lists, members["class"] == lists["query"]).select(F.col("vec_id").alias("query_id"), "near")
+    found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(_scored(k + 1), "query bigint, own bigint, class bigint, tie bigint, score double")
+    query = ["query", "own"]
+    best = _first(found, query, [F.desc("score"), F.col("tie")], k + 1)
+    ids = classes.select("class", F.flatten(F.transform("ids", lambda x: F.array_repeat(x["vec_id"], x["n"]))).alias("ids"))
+    spread = best.join(ids, "class").select(*query, F.explode("ids").alias("vec_id"), "score").where(~F.col("vec_id").eqNullSafe(F.col("own")))
+    spread = _first(spread, query, [F.desc("score"), F.col("vec_id")], k + 1)
+    lists = spread.groupBy(*query).agg(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("down"), "vec_id", "score"))).alias("near"))
+    named = members.join(lists, (members["class"] == lists["query"]) & members["own"].eqNullSafe(lists["own"])).select(members["vec_id"].alias("query_id"), "near")
     others = F.slice(F.filter("near", lambda x: x["vec_id"] != F.col("query_id")), 1, k)
     ranked = named.select("query_id", F.posexplode(others).alias("place", "hit"))
     return ranked.select("query_id", (F.col("place") + 1).cast("int").alias("rank"), F.col("hit.vec_id").alias("vec_id"), F.col("hit.score").alias("score"))

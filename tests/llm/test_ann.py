@@ -36,6 +36,39 @@ def test_small_and_awkward(spark):
     assert [i for i, _ in search(spark, good[:3])[0]] == [i for i, _ in brute(good[:3], 20)[0]]
 
 
+def test_ties_go_to_smaller_ids(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in rng.integers(-2, 3, 6)]) for i in range(500)]  # one partition: nothing is missed
+    rows = [(i, v) for i, v in rows if any(v)]
+    assert search(spark, rows) == {q: [(i, s) for i, s in x] for q, x in brute(rows, 20).items()}
+    q, x = np.array([v for _, v in rows[:50]]), np.array([v for _, v in rows])
+    ids = np.stack([np.arange(len(x)), np.full(len(x), np.nan)], axis=1)
+    one, two, score, _ = ann.best_pairs(q, np.full(50, np.nan), x, ids, 21)
+    for r in range(50):
+        want = sorted((-float((q[r] * v).sum()), i) for i, v in enumerate(x))[:21]
+        assert [(-s, i) for i, s in zip(two[one == r], score[one == r])] == want
+
+
+def test_repeated_ids_leave_room_for_others(spark):
+    rng = np.random.default_rng(4)
+    draw = lambda: [float(x) for x in np.float32(rng.standard_normal(6))]
+    rows = [(i, draw()) for i in range(200)]
+    rows += [(0, [9.0 * x for x in rows[0][1]])] + [(0, draw()) for _ in range(30)]  # one id in many classes
+    rows += [(20, rows[20][1])] * 40 + [(21, rows[20][1])] * 3 + [(40, rows[60][1]), (60, rows[40][1])]  # in one class; two ids in both
+    got = {}
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for r in ann.search(table, F.col("vec_id") % 20 == 0, k=5).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    # an id of several rows asks once for each
+    want = {}
+    for q, v in rows:
+        if q % 20 == 0:
+            near = sorted((-float((np.array(v) * np.array(x)).sum()), i) for i, x in rows if i != q)[:5]
+            want.setdefault(q, []).extend((n + 1, i, -s) for n, (s, i) in enumerate(near))
+    assert set(got) == set(want)
+    assert all([x[:2] for x in sorted(got[q])] == [x[:2] for x in sorted(want[q])] for q in want)
+
+
 def test_recall_of_learned_partitions(spark):
     rng = np.random.default_rng(1)
     centres = rng.standard_normal((24, 16)) * 2
