@@ -157,7 +157,7 @@ def repaired_split(items: DataFrame, ratio: float) -> DataFrame:
 def best_split(items: DataFrame, ratio: float) -> DataFrame:
     """Split per source: the best of all assignments of at most ``EXACT_SPLIT_SOURCES`` sources.
 
-    More sources are an error: there ``repaired_split`` is the operator to ask for.  The sources are
+    More sources are an error: there ``salted_split`` or ``repaired_split`` is the operator to ask for.  The sources are
     gathered into one row, the masks 0..2^n-1 are exploded and spread over the cluster, and each mask
     is scored by array expressions; the least (score, distance from the repaired split, assignment)
     wins.  At a ratio of 0 or 1 nothing is left to choose.
@@ -230,6 +230,51 @@ def best_split(items: DataFrame, ratio: float) -> DataFrame:
     return best.select(F.explode("sources").alias("s")).select("s.source_path", "s.split")
 
 
+def salted_split(items: DataFrame, ratio: float, candidates: int = 32) -> DataFrame:
+    """Split per source: the best of ``candidates`` assignments, for any number of sources.
+
+    Candidate 0 is the repaired split, candidate c the hash split of the source's name with ``#c`` behind
+    it.  Those that leave a document type or field group of several sources on one side alone are out,
+    but for candidate 0; the least (score, sources that differ from candidate 0, number) wins.  A
+    source is one row per key before the candidates are dealt out, and their sums merge on the map side:
+    what is shuffled is one row per candidate and key from each task, whatever the number of sources.
+    An empty table gives no rows; at a ratio of 0 or 1 nothing is left to choose.
+    """
+    moves = repair_coverage(items, ratio)
+    tagged = items.select("source_path", F.explode(F.concat(
+        F.array(F.struct(F.lit("source").alias("kind"), F.lit("").alias("key"), F.lit(0).cast("bigint").alias("n")),
+                F.struct(F.lit("type").alias("kind"), F.col("document_type").alias("key"), F.lit(0).cast("bigint").alias("n"))),
+        F.transform(
+            F.coalesce(F.map_entries("field_counts_by_group"), F.array()),
+            lambda e: F.struct(F.lit("group").alias("kind"), e["key"].alias("key"), e["value"].cast("bigint").alias("n")),
+        ),
+    )).alias("k")).select("source_path", "k.*")
+    summed = tagged.groupBy("source_path", "kind", "key").agg(F.sum("n").alias("n")).filter("kind <> 'group' OR n > 0")
+    keys = cut_lineage(apply_splits(summed, moves, ratio))
+
+    def side(candidate: Column) -> Column:
+        salted = hash_split(F.concat("source_path", F.lit("#"), candidate.cast("string")), ratio)
+        return F.when(candidate == 0, F.col("split")).otherwise(salted)
+
+    if not 0.0 < ratio < 1.0:
+        candidates = 1
+    dealt = keys.withColumn("candidate", F.explode(F.sequence(F.lit(0), F.lit(candidates - 1)))).withColumn("side", side(F.col("candidate")))
+    train, val = F.col("side") == K.TRAIN, F.col("side") == K.VAL
+    per_key = dealt.groupBy("candidate", "kind", "key").agg(
+        F.sum(F.when(train, F.col("n")).otherwise(0)).alias("train"), F.sum(F.when(val, F.col("n")).otherwise(0)).alias("val"),
+        F.count_if(train).alias("train_sources"), F.count_if(val).alias("val_sources"), F.count_if(F.col("side") != F.col("split")).alias("differ"),
+    )
+    gap = group_shortfall(F.col("train"), F.col("val"), F.col("train_sources"), F.col("val_sources"))
+    covered = (F.col("kind") == "source") | (F.col("train_sources") + F.col("val_sources") < 2) | ((F.col("train_sources") > 0) & (F.col("val_sources") > 0))
+    scored = per_key.groupBy("candidate").agg(
+        F.round(F.coalesce(F.sum(F.when(F.col("kind") == "group", gap)), F.lit(0.0)), 4).alias("score"),
+        F.sum(F.when(F.col("kind") == "source", F.col("differ"))).alias("distance"), F.bool_and(covered).alias("covered"),
+    ).filter("covered OR candidate = 0")
+    best = scored.agg(F.min(F.struct("score", "distance", "candidate")).alias("best")).select(F.col("best.candidate").alias("candidate"))
+    chosen = keys.filter("kind = 'source'").crossJoin(F.broadcast(best))  # one row
+    return chosen.select("source_path", side(F.col("candidate")).alias("split"))
+
+
 # --- audit ------------------------------------------------------------------------
 
 def leakage(df: DataFrame) -> DataFrame:
