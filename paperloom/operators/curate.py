@@ -173,10 +173,10 @@ def assign_donors(plan: DataFrame, manifest: DataFrame, seed: int = K.HARD_CASE_
             F.col("draw") < total, F.col("draw") - second
         ),
     })
-    with_donor = placed.filter("draw IS NOT NULL").join(numbered, ["donor_group", "donor_index"], "left")
-    without = placed.filter("draw IS NULL").withColumn("donor_crop_path", F.lit(None).cast("string"))
-    columns = [*plan.columns, "donor_group", "donor_crop_path"]
-    return with_donor.select(columns).unionByName(without.select(columns))
+    # rows without a draw join nothing; their numbers are spread so that no task gets them all
+    none = -1 - F.pmod(F.xxhash64("base_crop_path", "augmentation_type"), F.lit(1 << 40))
+    placed = placed.withColumn("donor_index", F.coalesce(F.col("donor_index").cast("bigint"), none))
+    return placed.join(numbered, ["donor_group", "donor_index"], "left").select(*plan.columns, "donor_group", "donor_crop_path")
 
 
 def _current_bases(manifest: DataFrame, include_rejected: bool) -> DataFrame:

@@ -29,12 +29,21 @@ class ReportComparison:
     deltas: DataFrame
     missing: DataFrame
     promotion: DataFrame
-
-
-def compare_reports(baseline: FieldErrorReport, candidate: FieldErrorReport) -> ReportComparison:
-    """Field, type, group and overall deltas, changed missing cases and the promotion verdict."""
+    profiles: DataFrame | None = None
+
+
+def compare_reports(
+    baseline: FieldErrorReport, candidate: FieldErrorReport,
+    baseline_profiles: DataFrame | None = None, candidate_profiles: DataFrame | None = None,
+) -> ReportComparison:
+    """Field, type, group and overall deltas, changed missing cases, the promotion verdict and, where both
+    runs' training profiles are given, the change of each field group's profile.
+    """
+    profiles = None
+    if baseline_profiles is not None and candidate_profiles is not None:
+        profiles = E.compare_profiles(baseline_profiles, candidate_profiles)
     deltas = E.compare_metrics(E.by_level(baseline.field_metrics), E.by_level(candidate.field_metrics))
     missing = E.missing_diff(baseline.missing_cases, candidate.missing_cases)
     return ReportComparison(
-        E.severity(deltas), missing, E.promotion(deltas, baseline.compared_cases, candidate.compared_cases, missing)
+        E.severity(deltas), missing, E.promotion(deltas, baseline.compared_cases, candidate.compared_cases, missing), profiles
     )

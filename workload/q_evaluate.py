@@ -184,7 +184,8 @@ def _profiles(spark, folder, run):
 
 
 def profile_deltas(spark, folder):
-    d = E.compare_profiles(_profiles(spark, folder, "b"), _profiles(spark, folder, "c"))
+    reports = (_report(spark, folder, run) for run in "bc")
+    d = compare_reports(*reports, *(_profiles(spark, folder, run) for run in "bc")).profiles
     return d.select("field_group", "status", "train_count_delta", "val_count_delta", "train_source_count_delta", "val_source_count_delta",
                     "unique_hard_case_variant_count_delta", "hard_case_train_ratio_delta", F.col("readiness_rank_delta").cast("bigint").alias("readiness_rank_delta"),
                     "readiness_transition")
