@@ -8,7 +8,7 @@ from workload.check import compare
 from workload.views import TABLES
 
 FOLDER = "/root/testdata/sf0.001"
-#: The whole review run: its stages have SQL each, and test_review.py compares the run with them.
+#: The whole review run: its stages have SQL each; of the run itself test_review.py tests three cases, and here only rows are counted.
 WITHOUT_SQL = {"R8_review_run"}
 
 
