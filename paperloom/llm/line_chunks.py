@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
@@ -15,66 +14,75 @@ from pyspark.sql import types as T
 from paperloom.llm.common import MEMBER_BITS, byte_texts, membership, slices, small_batches
 from paperloom.session import cut_lineage
 
-#: Lines of the rolling window, its multiplier, and one chunk end in so many lines.
-WINDOW, FACTOR, MEAN_LINES = 2, 31, 3
-FEWEST_LINES = 2
+#: Multiplier of the rolling hash over the hashes of two lines, and words of a line that is a passage by itself.
+FACTOR, LONG_WORDS = 0x9E3779B97F4A7C15, 50
+LONG_SALT = 0x5851F42D4C957F2D
 #: Names of columns that the operator adds, for itself or to its result, in lower case.
 ADDED = ("n_lines", "n_removed_lines")
 RESERVED = frozenset(("row", "drop", "of", *ADDED))
 
 
-def chunks(lines: list[bytes], mean: int = MEAN_LINES) -> list[tuple[int, int]]:
-    """First line and end of every chunk.
+def windows(lines: list[bytes], long_words: int = LONG_WORDS) -> list[tuple[int, int, int]]:
+    """First line, last line and rolling hash of every place where a chunk can begin to recur.
 
-    A chunk ends where the rolling hash over the hashes of the last ``WINDOW`` lines is divisible by
-    ``mean``, which depends on those lines alone: lines added or lost before don't shift later ends.
+    These are two neighbouring lines with words, with the blank ones between them, and single lines of
+    ``long_words`` words or more.  A hash depends on those lines alone, so lines added or lost before
+    shift nothing.  A chunk is a run of windows that recur, each sharing a line with the next; its
+    boundaries lie where the rolling hash stops recurring.
     """
-    hashed = [int.from_bytes(md5(x).digest()[:4]) for x in lines]
-    out, start = [], 0
-    for i in range(len(lines)):
-        value = 0
-        for h in hashed[max(0, i - WINDOW + 1):i + 1]:
-            value = value * FACTOR + h
-        if value % mean == 0 or i == len(lines) - 1:
-            out.append((start, i + 1))
-            start = i + 1
+    out, before, hashed = [], -1, 0
+    for i, line in enumerate(lines):
+        words = len(line.split())
+        if not words:
+            continue
+        value = xxhash.xxh3_64_intdigest(line)
+        if before >= 0:
+            out.append((before, i, (hashed * FACTOR + value) & (1 << 64) - 1))
+        if words >= long_words:
+            out.append((i, i, value ^ LONG_SALT))
+        before, hashed = i, value
     return out
 
 
-def _long_chunks(texts: list[bytes], mean: int) -> Iterator[tuple[int, int, bytes]]:
-    """Number of the text, of the chunk in it, and bytes, of chunks of several lines."""
+def _places(texts: list[bytes], long_words: int) -> Iterator[tuple[int, int, int, int, list[bytes]]]:
+    """Number of the text, first and last line, hash, and all lines, of every window."""
     for t, text in enumerate(texts):
         lines = text.split(b"\n")
-        if len(lines) < FEWEST_LINES:
-            continue
-        for k, (start, end) in enumerate(chunks(lines, mean)):
-            if end - start >= FEWEST_LINES:
-                yield t, k, b"\n".join(lines[start:end])
+        for start, last, value in windows(lines, long_words):
+            yield t, start, last, value, lines
 
 
 def signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def _listed(mean: int, members=None):
-    """Chunks by hash; with ``members``, only those whose hash may be listed there, with their bytes."""
+def _hashes(long_words: int):
+    """The hashes of all windows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            values = [x[3] for x in _places(byte_texts(batch.column("text")), long_words)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.array(values, np.uint64).view(np.int64))], names=["hash"])
+
+    return run
+
+
+def _found(long_words: int, members):
+    """Windows whose hash may be listed in ``members``, with their bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        listed = None if members is None else np.frombuffer(members.value, np.uint64)
+        listed = np.frombuffer(members.value, np.uint64)
+        names = ["hash", "row", "doc_id", "start", "last", "bytes"]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
         for batch in slices(batches, "text"):
             rows, ids = batch.column("row").to_pylist(), batch.column("doc_id").to_pylist()
-            out: list[list] = [[], [], [], [], []]
-            for t, k, data in _long_chunks(byte_texts(batch.column("text")), mean):
-                value = xxhash.xxh3_64_intdigest(data)
-                if listed is not None:
-                    slot = value % MEMBER_BITS
-                    if not int(listed[slot >> 6]) >> (slot & 63) & 1:
-                        continue
-                    out[4].append(data)
-                for column, x in zip(out, (signed(value), rows[t], ids[t], k)):
-                    column.append(x)
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()][: 4 if listed is None else 5]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)], names=["hash", "row", "doc_id", "chunk", "bytes"][: len(kinds)])
+            out: list[list] = [[] for _ in kinds]
+            for t, start, last, value, lines in _places(byte_texts(batch.column("text")), long_words):
+                slot = value % MEMBER_BITS
+                if int(listed[slot >> 6]) >> (slot & 63) & 1:
+                    for column, x in zip(out, (signed(value), rows[t], ids[t], start, last, b"\n".join(lines[start:last + 1]))):
+                        column.append(x)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)], names=names)
 
     return run
 
@@ -92,7 +100,7 @@ def _split(members, inside: bool):
     return run
 
 
-def _cut(mean: int, names: list[str], text_type: pa.DataType = pa.string()):
+def _cut(names: list[str], text_type: pa.DataType = pa.string()):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             texts, counts, gone = [], [], []
@@ -100,8 +108,8 @@ def _cut(mean: int, names: list[str], text_type: pa.DataType = pa.string()):
                 lines = data.split(b"\n") if data else []
                 kept = lines
                 if drop:
-                    drop_set = set(drop)
-                    kept = [x for k, (a, z) in enumerate(chunks(lines, mean)) if k not in drop_set for x in lines[a:z]]
+                    cut = {i for place in drop for i in range(place >> 32, (place & 0xFFFFFFFF) + 1)}
+                    kept = [x for i, x in enumerate(lines) if i not in cut]
                 texts.append(None if null else b"\n".join(kept).decode())
                 counts.append(len(lines))
                 gone.append(len(lines) - len(kept))
@@ -111,11 +119,14 @@ def _cut(mean: int, names: list[str], text_type: pa.DataType = pa.string()):
     return run
 
 
-def dedup_lines(docs: DataFrame, mean: int = MEAN_LINES) -> DataFrame:
+def dedup_lines(docs: DataFrame, long_words: int = LONG_WORDS) -> DataFrame:
     """``docs`` with the repeated chunks cut out of ``text``, and ``n_lines``, ``n_removed_lines``.
 
-    Lines end at ``\\n``; a chunk of two lines or more whose bytes stand in several places stays in the
-    first one, by ``doc_id`` (null last) and place, and goes from the others, be they in the same text.
+    Lines end at ``\\n``.  A window, two neighbouring lines with words and the blank ones between them or
+    one line of ``long_words`` words or more, whose bytes stand in several places stays in the first one,
+    by ``doc_id`` (null last) and line; the lines of all others go, be they in the same text.  So every
+    run of two lines or more that stands earlier goes whole, whatever lines surround it, and the first
+    place of each different line stays.
     Null texts stay null, an empty text has no lines, a text can end up empty.  Rows that repeat both
     ``doc_id`` and text are one document and all keep what it keeps.  Columns of ``docs`` beside
     ``doc_id`` and ``text`` are carried along under their names, but for own ``n_lines`` and ``n_removed_lines``, whatever
@@ -125,29 +136,30 @@ def dedup_lines(docs: DataFrame, mean: int = MEAN_LINES) -> DataFrame:
     while any(c.lower().startswith(prefix) for c in docs.columns):
         prefix += "_"
     inner = [f"{prefix}{i}" if c.lower() in RESERVED else c for i, c in enumerate(docs.columns)]
-    cut = _dedup_lines(docs.toDF(*inner), mean)
+    cut = _dedup_lines(docs.toDF(*inner), long_words)
     kept = [F.col(i).alias(c) for i, c in zip(inner, docs.columns) if c.lower() not in ADDED]
     return cut.select(*kept, *ADDED)
 
 
-def _dedup_lines(docs: DataFrame, mean: int) -> DataFrame:
+def _dedup_lines(docs: DataFrame, long_words: int) -> DataFrame:
     """The operator over tables without reserved names."""
     small_batches(docs.sparkSession)
     spark = docs.sparkSession
     keyed = docs.withColumn("row", F.xxhash64("doc_id", "text"))
     texts = keyed.select("row", F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    listed = "hash bigint, row bigint, doc_id bigint, chunk int"
 
-    # 1. hashes that occur in more than one place
-    places = texts.mapInArrow(_listed(mean), listed)
+    # 1. rolling hashes that occur in more than one place
+    places = texts.select("text").mapInArrow(_hashes(long_words), "hash bigint")
     often = cut_lineage(places.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash"))
-    # 2. the bytes of those chunks alone; equal bytes are one class, whose first place stays
+    # 2. the bytes of those windows alone; equal bytes are one class, whose first place stays
     members = spark.sparkContext.broadcast(membership(often, "hash"))
-    found = texts.mapInArrow(_listed(mean, members), listed + ", bytes binary").join(often, "hash", "left_semi")
-    found = cut_lineage(found.select("*", F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"), F.col("chunk").alias("c")).alias("at")))
+    found = texts.mapInArrow(_found(long_words, members), "hash bigint, row bigint, doc_id bigint, start int, last int, bytes binary")
+    at = F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"), F.col("start").alias("c"))
+    found = cut_lineage(found.join(often, "hash", "left_semi").select("*", at.alias("at")))
     first = found.groupBy("hash", "bytes").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     later = found.join(first, ["hash", "bytes"]).where(~F.col("at").eqNullSafe(F.col("first")))
-    drops = cut_lineage(later.groupBy("row", F.col("doc_id").alias("of")).agg(F.collect_set("chunk").alias("drop")))
+    place = F.shiftleft(F.col("start").cast("bigint"), 32) + F.col("last")
+    drops = cut_lineage(later.groupBy("row", F.col("doc_id").alias("of")).agg(F.collect_set(place).alias("drop")))
     # 3. cut them out; texts that lose nothing aren't shuffled
     touched = spark.sparkContext.broadcast(membership(drops, "row"))
     columns = docs.columns
@@ -155,5 +167,5 @@ def _dedup_lines(docs: DataFrame, mean: int) -> DataFrame:
     maybe = keyed.mapInArrow(_split(touched, True), keyed.schema)
     own = (maybe["row"] == drops["row"]) & maybe["doc_id"].cast("bigint").eqNullSafe(drops["of"])
     maybe = maybe.join(drops, own, "left").drop(drops["row"], drops["of"])
-    alone = keyed.mapInArrow(_split(touched, False), keyed.schema).withColumn("drop", F.lit(None).cast("array<int>"))
-    return maybe.select(*columns, "drop").unionByName(alone.select(*columns, "drop")).mapInArrow(_cut(mean, columns), out)
+    alone = keyed.mapInArrow(_split(touched, False), keyed.schema).withColumn("drop", F.lit(None).cast("array<bigint>"))
+    return maybe.select(*columns, "drop").unionByName(alone.select(*columns, "drop")).mapInArrow(_cut(columns), out)

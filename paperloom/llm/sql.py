@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from paperloom.llm import licences, quality_rules, sharding
+from paperloom.llm import licences, line_chunks, quality_rules, sharding
 
 WORDS = "string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+')"
 
@@ -155,21 +155,22 @@ SELECT doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, m.least AS compon
 FROM d JOIN m USING (k) LEFT JOIN n USING (k)
 """
 
-LINES = """
-WITH d AS (SELECT row_number() OVER () AS k, doc_id, text FROM documents),
-l AS (SELECT k, doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS i FROM d WHERE text <> ''),
-h AS (SELECT *, CAST('0x' || substr(md5(line), 1, 8) AS BIGINT) AS h FROM l),
-e AS (
-  SELECT *, (coalesce(lag(h) OVER w, 0) * 31 + h) % 3 = 0 AS ends FROM h WINDOW w AS (PARTITION BY k ORDER BY i)),
-c AS (SELECT *, coalesce(sum(CAST(ends AS INT)) OVER (PARTITION BY k ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk FROM e),
-g AS (SELECT k, doc_id, chunk, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS body FROM c GROUP BY k, doc_id, chunk),
-f AS (
-  SELECT k, chunk, n >= 2 AND (doc_id, chunk) <> first_value((doc_id, chunk)) OVER (PARTITION BY body ORDER BY doc_id NULLS LAST, chunk) AS gone FROM g),
+LINES = f"""
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, text, CASE WHEN text <> '' THEN string_split(text, chr(10)) ELSE [] END AS lines FROM documents),
+l AS (SELECT k, doc_id, lines, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS i FROM d),
 t AS (
-  SELECT c.k, count(*) AS n, sum(CAST(gone AS INT)) AS m, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '') AS text
-  FROM c JOIN f USING (k, chunk) GROUP BY c.k)
-SELECT doc_id, CAST(coalesce(t.n, 0) AS BIGINT) AS n_lines, CAST(coalesce(t.m, 0) AS BIGINT) AS n_removed_lines, coalesce(t.text, d.text) AS text
-FROM d LEFT JOIN t USING (k)
+  SELECT k, doc_id, lines, i, len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) AS words, lead(i) OVER (PARTITION BY k ORDER BY i) AS j
+  FROM l WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')),
+w AS (
+  SELECT k, doc_id, i, j, array_to_string(lines[i:j], chr(10)) AS body FROM t WHERE j IS NOT NULL
+  UNION ALL
+  SELECT k, doc_id, i, i, lines[i] FROM t WHERE words >= {line_chunks.LONG_WORDS}),
+f AS (
+  SELECT k, i, j, (doc_id, i) IS DISTINCT FROM first_value((doc_id, i)) OVER (PARTITION BY body ORDER BY doc_id NULLS LAST, i) AS later FROM w),
+g AS (SELECT k, list(DISTINCT x) AS gone FROM (SELECT k, unnest(range(i, j + 1)) AS x FROM f WHERE later) GROUP BY k)
+SELECT doc_id, CAST(len(lines) AS BIGINT) AS n_lines, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed_lines,
+       CASE WHEN gone IS NULL THEN text ELSE array_to_string([lines[i] FOR i IN range(1, len(lines) + 1) IF NOT list_contains(gone, i)], chr(10)) END AS text
+FROM d LEFT JOIN g USING (k)
 """
 
 

@@ -3,9 +3,9 @@
 import re
 
 import corpus_pipeline
-from paperloom.llm import line_chunks
 from tests.llm.fixtures import TEXTS, docs, empty
 from tests.llm.test_packing import reference
+from tests.llm.test_texts import plain_dedup
 
 SPACES = r"[^\x20\x09-\x0D]+"
 
@@ -19,17 +19,11 @@ def plain_stages(rows):
         inside = {j for i, g in enumerate(grams) if grams.count(g) > 1 for j in range(i, i + 5)} if len(grams) < 5000 else set()
         if len(words) >= 10 and 100 * len(inside) <= 20 * len(words):
             kept.append((d, text, source))
-    seen, cut = set(), []
-    for d, text, source in sorted(set(kept), key=lambda r: (r[0] is None, r[0])):
-        lines, left = text.split("\n"), []
-        for a, z in line_chunks.chunks([x.encode() for x in lines]):
-            piece = "\n".join(lines[a:z])
-            if z - a < 2 or piece not in seen:
-                left += lines[a:z]
-            if z - a >= 2:
-                seen.add(piece)
-        if left or not text:
-            cut += [(d, "\n".join(left), source)] * kept.count((d, text, source))
+    cut = []
+    rows = sorted(set(kept), key=lambda r: (r[0] is None, r[0]))
+    for (d, text, source), (_, _, left, n, gone) in zip(rows, plain_dedup(rows)):
+        if left or not gone:
+            cut += [(d, left, source)] * kept.count((d, text, source))
     out = {}
     for d, text, source in cut:
         words = re.findall(SPACES, "".join(c.lower() if c.isascii() else c for c in text))

@@ -241,20 +241,25 @@ def test_bitmap_bounds_the_difference():
         assert both <= (len(a) + len(b) - differ) // 2
 
 
+def plain_dedup(rows):
+    """Line dedup by brute force, over rows in order: doc_id, text, kept text, lines, lines removed."""
+    seen, out = set(), []
+    for d, text, *_ in rows:
+        lines, gone = text.split("\n") if text else [], set()
+        full = [i for i, x in enumerate(lines) if re.search(SPACES, x)]
+        for i, j in [*zip(full, full[1:]), *((i, i) for i in full if len(re.findall(SPACES, lines[i])) >= 50)]:
+            piece = "\n".join(lines[i:j + 1])
+            gone |= set(range(i, j + 1)) if piece in seen else set()
+            seen.add(piece)
+        kept = "\n".join(x for i, x in enumerate(lines) if i not in gone)
+        out.append((d, text, kept, len(lines), len(gone)))
+    return out
+
+
 def test_line_chunks(spark):
     got = line_chunks.dedup_lines(docs(spark).drop("key"))
     assert got.columns[-2:] == ["n_lines", "n_removed_lines"]
-    seen, want = set(), {}
-    rows = sorted(set(TEXTS), key=lambda r: (r[0] is None, r[0]))
-    for d, text, _ in rows:
-        lines, kept = (text or "").split("\n") if text else [], []
-        for a, z in line_chunks.chunks([x.encode() for x in lines]) if lines else []:
-            piece = "\n".join(lines[a:z])
-            if z - a < 2 or piece not in seen:
-                kept += lines[a:z]
-            if z - a >= 2:
-                seen.add(piece)
-        want[d] = (None if text is None else "\n".join(kept), len(lines), len(lines) - len(kept))
+    want = {d: (None if t is None else kept, n, m) for d, t, kept, n, m in plain_dedup(sorted(set(TEXTS), key=lambda r: (r[0] is None, r[0])))}
     out = got.collect()
     assert len(out) == len(TEXTS)
     assert all((r.text, r.n_lines, r.n_removed_lines) == want[r.doc_id] for r in out)
@@ -265,12 +270,51 @@ def test_line_chunks(spark):
     assert all((r.text, r.n_lines, r.n_removed_lines) == want[r.doc_id] and r.ROW == r["drop"] == r["hash"] == "x" for r in again.collect())
 
 
-def test_chunk_ends_resist_shifts():
-    lines = [f"line {i * i}".encode() for i in range(200)]
-    ends = {lines[z - 1] for _, z in line_chunks.chunks(lines)}
-    moved = {x for _, z in line_chunks.chunks([b"new", *lines]) for x in [([b"new", *lines])[z - 1]]}
-    assert len(ends ^ moved) <= 2
-    assert line_chunks.chunks([]) == []
+def test_windows_resist_shifts():
+    lines = [b"" if i % 7 == 3 else f"line {i * i}".encode() for i in range(200)]
+    own = {x for _, _, x in line_chunks.windows(lines)}
+    moved = {x for _, _, x in line_chunks.windows([b"new", *lines])}
+    assert own < moved and len(moved - own) == 1
+    assert line_chunks.windows([]) == line_chunks.windows([b"", b" \t"]) == line_chunks.windows([b"one"]) == []
+    long = b"w " * 50
+    assert [x[:2] for x in line_chunks.windows([long, b"", b"b"])] == [(0, 0), (0, 2)]
+    assert line_chunks.windows([b"a", b"b"])[0][2] != line_chunks.windows([b"b", b"a"])[0][2]
+
+
+def test_every_repeated_run_goes(spark):
+    """All lines of runs that stand in an earlier text, found by brute force, and no line beside them."""
+    rng = np.random.default_rng(8)
+    runs = [[f"run {k} line {i} of it" for i in range(n)] for k, n in enumerate([2, 2, 2, 3, 5, 9])] + [["one line of many words " * 12 + "."]]
+    texts, planted = [], []
+    for d in range(120):
+        lines, mine = [], set()
+        for part in rng.permutation(4):
+            if part < 2:
+                run = runs[int(rng.integers(0, len(runs)))]
+                mine |= set(range(len(lines), len(lines) + len(run)))
+                lines += run
+            lines += [f"own line {d} {part} {i}" for i in range(int(rng.integers(1, 4)))] + ["a short line that many have", f"own end {d} {part}"]
+        texts.append((d, "\n".join(lines), "a"))
+        planted.append(mine)
+    got = {r.doc_id: r for r in line_chunks.dedup_lines(docs(spark, texts)).collect()}
+    seen, stay = set(), 0
+    for (d, text, _), mine in zip(texts, planted):
+        lines = text.split("\n")
+        left = []
+        for i, x in enumerate(lines):
+            if i not in mine or x not in seen:
+                left.append(x)
+                stay += i in mine
+            seen |= {x} if i in mine else set()
+        assert got[d].text.split("\n") == left, d
+    assert stay == sum(map(len, runs))
+
+
+def test_blank_lines_join_no_single_lines(spark):
+    rows = [(1, "Heading\n\nown text of one\n\nHeading two", "a"), (2, "Heading\n\nown text of two\n\nHeading two", "a"),
+            (3, "x\n \ny\n\n\nz", "a"), (4, "w\nx\n \ny\n\nz", "a"), (None, "x\n \ny", "a")]
+    got = {r.doc_id: (r.text, r.n_removed_lines) for r in line_chunks.dedup_lines(docs(spark, rows)).collect()}
+    assert got == {1: (rows[0][1], 0), 2: (rows[1][1], 0), 3: (rows[2][1], 0), 4: ("w\n\nz", 3), None: ("", 3)}
 
 
 PAGE = (
