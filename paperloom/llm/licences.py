@@ -40,9 +40,8 @@ TEMPLATES = (
     Template("cc-by", "creative commons attribution 4 0 international license", "creative commons attribution 4 0 international"),
 )
 
-#: Licence words that the SQL text looks up for each file, rarest first (``scan`` looks up all of them);
-#: rarest words of a template that are its postings.
-FILE_WORDS, POSTINGS = 16, 4
+#: Rarest words of a template that are its postings.
+POSTINGS = 4
 #: Postings that must agree on a place, and the share of a template's words that must stand there.
 AGREE, SHARE = 2, 0.8
 

@@ -73,12 +73,11 @@ p AS (SELECT k, unnest(words) AS word, unnest(range(len(words))) AS p FROM d),
 o AS (SELECT k, word, p FROM p JOIN v USING (word)),
 f AS (SELECT word, count(DISTINCT k) AS df FROM o GROUP BY word),
 r AS (SELECT v.word, row_number() OVER (ORDER BY coalesce(df, 0), v.word) AS rank FROM v LEFT JOIN f USING (word)),
-looked AS (SELECT k, word FROM (SELECT DISTINCT k, word FROM o) JOIN r USING (word) QUALIFY row_number() OVER (PARTITION BY k ORDER BY rank) <= {licences.FILE_WORDS}),
 tw AS (SELECT t, unnest(words) AS word, unnest(range(len(words))) AS q FROM t),
 post AS (SELECT t, word FROM (SELECT DISTINCT t, word FROM tw) JOIN r USING (word) QUALIFY row_number() OVER (PARTITION BY t ORDER BY rank) <= {licences.POSTINGS}),
 vote AS (
   SELECT o.k, tw.t, o.p - tw.q AS place, count(DISTINCT o.word) AS n
-  FROM o JOIN looked USING (k, word) JOIN post USING (word) JOIN tw ON tw.t = post.t AND tw.word = o.word GROUP BY ALL),
+  FROM o JOIN post USING (word) JOIN tw ON tw.t = post.t AND tw.word = o.word GROUP BY ALL),
 hit AS (
   SELECT vote.k, vote.t, t.label, place,
          (SELECT count(*) FROM tw JOIN o ON o.k = vote.k AND o.word = tw.word AND o.p = place + tw.q WHERE tw.t = vote.t) / CAST(len(t.words) AS DOUBLE) AS share
