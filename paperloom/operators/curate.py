@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -322,25 +325,82 @@ def select_hard_cases(hard: DataFrame, quota: DataFrame) -> DataFrame:
     Counts of variants decide before rows are placed; counts of places tell which rows a variant gives, and
     only the crops of the ``2 ** CHUNK_BITS`` about the cut are ranked.
     """
-    kind = F.coalesce(nonempty(F.col("document_type")), F.lit(K.UNKNOWN))
-    base = F.coalesce(
-        nonempty(F.col("base_crop_path")), nonempty(F.col("crop_path")), nonempty(F.col("case_id")), F.lit(K.UNKNOWN)
-    )
-    variant = F.coalesce(nonempty(F.col("augmentation_type")), F.lit(K.UNKNOWN))
-    keyed = hard.withColumns({"__group": F.coalesce("field_group", F.lit(K.UNKNOWN)), "__kind": kind, "__base": base, "__variant": variant})
-    # one row per (field group, type, variant)
-    shares = _variant_shares(keyed, quota).select(*[F.col(c).alias(f"{c}_of") for c in ("__group", "__kind", "__variant")], "__take", "__number", "__variants")
-    same = [F.col(c) == F.col(f"{c}_of") for c in ("__group", "__kind", "__variant")]
-    open_ = keyed.join(shares, same[0] & same[1] & same[2])
-    crop = ["__group", "__kind", "__base"]
-    bases = with_index(open_.select(*crop).distinct(), crop[:2], ["__base"], "__crop", few_groups=False)
-    within = Window.partitionBy(*crop, "__variant").orderBy("field_name", "crop_path")
-    # dealt by crop once: entries are numbered and crops joined where they are
-    entries = open_.repartition(*crop).withColumn("__entry", F.row_number().over(within)).join(bases, crop)
-    level = F.pmod(F.col("__number") - F.col("__crop"), F.col("__variants"))
-    side = ["__group", "__kind", "__variant"]
-    placed = cut_lineage(entries.withColumns({"__level": level, "__chunk": F.shiftright("__crop", CHUNK_BITS)}))
-    return _first_of_each(placed, side, ["__entry", "__level", "__chunk"], "__crop", "__take").select(*hard.columns)
+    placed = _placed(_numbered(_keyed(hard, F.lit(True)), hard.columns), quota)
+    return _first_of_each(placed, SIDE, ["__entry", "__level", "__chunk"], "__crop", "__take").select(*hard.columns)
+
+
+SIDE = ["__group", "__kind", "__variant"]
+
+
+def _keyed(hard: DataFrame, open_: Column) -> DataFrame:
+    """Hard cases with the key of their base crop and ``__open``: whether a selection may choose among them.
+
+    The key takes the place of ``base_crop_path``: a path is shuffled once.
+    """
+    named = F.col("base_crop_path")
+    spare = F.coalesce(nonempty(F.col("crop_path")), nonempty(F.col("case_id")) if "case_id" in hard.columns else F.lit(None), F.lit(K.UNKNOWN))
+    return hard.withColumns({
+        "__key": F.coalesce(named, spare), "__named": named.isNotNull(), "__spare": F.when(named == "", spare),
+        "__open": F.coalesce(open_, F.lit(False)),
+    }).drop("base_crop_path")
+
+
+def _running():
+    """Running count of the true flags of a partition."""
+    @F.pandas_udf("bigint")
+    def running(flags: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        total = 0
+        for part in flags:
+            counts = part.cumsum() + total
+            total = counts.iloc[-1] if len(counts) else total
+            yield counts
+
+    return running
+
+
+def _numbered(keyed: DataFrame, keep: list[str], bases: DataFrame | None = None) -> DataFrame:
+    """The rows as a written table, dealt once by ranges of the base crop; all later steps read it without a shuffle.
+
+    A crop's rows lie together: its entries are numbered there (``__entry``), and the open crops of a
+    partition are counted in order (``__run``).  ``bases``, crops to be matched, travel in the same shuffle
+    and give ``__current``: whether a row's base crop is one of them (a row with null ``__current`` counts
+    as current).  Of the rows' columns the table holds ``keep``.
+    """
+    crop = ["__open", "__group", "__kind", "__key", "__base"]
+    entry = Window.partitionBy(*crop, "__variant").orderBy("field_name", "crop_path")
+    any_ = Window.partitionBy(*crop).orderBy("__variant", "field_name", "crop_path")
+    if bases is None:
+        dealt = keyed.repartitionByRange("__key").withColumn("__current", F.lit(True))
+    else:
+        marks = bases.select(F.col("base_crop_path").alias("__key"), F.lit(True).alias("__mark"))
+        both = keyed.unionByName(marks, allowMissingColumns=True).repartitionByRange("__key")
+        seen = F.coalesce(F.bool_or("__mark").over(Window.partitionBy("__key")), F.lit(False))
+        dealt = both.withColumn("__current", F.coalesce("__current", seen & F.col("__named"))).where("__mark IS NULL").withColumn(
+            "__open", F.col("__open") & F.col("__current"))
+    sided = dealt.withColumns({
+        "__group": F.coalesce("field_group", F.lit(K.UNKNOWN)), "__kind": F.coalesce(nonempty(F.col("document_type")), F.lit(K.UNKNOWN)),
+        "__variant": F.coalesce(nonempty(F.col("augmentation_type")), F.lit(K.UNKNOWN)), "__base": F.coalesce("__spare", "__key"),
+    })
+    rows = sided.withColumns({"__entry": F.row_number().over(entry), "__first": F.row_number().over(any_) == 1})
+    counted = rows.withColumn("__run", _running()(F.col("__first"))).withColumn("__part", F.spark_partition_id())
+    named = counted.withColumn("base_crop_path", F.when(F.col("__named"), F.col("__key")))
+    state = [c for c in ("__usable", "__current", "__open", *SIDE, "__entry", "__run", "__part") if c in named.columns]
+    return cut_lineage(named.select(*dict.fromkeys([*[c for c in keep if c in named.columns], *state])))
+
+
+def _placed(numbered: DataFrame, quota: DataFrame) -> DataFrame:
+    """The open rows of the sides with a quota: their crop's number, level and bucket, and the seats of their variant."""
+    open_ = numbered.where("__open")
+    shares = _variant_shares(open_, quota)
+    sides = ["__group", "__kind"]
+    runs = open_.groupBy("__part", *sides).agg(F.min("__run").alias("__low"), (F.max("__run") - F.min("__run") + 1).alias("__crops"))
+    before = Window.partitionBy(*sides).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = runs.select("__part", *sides, (F.coalesce(F.sum("__crops").over(before), F.lit(0)) - F.col("__low")).alias("__shift"))
+    found = open_.join(broadcast_if_small(cut_lineage(shares)), SIDE).join(broadcast_if_small(cut_lineage(shifts), 100_000), ["__part", *sides])
+    placed = found.withColumn("__crop", F.col("__run") + F.col("__shift"))
+    return placed.withColumns({
+        "__level": F.pmod(F.col("__number") - F.col("__crop"), F.col("__variants")), "__chunk": F.shiftright("__crop", CHUNK_BITS),
+    })
 
 
 def _first_of_each(rows: DataFrame, side: list[str], digits: list[str], last: str, take: str) -> DataFrame:
@@ -392,32 +452,85 @@ def training_set(
 def training_set_and_caps(
     manifest: DataFrame, hard: DataFrame | None = None, include_rejected: bool = False, ratio: float | None = 0.5
 ) -> tuple[DataFrame, DataFrame]:
-    """The training set and the caps applied to it.
+    """The training set and the caps applied to it."""
+    rows, _, caps, _ = _training_parts(manifest, hard, include_rejected, ratio)
+    return rows, caps
+
+
+def selected_hard_cases(
+    manifest: DataFrame, hard: DataFrame, include_rejected: bool = False, ratio: float = 0.5
+) -> DataFrame:
+    """The hard cases that a training set keeps of the field groups over their cap (``ratio`` below 1)."""
+    return _training_parts(manifest, hard, include_rejected, ratio)[1]
+
 
-    The counts behind caps and quotas are one small table, written once; the selection reads only the
-    hard cases of groups over their cap.
+def training_set_and_stale(
+    manifest: DataFrame, hard: DataFrame | None = None, include_rejected: bool = False, ratio: float | None = 0.5,
+    keep: list[str] | None = None,
+) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """The training set, its caps and the dropped hard cases per field group (:func:`stale_hard_cases`).
+
+    ``keep``: the columns of the training set, all by default.
     """
-    rows = manifest
-    if hard is not None:
-        rows = rows.unionByName(current_hard_cases(manifest, hard, include_rejected), allowMissingColumns=True)
-    if not include_rejected:
-        rows = rows.filter(is_accepted(F.col("quality.accepted")))
-    if "augmentation_type" not in rows.columns:
-        rows = rows.withColumns({"augmentation_type": F.lit(None).cast("string"), "base_crop_path": F.lit(None).cast("string")})
-    rows = with_source_type(rows)
-    train = rows.filter(F.col("split") == K.TRAIN)
+    rows, _, caps, stale = _training_parts(manifest, hard, include_rejected, ratio, keep)
+    return rows, caps, stale
+
+
+def _training_parts(
+    manifest: DataFrame, hard: DataFrame | None, include_rejected: bool, ratio: float | None, keep: list[str] | None = None
+) -> tuple[DataFrame, DataFrame | None, DataFrame, DataFrame | None]:
+    """(training set, hard cases chosen under the caps, caps, stale hard cases per group).
+
+    The hard cases are shuffled and written once, by base crop (:func:`_numbered`): the same table tells
+    which are current, and gives counts, stale rows and the selection.  Base rows are read where they lie.
+    """
+    usable = F.lit(True) if include_rejected else is_accepted(F.col("quality.accepted"))
+    columns = list(dict.fromkeys([*manifest.columns, *(hard.columns if hard is not None else [])]))
+    extra = [c for c in ("augmentation_type", "base_crop_path") if c not in columns]
+    own = manifest.filter(usable)
+    for name in ("augmentation_type", "base_crop_path"):
+        if name not in own.columns:
+            own = own.withColumn(name, F.lit(None).cast("string"))
+    own = with_source_type(own)
+    names = keep or [*columns, *extra, "source_type"]
     if ratio is None or ratio >= 1.0:
-        return rows, hard_case_cap(train, ratio)
-    counts = cut_lineage(profile_counts(train))
-    caps = _caps_from(counts, ratio)
-    over = caps.filter("capped").select(F.coalesce("field_group", F.lit(K.UNKNOWN)).alias("__over"))
+        rows = own if hard is None else own.unionByName(
+            with_source_type(current_hard_cases(manifest, hard, include_rejected).filter(usable)), allowMissingColumns=True)
+        stale = None if hard is None else stale_hard_cases(manifest, hard, include_rejected)
+        return rows.select(*names), None, hard_case_cap(rows.filter(F.col("split") == K.TRAIN), ratio), stale
     # a row without group or split is a row like any other: it falls under the cap of the unknown group, or under none
     train_hard = F.coalesce((F.col("split") == K.TRAIN) & (F.col("source_type") == HARD), F.lit(False))
-    # both branches read the tagged rows: write them once
-    tagged = cut_lineage(rows.join(over, F.coalesce("field_group", F.lit(K.UNKNOWN)) == F.col("__over"), "left"))
-    limited = train_hard & F.col("__over").isNotNull()
-    chosen = select_hard_cases(tagged.filter(limited).select(*rows.columns), cut_lineage(_quotas_from(counts, caps)))
-    return tagged.filter(~limited).select(*rows.columns).unionByName(chosen.select(*rows.columns)), caps
+    # a manifest that names variants holds hard cases itself
+    mixed = "augmentation_type" in manifest.columns
+    held = own.filter(F.col("source_type") == HARD).withColumns({"__usable": F.lit(True), "__current": F.lit(True)}) if mixed else None
+    base = own.filter(F.col("source_type") == BASE) if mixed else own
+    given = None if hard is None else with_source_type(hard).withColumns({"__usable": usable, "__current": F.lit(None).cast("boolean")})
+    parts = [p for p in (given, held) if p is not None]
+    if not parts:
+        return own.select(*names), None, hard_case_cap(own.filter(F.col("split") == K.TRAIN), ratio), None
+    offered = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
+    keyed = _keyed(offered, train_hard & F.col("__usable"))
+    needed = list(dict.fromkeys([*names, "field_group", "split", "document_type", "source_type", "augmentation_type"]))
+    order = ["field_name", "crop_path"]
+    marks = [c for c in keyed.columns if c.startswith("__")]
+    narrow = keyed.select(*[c for c in keyed.columns if c in {*needed, *order, *marks}])
+    numbered = _numbered(narrow, needed, _current_bases(manifest, include_rejected))
+    kept = numbered.where("__usable AND __current")
+    train = F.col("split") == K.TRAIN
+    counts = cut_lineage(profile_counts(base.filter(train)).unionByName(profile_counts(kept.filter(train))))
+    caps = _caps_from(counts, ratio)
+    over = cut_lineage(caps.filter("capped").select(F.coalesce("field_group", F.lit(K.UNKNOWN)).alias("__over")).distinct())
+    joined = kept.join(F.broadcast(over), F.col("__group") == F.col("__over"), "left")
+    free = joined.where(~(F.col("__open") & F.col("__over").isNotNull()))
+    quota = cut_lineage(_quotas_from(counts, caps))
+    chosen = _first_of_each(_placed(numbered, quota), SIDE, ["__entry", "__level", "__chunk"], "__crop", "__take")
+    free, chosen = (r.select(*[c for c in names if c in r.columns]) for r in (free, chosen))
+    rows = base.unionByName(free, allowMissingColumns=True).unionByName(chosen, allowMissingColumns=True).select(*names)
+    stale = None
+    if hard is not None:
+        stale = numbered.where("NOT __current").groupBy(F.coalesce(nonempty(F.col("field_group")), F.lit(K.UNKNOWN)).alias("field_group")).agg(
+            F.count(F.lit(1)).alias("stale"))
+    return rows, chosen, caps, stale
 
 
 # --- profiles, warnings, readiness --------------------------------------------------
@@ -438,6 +551,11 @@ def _map_of(keys: str, value: Column, when: Column) -> Column:
     return F.map_from_entries(F.array_sort(F.collect_list(F.when(when, F.struct(F.col(keys), value)))))
 
 
+def source_of(columns: list[str]) -> Column:
+    """Where a row comes from: its source, else its base crop, else itself."""
+    return F.coalesce(*[nonempty(F.col(c)) for c in ("source_path", "base_crop_path", "crop_path") if c in columns], F.lit(K.UNKNOWN))
+
+
 def data_profile(rows: DataFrame, caps: DataFrame, stale: DataFrame | None = None) -> DataFrame:
     """Profile of each field group of a training set.
 
@@ -465,9 +583,7 @@ def data_profile(rows: DataFrame, caps: DataFrame, stale: DataFrame | None = Non
             _map_of("augmentation_type", n, train).alias("train_by_variant"), _map_of("augmentation_type", n, val).alias("val_by_variant")
         ), "field_group", "left",
     )
-    source = F.coalesce(
-        nonempty(F.col("source_path")), nonempty(F.col("base_crop_path")), nonempty(F.col("crop_path")), F.lit(K.UNKNOWN)
-    )
+    source = source_of(rows.columns)
     # de-duplicate (group, split, source) first: its shuffle spreads a group over its sources
     distinct = rows.filter(F.col("split").isin(K.TRAIN, K.VAL)).select("field_group", "split", source.alias("source")).distinct()
     sources = distinct.groupBy("field_group").agg(

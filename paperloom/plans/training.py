@@ -13,12 +13,12 @@ def training_summary(
     manifest: DataFrame, hard: DataFrame | None = None, include_rejected: bool = False, ratio: float | None = 0.5
 ) -> DataFrame:
     """Profile, warnings and readiness per field group."""
-    rows, caps = C.training_set_and_caps(manifest, hard, include_rejected, ratio)
-    columns = ["field_group", "split", "document_type", "source_type", "augmentation_type", "source_path", "base_crop_path",
-               "crop_path", "text"]
+    # only what the reports read is shuffled and written, each row's source already found
+    given = lambda df: df.withColumn("source_path", C.source_of(df.columns))
+    columns = ["field_group", "split", "document_type", "source_type", "augmentation_type", "source_path", "text"]
+    rows, caps, stale = C.training_set_and_stale(given(manifest), None if hard is None else given(hard), include_rejected, ratio, columns)
     # three reports read the set: write it once
-    rows = cut_lineage(rows.select(*columns))
-    stale = None if hard is None else C.stale_hard_cases(manifest, hard, include_rejected)
+    rows = cut_lineage(rows)
     return C.readiness(C.warnings(C.data_profile(rows, caps, stale)))
 
 
