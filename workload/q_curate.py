@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 from paperloom import constants as K
 from paperloom.operators import curate as C
 from paperloom.plans.training import training_summary
-from paperloom.session import cut_lineage
 from workload import views as V
 from workload.q_extract import LABELS_SQL, _files, _labels, _values
 from workload.query import Query
@@ -149,15 +148,16 @@ def document_quotas(spark, folder):
 
 
 def selected_hard_cases(spark, folder):
-    train = cut_lineage(_train(spark, folder))
-    picked = C.select_hard_cases(
-        train.filter("source_type = 'hard_case'"), cut_lineage(C.quotas(train, C.hard_case_cap(train, 0.3)))
-    )
+    columns = ["case_id", "document_type", "field_name", "field_group", "split", "crop_path", "quality"]
+    crops, hard = V.crops(spark, folder), V.hard_cases(spark, folder)
+    picked = C.selected_hard_cases(crops.select(*columns), hard.select(*columns, "augmentation_type", "base_crop_path"), ratio=0.3)
     return picked.select("field_group", "document_type", "augmentation_type", "base_crop_path", "crop_path")
 
 
 def training_rows(spark, folder):
-    rows = C.training_set(V.crops(spark, folder), V.hard_cases(spark, folder))
+    columns = ["case_id", "document_type", "field_name", "field_group", "source_path", "crop_path", "split", "quality"]
+    crops, hard = V.crops(spark, folder), V.hard_cases(spark, folder)
+    rows = C.training_set(crops.select(*columns), hard.select(*columns, "augmentation_type", "base_crop_path"))
     return rows.groupBy("field_group", "split", "source_type", "document_type").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("source_path").alias("sources"))
 
 
