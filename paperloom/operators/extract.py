@@ -18,6 +18,7 @@ from paperloom.functions.normalize import (
 from paperloom.functions.text import (
     ANY_CASE, contains_any, find, first_match, join_present, literal_array, nonempty, squash, strip, strip_chars, tokens,
 )
+from paperloom.session import spread
 
 # --- patterns and phrases (fixed values) -------------------------------------
 SSN, EIN = r"(\d{3}-\d{2}-\d{4})", r"(\d{2}-\d{7})"
@@ -254,7 +255,7 @@ EXTRACTORS = {K.RESIDENCY: _residency, K.APOSTILLE: _apostille, K.WITHHOLDING: _
 
 
 def _only(docs: DataFrame, kind: str) -> DataFrame:
-    rows = EXTRACTORS[kind](docs.filter(F.col("document_type") == kind))
+    rows = EXTRACTORS[kind](spread(docs.filter(F.col("document_type") == kind)))
     return rows.withColumnRenamed(f"fields_{kind}", "fields").drop(*TEXTS)
 
 
@@ -272,6 +273,7 @@ def extract_apostille(docs: DataFrame) -> DataFrame:
 
 def extract_all(docs: DataFrame) -> DataFrame:
     """All three types in one pass over the papers; flags of other types are null."""
+    docs = spread(docs)
     for extract in EXTRACTORS.values():
         docs = extract(docs)
     per_type = [f"fields_{kind}" for kind in EXTRACTORS]

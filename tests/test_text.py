@@ -95,3 +95,16 @@ def test_mask_reaches_every_depth(spark):
 def test_nfc_joins_both_spellings(spark):
     df = spark.createDataFrame([("거주자",), ("거주자",), ("plain",), (None,)], "p string")
     assert sorted(str(r.key) for r in P.with_nfc(df, "p", "key").collect()) == sorted(["거주자", "거주자", "plain", "None"])
+
+
+def test_one_part_of_papers_is_worked_on_by_many_tasks(spark):
+    from pyspark.sql import functions as F
+
+    from paperloom.operators import extract as X
+
+    papers = spark.range(0, 400, 1, 1).select(
+        F.concat(F.lit("c"), "id").alias("case_id"), F.lit("apostille").alias("document_type"), F.lit("a.png").alias("source_path"),
+        F.lit("apostille.michigan").alias("template_id"), F.lit("7. by x").alias("text"), F.lit("7. by x").alias("single_line"),
+        F.lit(None).cast("map<string,string>").alias("regions"))
+    rows = X.extract_apostille(papers).select("case_id", F.spark_partition_id().alias("part")).collect()
+    assert len({r.case_id for r in rows}) == len(rows) == 400 and len({r.part for r in rows}) > 1

@@ -10,6 +10,7 @@ from paperloom.operators import curate as C
 from paperloom.operators import extract as X
 from paperloom.operators import pages as G
 from paperloom.operators import templates as T
+from paperloom.session import spread
 from workload import views as V
 from workload.query import Query
 
@@ -309,7 +310,7 @@ MATCH_SQL = """SELECT case_id, document_type, nullif(coalesce(nullif(regexp_extr
 
 
 def item_cleaning(spark, folder):
-    rows = V.view(spark, folder, "page_text_v").filter(F.col("document_type") == K.APOSTILLE)
+    rows = spread(V.view(spark, folder, "page_text_v").filter(F.col("document_type") == K.APOSTILLE))
     line = F.col("raw_text")
     return rows.select(
         "case_id", N.item_block(line, 8).alias("item_8"), N.item_block(line, 9).alias("item_9"), N.item_block(line, 10).alias("item_10"),
