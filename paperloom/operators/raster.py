@@ -230,6 +230,22 @@ def with_confidence(summed: DataFrame, threshold: float = K.CONFIDENCE_THRESHOLD
     ).drop("confidence_total", "confidence_words")
 
 
-def avg_confidence(pages: DataFrame, keys: list[str], threshold: float = K.CONFIDENCE_THRESHOLD) -> DataFrame:
-    """Mean word confidence of a document over all its pages; null when no word has one."""
-    return with_confidence(pages.groupBy(*keys).agg(*confidence_sums()), threshold)
+def avg_confidence(
+    pages: DataFrame, keys: list[str], threshold: float = K.CONFIDENCE_THRESHOLD, order: str | None = None
+) -> DataFrame:
+    """Mean word confidence of a document over all its pages; null when no word has one.
+
+    Sums of doubles depend on the order of the words in their last bits, which decide ties of the threshold.
+    With ``order``, a column that numbers the pages, words are added one after another, page by page,
+    whatever the partitions are; a document's confidences then meet in one row.
+    """
+    if order is None:
+        return with_confidence(pages.groupBy(*keys).agg(*confidence_sums()), threshold)
+    known = F.filter(F.transform("words", lambda w: w["confidence"]), lambda c: c.isNotNull())
+    listed = pages.select(*keys, F.struct(F.col(order).alias("order"), known.alias("known")).alias("page"))
+    ordered = listed.groupBy(*keys).agg(F.array_sort(F.collect_list("page")).alias("pages"))
+    inside = lambda total, page: F.aggregate(F.coalesce(page["known"], F.array().cast("array<double>")), total, lambda s, c: s + c)
+    sizes = lambda n, page: n + F.coalesce(F.size(page["known"]), F.lit(0))
+    return with_confidence(ordered.select(
+        *keys, F.aggregate("pages", F.lit(0.0), inside).alias("confidence_total"), F.aggregate("pages", F.lit(0), sizes).alias("confidence_words")
+    ), threshold)

@@ -108,3 +108,18 @@ def test_one_part_of_papers_is_worked_on_by_many_tasks(spark):
         F.lit(None).cast("map<string,string>").alias("regions"))
     rows = X.extract_apostille(papers).select("case_id", F.spark_partition_id().alias("part")).collect()
     assert len({r.case_id for r in rows}) == len(rows) == 400 and len({r.part for r in rows}) > 1
+
+
+def test_confidences_are_added_in_page_order(spark):
+    """Whatever the partitions, the mean has the bits of one sum over the words in order, and ties of the threshold follow it."""
+    from paperloom.operators import raster as Q
+
+    pages = [[0.6 + (3 + (i * j) % 4) / 30 for j in range(1, 10)] for i in range(12)]
+    total = 0.0
+    for c in (c for page in pages for c in page):
+        total += c
+    rows = [("d", i, [(c,) for c in page] + [(None,)]) for i, page in enumerate(pages)] + [("d", 99, None), ("e", 0, [(None,)]), ("f", 0, None)]
+    frame = spark.createDataFrame(rows, "doc_id string, page_number int, words array<struct<confidence:double>>")
+    for parts in (1, 5, 13):
+        got = {r.doc_id: r for r in Q.avg_confidence(frame.repartition(parts), ["doc_id"], order="page_number").collect()}
+        assert got["d"].average_ocr_confidence == total / 108 and got["e"].average_ocr_confidence is None and got["f"].low_ocr_confidence is None

@@ -147,8 +147,8 @@ def salvage(spark, folder):
 def confidence(spark, folder):
     c = V.table(spark, folder, "conversations")
     words = F.transform(F.split("text", " "), lambda w: F.struct(w.alias("text"), F.when(F.length(w) > 1, F.least(F.lit(1.0), 0.6 + F.length(w) / 30.0)).alias("confidence")))
-    pages = c.select(F.col("conv_id").alias("doc_id"), words.alias("words"))
-    rows = R.avg_confidence(pages, ["doc_id"])
+    pages = c.select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("page_number"), words.alias("words"))
+    rows = R.avg_confidence(pages, ["doc_id"], order="page_number")
     return rows.select("doc_id", F.round("average_ocr_confidence", 6).alias("average_ocr_confidence"), "low_ocr_confidence")
 
 
