@@ -12,11 +12,14 @@ from paperloom.operators.curate import char_dictionary
 from paperloom.operators.reports import without_existing
 
 
-def write_manifest(df: DataFrame, root: str, mode: str = "overwrite") -> None:
-    """JSON lines, foldered by field group and split; both stay inside the rows as well."""
+def write_manifest(df: DataFrame, root: str, mode: str = "overwrite", compression: str = "gzip") -> None:
+    """JSON lines, foldered by field group and split; both stay inside the rows as well.
+
+    Every row repeats the names of its members, so the files are compressed; Spark reads them like plain ones.
+    """
     df.withColumns({"group_folder": F.col("field_group"), "split_folder": F.col("split")}).write.mode(mode).partitionBy(
         "group_folder", "split_folder"
-    ).json(root)
+    ).json(root, compression=compression)
 
 
 def label_lines(df: DataFrame, image_root: str = "") -> DataFrame:

@@ -184,3 +184,17 @@ def test_lineage_tables_can_be_deleted(spark):
     assert kept.count() == 3 and not glob.glob(gone.written_path.removeprefix("file:"))
     discard_all(spark)
     assert not glob.glob(f"{folder}/paperloom-*")
+
+
+def test_manifest_files_are_small(spark, tmp_path):
+    """A manifest's files take less than half of its rows as plain JSON and read back whole."""
+    from paperloom.sources import readers, writers
+
+    rows = spark.range(2000).selectExpr(
+        "concat('case_', id) AS case_id", "'apostille' AS document_type", "'tin' AS field_name", "if(id % 2 = 0, 'date', 'numeric_tin_code') AS field_group",
+        "'train' AS split", "concat('text ', id) AS text", "concat('src_', id % 9, '.png') AS source_path", "concat('crop_', id, '.png') AS crop_path")
+    writers.write_manifest(rows, str(tmp_path / "m"))
+    size = sum(f.stat().st_size for f in (tmp_path / "m").rglob("part-*"))
+    plain = sum(len(r.j) + 1 for r in rows.selectExpr("to_json(struct(*)) AS j").collect())
+    back = readers.manifest(spark, str(tmp_path / "m"))
+    assert 2 * size < plain and back.select(*rows.columns).exceptAll(rows).isEmpty() and back.count() == 2000
