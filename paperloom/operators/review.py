@@ -9,6 +9,7 @@ from paperloom import constants as K
 from paperloom.functions.normalize import UNITED_STATES, canonical_name
 from paperloom.functions.predicates import plausible_date, valid_tin
 from paperloom.functions.text import join_present, nonempty, strip
+from paperloom.session import spread
 
 NO_PARTNER = "cross-check skipped because one of the documents is missing"
 NOT_EQUAL = "one or more cross-check fields do not match"
@@ -211,7 +212,7 @@ def review_cases(docs: DataFrame) -> DataFrame:
     Rules run before the shuffle, so only fields, findings and two flags of a paper travel, and
     partial aggregation keeps one paper per case and type on each map task.
     """
-    ruled = document_findings(docs).select(
+    ruled = document_findings(docs if docs.isStreaming else spread(docs)).select(
         "case_id", "document_type", "position", "fields", "findings",
         F.coalesce("quality_checks.blurry", F.lit(False)).alias("blurry"),
         F.coalesce("quality_checks.low_ocr_confidence", F.lit(False)).alias("low_confidence"),

@@ -188,3 +188,14 @@ def test_rounds_of_papers_out_of_order(spark, tmp_path):
     assert again["full"] == ("pass", "000000000099") and len(again) == len(before[0])
     assert compact_queue(spark, queue) == "000000000099"
     assert {x.case_id: x.status for x in read_queue(spark, queue)[0].collect()} == {c: s for c, (s, _) in again.items()}
+
+
+def test_one_part_of_papers_is_ruled_by_many_tasks(spark):
+    papers = spark.range(0, 60, 1, 1).selectExpr(
+        "concat('c', id % 20) AS case_id", "'apostille' AS document_type", "id AS position", "map('issued_on', 'x') AS fields",
+        "named_struct('has_apostille_heading', true, 'seal_present', true, 'signature_present', true, 'has_certification_text', true, 'all_no_boxes_checked', true, 'blurry', false, 'low_ocr_confidence', false) AS quality_checks")
+    from paperloom.operators import review
+
+    cases = review.review_cases(papers)
+    assert cases.count() == 20 and {r.document_count for r in cases.collect()} == {3}
+    assert "REPARTITION_BY_NUM" in cases._jdf.queryExecution().toString()
