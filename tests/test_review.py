@@ -199,3 +199,37 @@ def test_one_part_of_papers_is_ruled_by_many_tasks(spark):
     cases = review.review_cases(papers)
     assert cases.count() == 20 and {r.document_count for r in cases.collect()} == {3}
     assert "REPARTITION_BY_NUM" in cases._jdf.queryExecution().toString()
+
+
+def test_cases_of_one_bucket_keep_their_own_rounds(spark, tmp_path, monkeypatch):
+    """All cases in one bucket, one timer for all: one case completes, two run out of time at different ends, one has late papers."""
+    import datetime
+
+    from paperloom.streaming import rounds
+
+    monkeypatch.setattr(rounds, "BUCKETS", 1)
+    day = lambda d, h=0: datetime.datetime(2024, 1, d, h, tzinfo=datetime.timezone.utc)
+    r, w, a = K.RESIDENCY, K.WITHHOLDING, K.APOSTILLE
+    batches = [
+        [("x", day(1), 1, r), ("x", day(1, 1), 2, w), ("x", day(1, 2), 3, a), ("x", day(1, 3), 4, a), ("y", day(1), 1, r), ("z", day(3), 1, w)],
+        [("z", day(8, 1), 2, r), ("u", day(9), 1, a)],
+    ]
+    yes = dict.fromkeys(("has_certification_text", "has_apostille_heading", "seal_present", "signature_present", "all_no_boxes_checked"), True)
+    checks = ", ".join(f"{c}: boolean" for c in (*yes, "blurry", "low_ocr_confidence"))
+    schema = f"case_id string, ts timestamp, position bigint, document_type string, fields map<string,string>, quality_checks struct<{checks}>"
+    for k, papers in enumerate([*batches, [("end", day(30), 1, r)]]):
+        rows = [(c, t, p, kind, {"tin": f"{c}-{p}"}, {**yes, "blurry": False, "low_ocr_confidence": False}) for c, t, p, kind in papers]
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / f"in/slice={k}"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in/slice=*"))
+    sink = rounds.review_rounds(stream).writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True)
+    sink.start(str(tmp_path / "out")).awaitTermination()
+    out = spark.read.parquet(str(tmp_path / "out")).where("case_id <> 'end'").collect()
+    got = sorted((x.case_id, x.start.astimezone(datetime.timezone.utc), x.reason_of_review, x.document_count, x.late_count) for x in out)
+    assert got == plain_rounds(batches, datetime.timedelta(days=5), {r, w, a})
+
+
+def test_every_slice_has_the_files_of_one_micro_batch(spark):
+    from workload.q_review import _files_per_slice
+
+    assert _files_per_slice(spark, [50_000] * 5, 5) == 5 and _files_per_slice(spark, [10**9] * 5, 5) == 2 * spark.sparkContext.defaultParallelism
+    assert _files_per_slice(spark, [10**9] * 4 + [3], 5) == 1 and _files_per_slice(spark, [10**9] * 4, 5) == 1 and _files_per_slice(spark, [], 5) == 1

@@ -190,13 +190,23 @@ def _rounds(spark, folder, slices=5):
     root = f"{shared_folder(spark)}/paperloom-stream-{uuid.uuid4().hex}"
     low, high = events.agg(F.min(F.unix_timestamp("ts")), F.max(F.unix_timestamp("ts"))).first()
     width = ((high or 0) - (low or 0)) // slices + 1
+    at = F.floor((F.unix_timestamp("ts") - (low or 0)) / width)
+    files = _files_per_slice(spark, [r["count"] for r in events.groupBy(at.alias("slice")).count().where("slice IS NOT NULL").collect()], slices)
     for k in range(slices):  # written one after another: the stream takes files in the order of their times
-        part = events.where(F.floor((F.unix_timestamp("ts") - (low or 0)) / width) == k)
-        part.coalesce(1).write.parquet(f"{root}/in/slice={k}")
-    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in/slice=*")
+        part = events.where(at == k)
+        (part.coalesce(1) if files == 1 else part.repartition(files)).write.parquet(f"{root}/in/slice={k}")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", files).parquet(f"{root}/in/slice=*")
     return review_rounds(_events(stream)), root
 
 
+def _files_per_slice(spark, counts, slices):
+    """As many files for every slice as keep the cores busy; one, if a slice is too small to fill each of them.
+
+    A micro-batch takes so many files: were one missing, it would mix two slices, and the watermark drop papers.
+    """
+    return max(1, min(2 * spark.sparkContext.defaultParallelism, min(counts) // 10_000)) if len(counts) == slices else 1
+
+
 def review_rounds_of_events(spark, folder):
     """A run of the stream to its end: reviews on completion or when time is up, and counts of late papers."""
     reviewed, root = _rounds(spark, folder)
