@@ -198,3 +198,23 @@ def test_manifest_files_are_small(spark, tmp_path):
     plain = sum(len(r.j) + 1 for r in rows.selectExpr("to_json(struct(*)) AS j").collect())
     back = readers.manifest(spark, str(tmp_path / "m"))
     assert 2 * size < plain and back.select(*rows.columns).exceptAll(rows).isEmpty() and back.count() == 2000
+
+
+def test_pages_of_mixed_shapes_are_measured_like_single_ones():
+    import numpy as np
+    import pandas as pd
+
+    from paperloom.functions import pixels as P
+
+    random = np.random.default_rng(7)
+    shapes = [((32, 32), (7, 5), (64, 40))[i % 3] for i in range(60)]
+    pixels = [None if i % 9 == 0 else random.integers(0, 256, w * h) for i, (w, h) in enumerate(shapes)]
+    boxes = [np.array([0, 0, w // 2, h // 2, 1, 1, w - i % 2, h]) for i, (w, h) in enumerate(shapes)]
+    found = P.page_measures.func(pd.Series(pixels), pd.Series([w for w, _ in shapes]), pd.Series([h for _, h in shapes]), pd.Series(boxes))
+    for p, (w, h), b, score, ratios in zip(pixels, shapes, boxes, found["blur_score"], found["ratios"]):
+        if p is None:
+            assert pd.isna(score) and ratios is None
+        else:
+            grid = P._grid(p, w, h)
+            assert score == P._wrapped_laplacian(grid) and ratios == P._dark_ratios(grid, b)
+            assert P._page_measures(grid[None], b) == [(score, ratios)]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from paperloom import constants as K
 from paperloom.operators import review as R
 from paperloom.plans.review_run import run_review
-from paperloom.session import shared_folder
+from paperloom.session import shared_folder, spread
 from paperloom.sources.writers import compact_queue, read_queue
 from paperloom.streaming.intake import review_stream
 from paperloom.streaming.rounds import review_rounds, start_rounds
@@ -159,7 +159,8 @@ def review_run(spark, folder):
     marked = V.big_rasters(spark, folder)
     known = V.table(spark, folder, "embeddings").count()  # image ids are 0 to known - 1
     papers = text.select(F.concat("case_id", F.lit("/"), "source_path").alias("image_id"), (F.col("k") % known).alias("vec"))
-    rasters = papers.join(marked.withColumnRenamed("image_id", "vec"), "vec").select("image_id", "width", "height", "pixels")
+    # the few crops are sent to the papers, which are dealt out first: their file is small, their pixels are not
+    rasters = spread(papers).join(marked.withColumnRenamed("image_id", "vec"), "vec").select("image_id", "width", "height", "pixels")
     cases, _ = run_review(pages, None, rasters)
     return cases.select("case_id", "status", "matched", "reason", "blurry", "low_confidence", "document_count", "queued", _codes(F.col("findings")).alias("codes"))
 
