@@ -204,26 +204,41 @@ def stale_hard_cases(manifest: DataFrame, hard: DataFrame, include_rejected: boo
 
 def hard_case_status(manifest: DataFrame, hard: DataFrame | None, include_rejected: bool = False) -> DataFrame:
     """generated, refreshed or current, with the stale count and the size the manifest will have."""
-    planned = manifest.filter(F.col("split") == K.TRAIN).agg(
-        F.coalesce(F.sum(F.size(variants_of(F.col("field_group")))), F.lit(0)).cast("bigint").alias("planned")
-    )
-    if hard is None:
-        return planned.select(
-            F.lit("generated").alias("status"), F.lit(0).cast("bigint").alias("stale_entry_count"),
-            F.col("planned").alias("total_augmented_crops"),
-        )
-    stale = stale_hard_cases(manifest, hard, include_rejected).select("stale")
-    facts = stale.unionByName(hard.agg(F.count(F.lit(1)).alias("total")), allowMissingColumns=True).unionByName(
-        planned, allowMissingColumns=True
-    ).agg(
-        F.coalesce(F.sum("stale"), F.lit(0)).alias("stale_entry_count"), F.max("total").alias("total"),
-        F.max("planned").alias("planned"),
-    )
-    old = F.col("stale_entry_count") > 0
-    return facts.select(
-        F.when(old, "refreshed").otherwise("current").alias("status"), "stale_entry_count",
-        F.when(old, F.col("planned")).otherwise(F.col("total")).alias("total_augmented_crops"),
-    )
+    look = None if hard is None else (F.lit(True), include_rejected)
+    return hard_case_statuses(manifest, hard, {"": look}).drop("given")
+
+
+def hard_case_statuses(manifest: DataFrame, hard: DataFrame | None, looks: dict[str, tuple[Column, bool] | None]) -> DataFrame:
+    """``hard_case_status`` of several looks at the hard cases, named in ``given``, in one pass over both tables.
+
+    A look is a condition on the hard cases and ``include_rejected``, or None where there are none yet.
+    Both tables meet once by base crop; only sums are kept of a crop.
+    """
+    chosen = {f"__rows_{i}": look for i, look in enumerate(looks.values()) if look}
+    train = manifest.filter(F.col("split") == K.TRAIN)
+    facts = train.select(
+        F.col("crop_path").alias("__key"), F.size(variants_of(F.col("field_group"))).cast("bigint").alias("planned"),
+        F.col("crop_path").isNotNull().alias("__any"), (F.col("crop_path").isNotNull() & F.coalesce(is_accepted(F.col("quality.accepted")), F.lit(False))).alias("__accepted"),
+    )
+    if chosen:
+        rows = hard.select(F.col("base_crop_path").alias("__key"), *[F.when(look[0], 1).otherwise(0).cast("bigint").alias(n) for n, look in chosen.items()])
+        facts = facts.unionByName(rows, allowMissingColumns=True).groupBy("__key").agg(
+            F.sum("planned").alias("planned"), *[F.coalesce(F.bool_or(c), F.lit(False)).alias(c) for c in ("__any", "__accepted")],
+            *[F.sum(n).alias(n) for n in chosen])
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    summed = facts.agg(
+        total("planned").alias("planned"), *[total(n).alias(n) for n in chosen],
+        *[total(F.when(~F.col("__any" if look[1] else "__accepted"), F.col(n))).alias(f"{n}_stale") for n, look in chosen.items()])
+    told = []
+    for i, (name, look) in enumerate(looks.items()):
+        if look is None:
+            told.append(F.struct(F.lit(name).alias("given"), F.lit("generated").alias("status"), F.lit(0).cast("bigint").alias("stale_entry_count"), F.col("planned").alias("total_augmented_crops")))
+            continue
+        stale = F.col(f"__rows_{i}_stale")
+        told.append(F.struct(
+            F.lit(name).alias("given"), F.when(stale > 0, "refreshed").otherwise("current").alias("status"), stale.alias("stale_entry_count"),
+            F.when(stale > 0, F.col("planned")).otherwise(F.col(f"__rows_{i}")).alias("total_augmented_crops")))
+    return summed.select(F.explode(F.array(*told)).alias("s")).select("s.*")
 
 
 # --- caps, quotas, selection -----------------------------------------------------

@@ -94,11 +94,7 @@ def stale_hard_cases(spark, folder):
 
 def hard_case_status(spark, folder):
     crops, hard = V.crops(spark, folder), V.hard_cases(spark, folder)
-    fresh = hard.filter("split = 'train'")
-    rows = C.hard_case_status(crops, hard).withColumn("given", F.lit("all")).unionByName(
-        C.hard_case_status(crops, fresh, include_rejected=True).withColumn("given", F.lit("train"))
-    ).unionByName(C.hard_case_status(crops, None).withColumn("given", F.lit("none")))
-    return rows
+    return C.hard_case_statuses(crops, hard, {"all": (F.lit(True), False), "train": (F.col("split") == K.TRAIN, True), "none": None})
 
 
 STATUS_SQL = _v(("crops_v", "hard_v"), f"""SELECT 'all' AS given, 'refreshed' AS status, count(*) AS stale_entry_count, (SELECT count(*) FROM crops_v JOIN ({VARIANT_SQL}) USING (field_group) WHERE split = 'train') AS total_augmented_crops

@@ -282,7 +282,12 @@ def _quality():
 
 
 def hard_cases(spark: SparkSession, folder: str) -> DataFrame:
-    rows = view(spark, folder, "hard_v")
+    """The rows of ``hard_v``, whose variants are fanned out of one scan of the crops."""
+    group = F.col("field_group")
+    variants = F.array_compact(F.array(F.when(group != K.DEFAULT_GROUP, "rotate"), F.lit("low_res"), F.when(group != K.DATE_GROUP, "left_clip")))
+    fanned = view(spark, folder, "crops_v").where("split = 'train' OR quantity > 45").withColumn("augmentation_type", F.explode(variants))
+    rows = fanned.withColumnsRenamed({"crop_path": "base_crop_path"}).withColumn("crop_path", F.concat(
+        F.replace("base_crop_path", F.lit(".png"), F.lit("")), F.lit("__"), "augmentation_type", F.lit(".png")))
     return rows.select(
         "case_id", "document_type", "field_name", "field_group", "text", "source_path", "crop_path", "split",
         _quality().alias("quality"), "augmentation_type", "base_crop_path",
