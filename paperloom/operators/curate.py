@@ -158,7 +158,9 @@ def assign_donors(plan: DataFrame, manifest: DataFrame, seed: int = K.HARD_CASE_
     pools = F.when(F.lit(False), literal_array([]))
     for variant, groups in DONOR_POOLS.items():
         pools = F.when(F.col("augmentation_type") == variant, F.array(*[F.lit(g) for g in groups], F.col("field_group"))).otherwise(pools)
-    drawn = plan.withColumn("pool", pools)
+    # rows of variants without a donor join nothing, so only the others are shuffled
+    pastes = F.coalesce(F.col("augmentation_type").isin(*DONOR_POOLS), F.lit(False))
+    drawn = plan.filter(pastes).withColumn("pool", pools)
     for i in range(3):
         slot = sizes.select(F.col("donor_group").alias(f"group_{i}"), F.col("donors").alias(f"size_{i}"))
         drawn = drawn.withColumn(f"group_{i}", F.get("pool", F.lit(i))).join(slot, f"group_{i}", "left").withColumn(
@@ -179,7 +181,8 @@ def assign_donors(plan: DataFrame, manifest: DataFrame, seed: int = K.HARD_CASE_
     # rows without a draw join nothing; their numbers are spread so that no task gets them all
     none = -1 - F.pmod(F.xxhash64("base_crop_path", "augmentation_type"), F.lit(1 << 40))
     placed = placed.withColumn("donor_index", F.coalesce(F.col("donor_index").cast("bigint"), none))
-    return placed.join(numbered, ["donor_group", "donor_index"], "left").select(*plan.columns, "donor_group", "donor_crop_path")
+    given = placed.join(numbered, ["donor_group", "donor_index"], "left").select(*plan.columns, "donor_group", "donor_crop_path")
+    return given.unionByName(plan.filter(~pastes), allowMissingColumns=True)
 
 
 def _current_bases(manifest: DataFrame, include_rejected: bool) -> DataFrame:
