@@ -136,9 +136,13 @@ def source_profiles(items: DataFrame) -> DataFrame:
     ).agg(F.sum("fields").alias("fields"))
 
 
-def split_objective(assignment: DataFrame, profiles: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
-    """Shortfall of an assignment (or, with ``keys``, of each of several) against the sample targets."""
-    joined = profiles.join(assignment, "source_path")
+def split_objective(assignment: DataFrame | None, profiles: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Shortfall of an assignment (or, with ``keys``, of each of several) against the sample targets.
+
+    Without an ``assignment`` the profiles carry their source's ``split``, as a hash of the source does
+    without a join; profiles dealt by the keys then stay where they are.
+    """
+    joined = profiles if assignment is None else profiles.join(assignment, "source_path")
     train, val = F.col("split") == K.TRAIN, F.col("split") == K.VAL
     per_group = joined.groupBy(*keys, "field_group").agg(
         F.sum(F.when(train, F.col("fields")).otherwise(0)).alias("train"),

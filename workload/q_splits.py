@@ -53,12 +53,16 @@ def _repair_sql():
     return V.plain(V.with_views(("crops_v",), ",\n".join(steps)) + f" SELECT source_path, split, count(*) AS crops FROM crops_v JOIN {state} f USING (source_path) GROUP BY ALL").replace("JOIN " + state + " f USING (source_path) GROUP BY ALL", f"c JOIN {state} f USING (source_path) GROUP BY ALL").replace("SELECT source_path, split, count(*) AS crops FROM crops_v c", "SELECT c.source_path, f.split, count(*) AS crops FROM crops_v c")
 
 
+ROWS_PER_PART = 250_000
+
+
 def objective(spark, folder):
     """Shortfall of the hash split inside every case."""
-    rows = V.view(spark, folder, "crops_v")
+    # a task's groups are held in memory: the cases are dealt into as many parts as the line items ask for
+    parts = max(1, spark.sparkContext.defaultParallelism, V.table(spark, folder, "lineitem").count() // ROWS_PER_PART)
+    rows = V.view(spark, folder, "crops_v").select("case_id", "source_path", "field_group").repartition(parts, "case_id")
     profiles = rows.groupBy("case_id", "source_path", "field_group").agg(F.count(F.lit(1)).alias("fields"))
-    sources = rows.select("source_path").distinct().withColumn("split", S.hash_split(F.col("source_path"), 0.02))
-    return S.split_objective(sources, profiles, ("case_id",))
+    return S.split_objective(None, profiles.withColumn("split", S.hash_split(F.col("source_path"), 0.02)), ("case_id",))
 
 
 OBJECTIVE_SQL = _v(("crops_v",), f"""SELECT case_id, round(sum(3.0 * greatest(0, 12 - t) + 2.0 * greatest(0, 3 - v) + 2.5 * greatest(0, 3 - ts) + 2.0 * greatest(0, 2 - vs))::DOUBLE, 4) AS score FROM (
